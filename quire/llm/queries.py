@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import format_copies, lookalikes, mixing, split, tokens
+from quire.llm import consensus, format_copies, lookalikes, mixing, spans, split, tokens
 from quire.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,10 +47,15 @@ def queries() -> dict[str, Query]:
         "p3_regions": _p3_regions,
         "p4_found": _p4_found,
         "p4_pieces": _p4_pieces,
+        "p7_found": lambda s, d: consensus.doubtful(table(s, d, "worksheet"), table(s, d, "gold_traits")),
+        "p7_labels": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).labels,
+        "p7_annotators": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).annotators,
         "p8_ids": lambda s, d: tokens.token_ids(table(s, d, "documents"), "doc_id", "text"),
         "p9_mix": lambda s, d: _mix(s, d).rows,
         "p9_mix_full": lambda s, d: _mix(s, d, 1e18).rows,
         "p9_shares": lambda s, d: _mix(s, d).shares,
+        "p10_found": lambda s, d: spans.shared_spans(table(s, d, "documents"), "doc_id", "text"),
+        "p10_portions": lambda s, d: spans.shared_portions(table(s, d, "documents"), "doc_id", "text"),
     }
 
 
