@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quire.llm.format_copies import letters_and_digits
 from quire.operators.skew import salted_lookup
@@ -21,13 +22,13 @@ from quire.storage import shared_table
 UNFILLED = "DA COMPILARE"  # fixed value: the placeholder of a worksheet cell
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def text_form(s: pd.Series) -> pd.Series:
     """Letters and digits, letter case aside; null is an answer of its own."""
     return s.map(lambda v: "null" if v is None or v != v else "t" + letters_and_digits(v))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def json_form(s: pd.Series) -> pd.Series:
     """JSON with sorted keys and without layout; a value that is no JSON stays as it is."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import consensus, format_copies, lookalikes, mixing, spans, split, tokens
+from quire.llm import consensus, format_copies, lookalikes, mixing, scan_noise, spans, split, tokens
 from quire.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,8 @@ def queries() -> dict[str, Query]:
         "p3_regions": _p3_regions,
         "p4_found": _p4_found,
         "p4_pieces": _p4_pieces,
+        "p5_found": lambda s, d: scan_noise.noise_rows(table(s, d, "pages"), table(s, d, "regions")),
+        "p5_repaired": lambda s, d: scan_noise.repaired(table(s, d, "pages"), table(s, d, "regions")),
         "p7_found": lambda s, d: consensus.doubtful(table(s, d, "worksheet"), table(s, d, "gold_traits")),
         "p7_labels": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).labels,
         "p7_annotators": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).annotators,
