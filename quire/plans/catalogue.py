@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.operators import diff, nested_tables
+from quire.plans import text_queries
 from quire.sources.tables import table
 
+MODULES = (text_queries,)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -28,8 +30,9 @@ def _p6_effects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": _p2_found, "p6_found": _p6_found, "p6_effects": _p6_effects}
+    own = {"p2_found": _p2_found, "p6_found": _p6_found, "p6_effects": _p6_effects}
+    return {**own, **{k: v for m in MODULES for k, v in m.Q.items()}}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": diff.P2_SQL}
+    return {"p2_found": diff.P2_SQL, **{k: v for m in MODULES for k, v in m.SQL.items()}}
