@@ -31,30 +31,45 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * lcs(a, b) / total if total else 100.0
 
 
-def partial_ratio(a: str, b: str) -> float:
+def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
     """The best ratio of the shorter text against the windows of its length in the longer one, windows cut off at the ends
-    included; 0 where one of two is empty."""
+    included; 0 where one of two is empty or nothing reaches the cutoff.
+
+    The characters that short text and window share, order aside, bound the score; that bound moves with the window in
+    constant time, and only windows whose bound can still win are compared.
+    """
     if not a or not b:
         return 100.0 if a == b else 0.0
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     if short in long:
         return 100.0
-    n, best = len(short), 0.0
+    n, size, best = len(short), len(long), 0.0
     where: dict[str, int] = {}
+    need: dict[str, int] = {}
     for i, c in enumerate(short):
         where[c] = where.get(c, 0) | (1 << i)
-    full = (1 << n) - 1
-    letters = set(short)
-    for start in range(1 - n, len(long)):
-        lo, hi = max(0, start), min(len(long), start + n)
-        if 200.0 * min(n, hi - lo) / (n + hi - lo) <= best or (start > 0 and hi - lo == n and long[hi - 1] not in letters) or (start < 0 and long[hi - 1] not in letters):
+        need[c] = need.get(c, 0) + 1
+    full, common = (1 << n) - 1, 0
+    left = dict(need)
+    for end in range(1, size + n):
+        if end <= size and (c := long[end - 1]) in left:
+            if left[c] > 0:
+                common += 1
+            left[c] -= 1
+        if end > n and (c := long[end - n - 1]) in left:
+            left[c] += 1
+            if left[c] > 0:
+                common -= 1
+        lo, hi = max(0, end - n), min(end, size)
+        bound = 200.0 * common / (n + hi - lo)
+        if bound <= best or bound < cutoff:
             continue
         state = full
         for c in long[lo:hi]:
             hit = state & where.get(c, 0)
             state = ((state + hit) | (state - hit)) & full
         best = max(best, 200.0 * (n - state.bit_count()) / (n + hi - lo))
-    return best
+    return best if best >= cutoff else 0.0
 
 
 @F.pandas_udf(T.DoubleType())
@@ -62,9 +77,12 @@ def _ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def _partial_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else partial_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
+def _partial_udf(cutoff: float):
+    @F.pandas_udf(T.DoubleType())
+    def score(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None or y is None else partial_ratio(x, y, cutoff) for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    return score
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -73,7 +91,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(a == b, 100.0).otherwise(_ratio_udf(F.when(other, a), F.when(other, b)))
 
 
-def partial_similarity(a: Column, b: Column) -> Column:
-    """partial_ratio of two columns; contained texts never leave the JVM."""
+def partial_similarity(a: Column, b: Column, cutoff: float = 0.0) -> Column:
+    """partial_ratio of two columns, 0 below the cutoff; contained texts never leave the JVM."""
     inside = F.when((a == "") | (b == ""), a == b).otherwise(F.contains(a, b) | F.contains(b, a))
-    return F.when(inside, 100.0).otherwise(_partial_udf(F.when(~inside, a), F.when(~inside, b)))
+    return F.when(inside, 100.0).otherwise(_partial_udf(cutoff)(F.when(~inside, a), F.when(~inside, b)))

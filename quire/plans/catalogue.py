@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.operators import diff, nested_tables
-from quire.plans import table_queries, text_queries
+from quire.plans import item_queries, table_queries, text_queries
 from quire.sources.tables import table
 
-MODULES = (text_queries, table_queries)
+MODULES = (text_queries, table_queries, item_queries)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
