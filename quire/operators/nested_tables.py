@@ -49,8 +49,9 @@ def write_tables(tagged: DataFrame, path: str, mode: str = "errorifexists") -> N
 
 
 def typed(tagged: DataFrame, tag: str, schema: str) -> DataFrame:
-    """One flat table: row_id, pk, parent and the payload's columns by a DDL schema; fields a record lacks are null."""
-    return tagged.where(F.col("tag") == tag).select("row_id", "pk", "parent", F.from_json("payload", schema).alias("p")).select("row_id", "pk", "parent", "p.*")
+    """One flat table: the tagged rows' own columns and the payload's by a DDL schema; fields a record lacks are null."""
+    own = [c for c in tagged.columns if c not in ("tag", "payload")]
+    return tagged.where(F.col("tag") == tag).select(*own, F.from_json("payload", schema).alias("p")).select(*own, "p.*")
 
 
 def _children(v: Any) -> list:

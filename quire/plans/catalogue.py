@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.operators import diff, nested_tables
-from quire.plans import item_queries, table_queries, text_queries
+from quire.plans import item_queries, stream_queries, table_queries, text_queries
 from quire.sources.tables import table
 
-MODULES = (text_queries, table_queries, item_queries)
+MODULES = (text_queries, table_queries, item_queries, stream_queries)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -24,9 +24,7 @@ def _p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _p6_effects(spark: SparkSession, d: str) -> DataFrame:
     tagged = nested_tables.effect_sources(table(spark, d, "race_traits"), table(spark, d, "extractions"))
-    tbl = tagged.select("tbl", "row_id", "tag", "pk", "parent", "payload")
-    a = nested_tables.typed(tbl.where("tbl = 'race_traits'"), "effect", nested_tables.EFFECT)
-    return a
+    return nested_tables.typed(tagged, "effect", nested_tables.EFFECT)
 
 
 def queries() -> dict[str, Query]:
