@@ -27,6 +27,12 @@ def value_in_quote(value_json: Column, quote: Column, base: int = 30) -> Column:
     return F.when(null & quote.isNull(), True).when(null | quote.isNull(), False).when(v.rlike(r"^[\[{]"), nested).when(v.rlike('^"'), (string != "") & F.contains(text.normalize(quote), string)).otherwise(F.coalesce(near(number), F.lit(False)))
 
 
+def by_page(df: DataFrame) -> DataFrame:
+    """df partitioned by page in as many parts as the session shuffles to: work in Python weighs more than the bytes suggest that
+    adaptive execution would merge partitions by. The join by page that follows needs no other shuffle of df."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "page_no")
+
+
 def grounded(rows: DataFrame, threshold: float = 90.0) -> DataFrame:
     """rows (id, quote, page) with ``ok``: the quote is (nearly) verbatim on the page.
 
@@ -52,7 +58,7 @@ def located(quotes: DataFrame, regions: DataFrame, threshold: float = 80.0) -> D
 
     A quote contained in a region, or containing one, scores 100 by a native test; only the other quotes are scored.
     """
-    pairs = quotes.join(regions, ["doc_id", "page_no"])
+    pairs = by_page(quotes).join(regions, ["doc_id", "page_no"])
     whole = F.contains("r", "q") | F.contains("q", "r")
     first = pairs.where(whole).groupBy("id").agg(F.min_by(F.struct("region_id", "bbox"), F.struct("order_idx", "region_id")).alias("b"))
     sure = shared_table(first.select("id", "b.region_id", "b.bbox", F.lit(100.0).alias("score")), "located")

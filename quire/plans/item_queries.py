@@ -330,7 +330,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _grounded(s: SparkSession, d: str) -> DataFrame:
     pages = table(s, d, "pages").select(*PAGE, F.coalesce("canonical_text", "full_text", F.lit("")).alias("page"))
     rows = table(s, d, "extractions").select("ext_id", *PAGE, "quote", "value_json")
-    return gates.grounded(rows.join(pages, PAGE, "left"))
+    return gates.grounded(gates.by_page(rows).join(pages, PAGE, "left"))
 
 
 @query("grounding_gate")

@@ -147,7 +147,7 @@ g as (select doc_id, pos::int pos, trim(regexp_extract(part, '(?s)^(.*?)<\|/ref\
   regexp_replace(regexp_extract(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$', 3), '^\s+|\s+$', '', 'g') text from r where pos > 0 and regexp_matches(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$'))
 select doc_id, pos, label, case lower(label) when 'table' then 'table' when 'formula' then 'formula' when 'equation' then 'formula' when 'seal' then 'stamp' when 'stamp' then 'stamp' else 'text' end region_type,
   round(list_min([x[1] for x in b]) * 2480 / 999.0, 6)::double x0, round(list_min([x[2] for x in b]) * 3508 / 999.0, 6)::double y0, round(list_max([x[3] for x in b]) * 2480 / 999.0, 6)::double x1, round(list_max([x[4] for x in b]) * 3508 / 999.0, 6)::double y1, text
-from g where label <> 'image' and len(b) > 0""")
+from g where label <> 'image' and len(b) > 0 and len(list_filter(b, lambda x: len(x) = 4 and len(list_filter(x, lambda v: v is not null)) = 4)) = len(b)""")
 def _(s: SparkSession, d: str) -> DataFrame:
     return payloads.grounding_regions(table(s, d, "documents"), "doc_id", "text").withColumns({c: F.round(c, 6) for c in ("x0", "y0", "x1", "y1")})
 

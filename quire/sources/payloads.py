@@ -47,14 +47,15 @@ def grounding_regions(df: DataFrame, row_id: str, content: str, width: float = 2
     x1, y1, text.
 
     A region's box is the union of its boxes, scaled from 0-999 to the page; text runs to the next tag; the label image is
-    dropped; text before the first tag and tags without a box list give no region.
+    dropped; text before the first tag and tags whose box list is no list of
+    four numbers each give no region.
     """
     parts = F.split(F.col(content), r"<\|ref\|>", -1)
     rows = df.where(F.col(content).contains(TAG)).select(F.col(row_id), F.posexplode(parts).alias("pos", "part")).where("pos > 0")
     pattern = r"(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$"
     g = lambda i: F.regexp_extract("part", pattern, i)
     rows = rows.where(F.col("part").rlike(pattern)).select(row_id, "pos", F.trim(g(1)).alias("label"), F.from_json(g(2), "array<array<double>>").alias("boxes"), F.regexp_replace(g(3), r"^\s+|\s+$", "").alias("text"))
-    rows = rows.where("label <> 'image' and size(boxes) > 0")
+    rows = rows.where("label <> 'image' and size(boxes) > 0 and forall(boxes, b -> size(b) = 4 and forall(b, x -> x is not null))")
     edge = lambda i, f, size: (f(F.transform("boxes", lambda b: b[i])) * size / 999.0)
     return rows.select(row_id, "pos", "label", text.region_type(F.col("label")).alias("region_type"), edge(0, F.array_min, width).alias("x0"), edge(1, F.array_min, height).alias("y0"), edge(2, F.array_max, width).alias("x1"), edge(3, F.array_max, height).alias("y1"), "text")
 
