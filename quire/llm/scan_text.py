@@ -93,7 +93,7 @@ def number_value(token: str) -> int | None:
     return int(out) if out.isascii() and out.isdigit() else None
 
 
-_ALONE = re.compile(r"^\W*(?:([^\W\d_]+)\.?\s*)?([0-9lIOoSsBZg]{1,5})(?:\s*(?:/|of|di|von)\s*[0-9lIOoSsBZg]{1,5})?[^\w.,;:)]*$")
+_ALONE = re.compile(r"^\W*(?:([^\W\d_]+)(?:\.\s*|\s+))?([0-9lIOoSsBZg]{1,5})(?:\s*(?:/|of|di|von)\s*[0-9lIOoSsBZg]{1,5})?[^\w.,;:)]*$")
 _LEAD = re.compile(r"^\W*([0-9lIOoSsBZg]{1,5})\s+(\D.*)$")
 _TRAIL = re.compile(r"^(.*\D)\s+([0-9lIOoSsBZg]{1,5})\W*$")
 
@@ -114,10 +114,10 @@ def numbered_title(line: str) -> tuple[int, str] | None:
     line = line.strip()
     m = _LEAD.match(line)
     if m and any(c.isdigit() for c in m[1]) and (v := number_value(m[1])) is not None:
-        return v, m[2]
+        return v, m[2].strip()
     m = _TRAIL.match(line)
     if m and any(c.isdigit() for c in m[2]) and (v := number_value(m[2])) is not None:
-        return v, m[1]
+        return v, m[1].strip()
     return None
 
 

@@ -104,7 +104,7 @@ def _whole(path: str, count_only: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)[0]
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("__text")
             out = [np.asarray(bpe.encode_ordinary(t.as_py()), dtype=np.int32) if t.is_valid else np.empty(0, np.int32) for t in texts]
             sizes = np.array([len(x) for x in out], dtype=np.int32)
             if count_only:
@@ -112,7 +112,7 @@ def _whole(path: str, count_only: bool):
             else:
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 value = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out) if out else np.empty(0, np.int32)))
-            names = [n for n in batch.schema.names if n != "text"]
+            names = [n for n in batch.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], value], names=[*names, "ids"])
 
     return run
@@ -143,22 +143,23 @@ def token_ids(df: DataFrame, row_id: str, text: str, path: str = VOCABULARY, chu
     """
     keep = keep or []
     out_type = "int" if count_only else "array<int>"
-    rows = df.select(F.col(row_id), *keep, F.col(text).alias("text"))
-    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "text") + f", ids {out_type}"
+    rows = df.select(F.col(row_id), *keep, F.col(text).alias("__text"))
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text") + f", ids {out_type}"
     limit = chunk + overlap
-    short = rows.where(F.col("text").isNull() | (F.length("text") <= limit)).mapInArrow(_whole(path, count_only), schema)
-    long = rows.where(F.length("text") > limit)
+    short = rows.where(F.col("__text").isNull() | (F.length("__text") <= limit)).mapInArrow(_whole(path, count_only), schema)
+    long = rows.where(F.length("__text") > limit)
     if long.isEmpty():
         return short
-    long = shared_table(long.withColumn("key", F.monotonically_increasing_id()), "long-texts")
-    size = F.length("text")
+    long = shared_table(long.withColumn("__key", F.monotonically_increasing_id()), "long-texts")
+    size = F.length("__text")
     n = F.ceil((size - overlap) / chunk).cast("int")
-    cut = long.select("key", "text", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
-    cut = cut.select("key", "n", "k", (F.col("k").cast("long") * chunk).alias("start"), F.substring(F.col("text"), F.col("k") * chunk + 1, F.lit(limit)).alias("part")).repartition("key", "k")
+    cut = long.select(F.col("__key").alias("key"), "__text", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1)).alias("k"))
+    cut = cut.select("key", "n", "k", (F.col("k").cast("long") * chunk).alias("start"), F.substring(F.col("__text"), F.col("k") * chunk + 1, F.lit(limit)).alias("part")).repartition("key", "k")
     parts = cut.mapInPandas(_chunks(path, overlap), "key long, k int, ids array<int>, head array<array<long>>, tail array<array<long>>")
     joined = shared_table(parts.groupBy("key").applyInPandas(_stitched, "key long, ids array<int>"), "stitched")
     names = [row_id, *keep]
-    value = F.size("ids").alias("ids") if count_only else F.col("ids")
-    good = long.join(joined.where("ids is not null"), "key").select(*names, value)
-    unsynced = long.join(joined.where("ids is null").select("key"), "key", "left_semi").select(*names, "text")
+    value = F.size("__ids").alias("ids") if count_only else F.col("__ids").alias("ids")
+    joined = joined.withColumnsRenamed({"key": "__key", "ids": "__ids"})
+    good = long.join(joined.where("__ids is not null"), "__key").select(*names, value)
+    unsynced = long.join(joined.where("__ids is null").select("__key"), "__key", "left_semi").select(*names, "__text")
     return short.unionByName(good).unionByName(unsynced.mapInArrow(_whole(path, count_only), schema))
