@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,3 +82,29 @@ def dependents(changed: DataFrame, extractions: DataFrame) -> DataFrame:
     """ext_id of the extractions whose box overlaps a changed region of their page; changed: doc_id, page_no, box."""
     pairs = extractions.join(changed.withColumnRenamed("box", "rbox"), ["doc_id", "page_no"])
     return pairs.where(boxes.iou(F.col("box"), F.col("rbox")) > 0).select("ext_id").distinct()
+
+
+def dependents_by_quote(changed: DataFrame, extractions: DataFrame, threshold: float = 90.0) -> DataFrame:
+    """ext_id of the extractions whose quote stands (nearly) in the old text of a changed region of their page; changed: doc_id,
+    page_no, r (normalised); extractions: ext_id, doc_id, page_no, q (normalised, not empty)."""
+    pairs = by_page(extractions).join(changed.where("r <> ''"), ["doc_id", "page_no"])
+    return pairs.where(fuzzy.partial_similarity(F.col("q"), F.col("r"), threshold) >= threshold).select("ext_id").distinct()
+
+
+def retried(rows: DataFrame, check: Callable[[DataFrame], Column], ask: Callable[[DataFrame], DataFrame], rounds: int = 3) -> DataFrame:
+    """rows with ``attempt`` and ``state``: every row that fails the check is asked again and checked as the next attempt, at most
+    ``rounds`` attempts in all; what fails the last one needs review.
+
+    check gives a boolean column of a DataFrame, ask replaces the columns of failed rows by new answers. The rounds are a
+    fixed number of passes; failed rows of a round are written once, so no round repeats the work of an earlier one.
+    """
+    todo, out = rows.withColumn("attempt", F.lit(1)), None
+    for k in range(1, rounds + 1):
+        tried = shared_table(todo.withColumn("__ok", F.coalesce(check(todo), F.lit(False))), "attempt")
+        done = tried.where("__ok").drop("__ok").withColumn("state", F.lit("validated"))
+        out = done if out is None else out.unionByName(done)
+        failed = tried.where("not __ok").drop("__ok")
+        if k == rounds:
+            return out.unionByName(failed.withColumn("state", F.lit("needs_review")))
+        todo = ask(failed).withColumn("attempt", F.lit(k + 1))
+    return out

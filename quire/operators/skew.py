@@ -12,7 +12,8 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str
     ``count`` names right's column with the number of left rows of the key. Keys with more than rows_per_task left rows are
     split: right's row is repeated once for each part and left's rows are spread over the parts by ``spread``, an
     expression that varies within a key. The parts of a key are found from right alone, through a broadcast table of the hot
-    keys: there are at most (left's rows / rows_per_task) of them, and keys are meant to be short (ids, digests).
+    keys: there are at most (left's rows / rows_per_task) of them, so its bytes are at
+    most left's key bytes / rows_per_task.
     Null keys match nothing.
     """
     hot = right.where(F.col(count) > rows_per_task).select(*keys, F.ceil(F.col(count) / rows_per_task).cast("int").alias("__parts"))

@@ -367,6 +367,25 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return gates.dependents(changed, e)
 
 
+@query("invalidate_by_quote")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Extractions whose quote stands in a region in conflict."""
+    changed = table(s, d, "region_conflicts").select("region_id").join(table(s, d, "regions").select("region_id", *PAGE, text.normalize(F.col("text")).alias("r")), "region_id").drop("region_id")
+    e = table(s, d, "extractions").where("quote is not null").select("ext_id", *PAGE, text.normalize(F.col("quote")).alias("q")).where("q <> ''")
+    return gates.dependents_by_quote(changed, e)
+
+
+@query("retry_rounds", f"""with p as (select doc_id, page_no, {normal_sql('coalesce(canonical_text, full_text)')} p from pages), e as (select ext_id, doc_id, page_no, {normal_sql('quote')} q from extractions where quote is not null),
+j as (select e.ext_id, q, p, length(q) n from e join p on e.doc_id = p.doc_id and e.page_no = p.page_no where q <> ''), k as (select *, left(q, n // 2) q2 from j), l as (select *, left(q2, length(q2) // 2) q3 from k)
+select ext_id, case when contains(p, q) then 1 when contains(p, q2) then 2 else 3 end as attempt, case when contains(p, q) or contains(p, q2) or contains(p, q3) then 'validated' else 'needs_review' end as state from l""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Quotes asked again until they stand on their page; the stub for the extractor answers with the first half."""
+    pages = table(s, d, "pages").select(*PAGE, text.normalize(F.coalesce("canonical_text", "full_text")).alias("p"))
+    rows = table(s, d, "extractions").where("quote is not null").select("ext_id", *PAGE, text.normalize(F.col("quote")).alias("q")).where("q <> ''").join(pages, PAGE)
+    half = lambda df: df.withColumn("q", F.left("q", F.floor(F.length("q") / 2).cast("int")))
+    return gates.retried(rows.drop(*PAGE), lambda df: F.contains("p", "q"), half).select("ext_id", "attempt", "state")
+
+
 # review, export, evaluation
 
 
