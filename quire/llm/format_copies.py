@@ -80,9 +80,8 @@ def collapse_copies(df: DataFrame, row_id: str, texts: dict[str, Column], exact:
     canon = shared_table(canon, "values")
     ids = shared_table(canon.select("canon").distinct().select("canon", F.monotonically_increasing_id().alias("value_id")), "value-ids")
     coded = canon.join(ids, "canon").select("kind", "raw", "n", "value_id")
-    fields = flat.select("field").distinct()
-    names = shared_table(fields.select("field", F.monotonically_increasing_id().alias("field_id")), "fields")
-    flat = flat.join(F.broadcast(names), "field") if record is None else flat.join(names, "field")
+    fields = flat.groupBy("field").agg(F.count("*").alias("n")).select("field", "n", F.monotonically_increasing_id().alias("field_id"))
+    flat = salted_lookup(flat, shared_table(fields, "fields"), ["field"], "n", F.col("id"))
     pairs = salted_lookup(flat, coded, ["kind", "raw"], "n", F.col("id"))
     tuples = pairs.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("field_id", "value_id"))).alias("t"))
     key = F.sha2(F.to_json("t"), 256)
