@@ -49,20 +49,149 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[j]) - 1, j - 1) for j in range(1, m + 1) if owner[j])
 
 
-def _pair_block(fields: int):
+def _reached(cost: np.ndarray, tail: np.ndarray, head: np.ndarray, flow: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Cheapest way from the start nodes (boolean) to each node: along an arc at its cost, back along one with flow at minus its cost."""
+    far = np.iinfo(np.int64).max // 4
+    dist = np.where(start, 0, far)
+    back = flow > 0
+    u, v, c = np.concatenate([tail, head[back]]), np.concatenate([head, tail[back]]), np.concatenate([cost, -cost[back]])
+    while True:
+        before = dist.copy()
+        np.minimum.at(dist, v, np.where(dist[u] < far, dist[u] + c, far))
+        if (dist == before).all():
+            return dist
+
+
+def _push(tail: np.ndarray, head: np.ndarray, cost: np.ndarray, flow: np.ndarray, free_a: np.ndarray, free_b: np.ndarray, first_b: int, dist: np.ndarray, target: int) -> None:
+    """Raises flow, as far as it goes, along the cheapest ways (of cost target) from free a nodes to free b nodes; Dinic's levels."""
+    n, arcs = len(dist), len(tail)
+    while True:
+        back = flow > 0
+        use_f, use_b = dist[tail] + cost == dist[head], back & (dist[head] - cost == dist[tail])
+        u, v = np.concatenate([tail[use_f], head[use_b]]), np.concatenate([head[use_f], tail[use_b]])
+        name = np.concatenate([np.flatnonzero(use_f), arcs + np.flatnonzero(use_b)])
+        ends = np.zeros(n, dtype=bool)
+        ends[first_b:] = (free_b > 0) & (dist[first_b:] == target)
+        level = np.full(n, -1)
+        level[: len(free_a)][free_a > 0] = 0
+        k = 0
+        while not (ends & (level >= 0)).any():
+            nxt = v[(level[u] == k)]
+            nxt = nxt[level[nxt] < 0]
+            if not len(nxt):
+                return
+            k += 1
+            level[nxt] = k
+        keep = level[v] == level[u] + 1
+        keep &= level[u] >= 0
+        u, v, name = u[keep], v[keep], name[keep]
+        order = np.argsort(u, kind="stable")
+        at = np.searchsorted(u[order], np.arange(n + 1)).tolist()
+        to, arc, end = v[order].tolist(), name[order].tolist(), ends.tolist()
+        pointer = at[:-1]
+        for s in np.flatnonzero(free_a > 0).tolist():
+            while free_a[s] > 0:
+                path, x = [], s
+                while not (end[x] and free_b[x - first_b] > 0):
+                    if pointer[x] < at[x + 1]:
+                        path.append(x)
+                        x = to[pointer[x]]
+                    elif path:
+                        x = path.pop()
+                        pointer[x] += 1
+                    else:
+                        break
+                else:
+                    used = [arc[pointer[y]] for y in path]
+                    most = min([int(free_a[s]), int(free_b[x - first_b]), *(int(flow[e - arcs]) for e in used if e >= arcs)])
+                    if not most:  # the way back is used up
+                        y = next(i for i, e in enumerate(used) if e >= arcs and not flow[e - arcs])
+                        pointer[path[y]] += 1
+                        continue
+                    for e in used:
+                        flow[e - arcs if e >= arcs else e] += -most if e >= arcs else most
+                    free_a[s] -= most
+                    free_b[x - first_b] -= most
+                    continue
+                break
+
+
+def assign_values(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """Minimum-cost pairs (row of a, row of b), min(rows) of them; a and b hold a number for each field's value, the cost of a pair
+    is the number of fields that differ, and no row of a equals one of b.
+
+    The cost matrix is never built. Rows of equal values are one node; for every subset of the fields, each combination of values
+    that both sides have is a node between the rows of a and b that share it, so the arcs are 2^fields for each distinct row. The flow of
+    least cost in that network is the assignment: a way costs fields - |subset|, and ways of each cost, 1 to fields - 1, are used up
+    in turn (flows by primal-dual phases). What is left then shares no field that helps, so any pairs of it are right.
+    """
+    fields = a.shape[1]
+    pa, ia = np.unique(a, axis=0, return_inverse=True)
+    pb, ib = np.unique(b, axis=0, return_inverse=True)
+    ia, ib = ia.ravel(), ib.ravel()
+    free_a, free_b = np.bincount(ia, minlength=len(pa)), np.bincount(ib, minlength=len(pb))
+    into, out, price, hubs = [], [], [], 0
+    for mask in range(1, 2**fields - 1):
+        own = [k for k in range(fields) if mask >> k & 1]
+        _, code = np.unique(np.concatenate([pa[:, own], pb[:, own]]), axis=0, return_inverse=True)
+        code = code.ravel()
+        ca, cb = code[: len(pa)], code[len(pa) :]
+        both = np.intersect1d(ca, cb)
+        ha, hb = np.flatnonzero(np.isin(ca, both)), np.flatnonzero(np.isin(cb, both))
+        into.append((ha, hubs + np.searchsorted(both, ca[ha])))
+        out.append((hubs + np.searchsorted(both, cb[hb]), hb))
+        price.append(np.full(len(ha), fields - len(own), dtype=np.int64))
+        hubs += len(both)
+    pairs: list[tuple[int, int, int]] = []
+    if hubs:
+        first_b = len(pa) + hubs
+        tail = np.concatenate([x for x, _ in into] + [len(pa) + x for x, _ in out])
+        head = np.concatenate([len(pa) + y for _, y in into] + [first_b + y for _, y in out])
+        cost = np.concatenate([*price, np.zeros(len(tail) - sum(map(len, price)), dtype=np.int64)])
+        flow = np.zeros(len(tail), dtype=np.int64)
+        while free_a.any() and free_b.any():
+            start = np.zeros(first_b + len(pb), dtype=bool)
+            start[: len(pa)] = free_a > 0
+            dist = _reached(cost, tail, head, flow, start)
+            target = int(dist[first_b:][free_b > 0].min())
+            if target >= fields:
+                break
+            _push(tail, head, cost, flow, free_a, free_b, first_b, dist, target)
+        waiting: dict[int, list[list[int]]] = {}
+        for e in np.flatnonzero(flow).tolist():  # arcs into the middle nodes come before those out of them
+            if head[e] < first_b:
+                waiting.setdefault(int(head[e]), []).append([int(tail[e]), int(flow[e])])
+                continue
+            n, queue = int(flow[e]), waiting[int(tail[e])]
+            while n:
+                take = min(n, queue[-1][1])
+                pairs.append((queue[-1][0], int(head[e]) - first_b, take))
+                n -= take
+                queue[-1][1] -= take
+                if not queue[-1][1]:
+                    queue.pop()
+    rest = iter(np.repeat(np.arange(len(pb)), free_b).tolist())
+    pairs += [(x, y, 1) for x, y in zip(np.repeat(np.arange(len(pa)), free_a).tolist(), rest, strict=False)]
+    rows = lambda inverse, n: [x.tolist()[::-1] for x in np.split(np.argsort(inverse, kind="stable"), np.cumsum(np.bincount(inverse, minlength=n))[:-1])]
+    ra, rb = rows(ia, len(pa)), rows(ib, len(pb))
+    return sorted((ra[x].pop(), rb[y].pop()) for x, y, n in pairs for _ in range(n))
+
+
+def _pair_key(fields: int, block: int):
     def pair(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", kind="stable")
-        a, b = pdf[pdf["side"] == "a"], pdf[pdf["side"] == "b"]
-        values = lambda x: [tuple(None if f is None else bytes(f) for f in v) for v in x["vals"]]
-        va, vb = values(a), values(b)
-        ia, ib = a["id"].tolist(), b["id"].tolist()
+        code: list[dict[bytes | None, int]] = [{} for _ in range(fields)]
+        values = np.array([[code[k].setdefault(None if f is None else bytes(f), len(code[k])) for k, f in enumerate(v)] for v in pdf["vals"]], dtype=np.int64).reshape(-1, fields)
+        of_a = (pdf["side"] == "a").to_numpy()
+        va, vb, ids = values[of_a], values[~of_a], pdf["id"].to_numpy()
+        ia, ib = ids[of_a].tolist(), ids[~of_a].tolist()
         out, done_a, done_b = [], set(), set()
         if ia and ib:
-            cost = np.array([[sum(x != y for x, y in zip(p, q, strict=True)) for q in vb] for p in va], dtype=float)
-            for i, j in assign(cost):
+            small = max(len(ia), len(ib)) <= block
+            for i, j in assign((va[:, None, :] != vb[None, :, :]).sum(axis=2).astype(float)) if small else assign_values(va, vb):
                 done_a.add(i)
                 done_b.add(j)
-                out.append((ia[i], ib[j], [k for k in range(fields) if va[i][k] != vb[j][k]]))
+                out.append((ia[i], ib[j], np.flatnonzero(va[i] != vb[j]).tolist()))
         out += [(x, None, None) for i, x in enumerate(ia) if i not in done_a] + [(None, x, None) for j, x in enumerate(ib) if j not in done_b]
         return pd.DataFrame({"id_a": pd.array([x[0] for x in out], dtype="Int64"), "id_b": pd.array([x[1] for x in out], dtype="Int64"), "changed": [x[2] for x in out]})
 
@@ -81,9 +210,8 @@ def diff_copies(a: DataFrame, b: DataFrame, key: list[str], fields: dict[str, Co
 
     Rows travel as digests, never as texts. Counts are combined before the shuffle, so identical copies of any number are
     one row; keys with one row left on each side need no further work. Only keys with more go on: up to ``block`` rows a side
-    as one assignment; larger keys are sorted by their fields and cut into blocks of that many a side, block i of a against
-    block i of b, so that no group of any size is held in one task. Within such a large key the pairing is of
-    minimum cost in each block, not over the whole key; the number of rows missing on a side is exact in any case.
+    as one cost matrix, larger keys as one flow over shared values (``assign_values``), of minimum cost over the whole key too. All
+    left-over rows of one key are in one task: 16 bytes a field for each, and in the larger keys about 2^fields arcs.
     """
     names = list(fields)
     vals = F.array(*[F.when(c.isNotNull(), digest(c.cast("string"))) for c in fields.values()])
@@ -107,10 +235,7 @@ def diff_copies(a: DataFrame, b: DataFrame, key: list[str], fields: dict[str, Co
     several = by_key.where("na > 1 or nb > 1").select("k", "na", "nb", (F.col("na") + F.col("nb")).alias("n"))
     if not several.isEmpty():
         rest = shared_table(salted_lookup(single, several, ["k"], "n", F.col("id")), "diff-several")
-        small, large = rest.where(f"greatest(na, nb) <= {block}").withColumn("blk", F.lit(0).cast("long")), rest.where(f"greatest(na, nb) > {block}")
-        if not large.isEmpty():
-            small = small.unionByName(rank_within(large, ["k", "side"], ["vals", "id"]).withColumn("blk", F.floor(F.col("rank") / block)).drop("rank"))
-        paired = small.groupBy("k", "blk").applyInPandas(_pair_block(len(names)), "id_a long, id_b long, changed array<int>")
+        paired = rest.groupBy("k").applyInPandas(_pair_key(len(names), block), "id_a long, id_b long, changed array<int>")
         out = out.unionByName(paired.withColumn("changed", F.transform("changed", lambda i: F.element_at(F.array(*map(F.lit, names)), i + 1))))
     return out
 

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from quire.operators.diff import assign, diff_copies, engine_differences
+from quire.operators.diff import assign, assign_values, diff_copies, engine_differences
 from quire.operators.skew import rank_within, salted_lookup
 
 SCHEMA = "id long, k string, x string, y int, k0 string"
@@ -99,3 +99,29 @@ def test_lookup_and_rank(spark, rows):
         by.setdefault(k, []).append(i)
     assert {(r["k"], r["id"], r["rank"]) for r in ranked.collect()} == {(k, i, n) for k, ids in by.items() for n, i in enumerate(ids)}
     assert rank_within(left.where("false"), ["k"], ["id"]).count() == 0
+
+
+def test_values_are_assigned_like_the_matrix():
+    rng = np.random.default_rng(5)
+    for i in range(150):
+        fields, top = int(rng.integers(1, 5)), int(rng.integers(2, 9))
+        a, b = rng.integers(0, top, (int(rng.integers(1, 40)), fields)), rng.integers(0, top, (int(rng.integers(1, 40)), fields))
+        shared = {tuple(x) for x in a.tolist()} & {tuple(x) for x in b.tolist()}
+        a = np.array([x for x in a.tolist() if tuple(x) not in shared]).reshape(-1, fields)
+        b = np.array([x for x in b.tolist() if tuple(x) not in shared]).reshape(-1, fields)
+        if not len(a) or not len(b):
+            continue
+        cost = (a[:, None, :] != b[None, :, :]).sum(axis=2).astype(float)
+        got = assign_values(a, b)
+        assert len(got) == min(cost.shape) and len({x for x, _ in got}) == len({y for _, y in got}) == len(got)
+        assert sum(cost[p] for p in got) == sum(cost[p] for p in assign(cost))
+
+
+def test_hot_key_is_of_least_cost(spark):
+    rng = random.Random(7)
+    n = 300
+    a = [(i, f"t{rng.random()}", i % 5, f"z{i}") for i in range(n)]
+    b = [(1000 + i, f"u{rng.random()}", y, z) for i, _, y, z in a]  # the first field differs, so sorting brings no partners together
+    make = lambda rows: spark.createDataFrame([("hot", *r) for r in rows], "k string, id long, x string, y int, z string")
+    got = diff_copies(make(a), make(b), ["k"], {c: F.col(c) for c in "xyz"}, "id", block=20).collect()
+    assert sorted((r["id_a"], r["id_b"], tuple(r["changed"])) for r in got) == [(i, 1000 + i, ("x",)) for i in range(n)]
