@@ -78,6 +78,33 @@ def item_spans(items: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
     return joined.withColumn("running", running).where(F.col("running") <= budget).select("item_id", "region_id")
 
 
+def file_spans(items: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
+    """item_id, region_id: the regions from an item's first region up to the next item of its list, across pages, as far as
+    their running length stays within budget. items: item_id, doc_id, schema_name, page, region_ids; regions: doc_id, page_no,
+    order_idx, region_id, size.
+
+    Items of a list are in order of page and first region; those with the same first region have one span. An item without a
+    region on its own page starts with the page after it; the span ends before the first region of the next item, on the next item's page at
+    the latest, and that of the last item with its page. Only the pages in between are joined, by equality.
+    """
+    LIST = ["doc_id", "schema_name"]  # noqa: N806
+    at = F.struct(F.col("page_no").alias("p"), F.col("order_idx").cast("long").alias("o"), F.col("region_id").alias("r"))
+    ids = items.where("page > 0 and size(region_ids) > 0").select("item_id", *LIST, "page", F.explode("region_ids").alias("region_id"))
+    places = ids.join(regions.select("doc_id", "page_no", "order_idx", "region_id"), ["doc_id", "region_id"], "left").withColumn("at", F.when(F.col("page_no").isNotNull(), at))
+    none = F.struct((F.col("page") + 1).alias("p"), F.lit(-1).cast("long").alias("o"), F.lit(-1).cast("long").alias("r"))
+    own = places.groupBy("item_id", *LIST, "page").agg(F.min(F.when(F.col("page_no") == F.col("page"), F.col("at"))).alias("start"), F.collect_set("at").alias("ats"))
+    own = own.withColumn("start", F.coalesce("start", none))
+    starts = own.groupBy(*LIST, "page", "start").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("ats"))
+    w = W.partitionBy(*LIST).orderBy("page", "start")
+    starts = starts.withColumns({"last": F.coalesce(F.lead("page").over(w), F.col("page")), "following": F.lead("ats").over(w)}).drop("ats")
+    starts = starts.withColumn("stop", F.get(F.filter("following", lambda x: x >= F.col("start")), F.lit(0))).drop("following")
+    wide = starts.withColumn("page_no", F.explode(F.sequence("page", "last"))).join(regions, ["doc_id", "page_no"])
+    inside = wide.withColumn("at", at).where("at >= start and (stop is null or at < stop)")
+    running = F.sum("size").over(W.partitionBy(*LIST, "page", "start").orderBy("at"))
+    kept = inside.withColumn("running", running).where(F.col("running") <= budget).select(*LIST, "page", "start", "region_id")
+    return own.select("item_id", *LIST, "page", "start").join(kept, [*LIST, "page", "start"]).select("item_id", "region_id")
+
+
 def with_neighbours(rows: DataFrame, page: list[str], order: str, flag: str, margin: int = 1) -> DataFrame:
     """The rows within ``margin`` positions of a flagged one on the page; a page without a flag is kept whole."""
     w = W.partitionBy(*page)

@@ -63,6 +63,13 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return packing.item_spans(items, regions, 3000)
 
 
+@query("item_span_file")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """item_span across pages, up to the next item of the file's list, over the canonical text."""
+    regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", F.coalesce(F.length(F.coalesce("text_canonical", "text")), F.lit(0)).alias("size"))
+    return packing.file_spans(table(s, d, "list_items"), regions, 3000)
+
+
 @query("margin_window", """with f as (select distinct unnest(region_ids) region_id from list_items), r as (select r.region_id, doc_id, page_no, order_idx, (f.region_id is not null)::int fl from regions r left join f on r.region_id = f.region_id where engine = 'a'),
 w as (select *, max(fl) over (partition by doc_id, page_no order by order_idx rows between 1 preceding and 1 following) near, max(fl) over (partition by doc_id, page_no) anyhit from r) select region_id from w where near = 1 or anyhit = 0""")
 def _(s: SparkSession, d: str) -> DataFrame:
