@@ -53,6 +53,14 @@ def grounded(rows: DataFrame, threshold: float = 90.0) -> DataFrame:
     return rows.withColumn("ok", F.when(~F.col("__cheap"), False).when(inside, True).otherwise(F.coalesce(score >= threshold, F.lit(False)))).drop("__q", "__p", "__cheap")
 
 
+def anchored(items: DataFrame, pages: DataFrame, threshold: float = 90.0) -> DataFrame:
+    """The items (doc_id, page, anchor, normalised and not empty) whose anchor their page has with a partial ratio of at least the
+    threshold; pages: doc_id, page, norm (normalised). Anchors that the page contains are not scored."""
+    parts = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = items.repartition(parts, "doc_id", "page").join(pages, ["doc_id", "page"])
+    return pairs.where(fuzzy.partial_similarity(F.col("anchor"), F.col("norm"), threshold) >= threshold).drop("norm")
+
+
 def located(quotes: DataFrame, regions: DataFrame, threshold: float = 80.0) -> DataFrame:
     """id, region_id, bbox, score of the region of the quote's page that matches it best (first region among equals); bbox null if
     the score is below the threshold (then 0) or the region has none. quotes: id, doc_id, page_no, q (normalised); regions:

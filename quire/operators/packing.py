@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.functions import fuzzy
+from quire.operators.gates import by_page
+from quire.storage import shared_table
+
 PAGE = ["doc_id", "page_no"]
 
 
@@ -123,6 +127,53 @@ def asof_page(items: DataFrame, pages: DataFrame, reach: int) -> DataFrame:
     return wide.join(pages, ["doc_id", "page_no"]).where(F.contains("norm", "section")).groupBy("item_id").agg(F.max("page_no").alias("found_page"))
 
 
+def enumeration_windows(pages: DataFrame, regions: DataFrame, budget: float) -> DataFrame:
+    """doc_id, first_page, last_page: the windows in which items are looked for. pages: doc_id, page_no; regions: doc_id, page_no,
+    order_idx, region_id, size (tokens of its line). A page is one block of its heading and regions, more where it exceeds the
+    budget; blocks are packed like pages in ``page_windows``. A file is one group; only numbers travel.
+    """
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        nos, sizes = [], []
+        for no, page in pdf.sort_values(["page_no", "order_idx", "region_id"]).groupby("page_no", sort=True):
+            base = 1.3 * (len(str(no)) + 11 + 22 / 3)  # fixed value: digits, signs and letters of a block's two heading lines
+            total, most, n = base, base, 0
+            for size in page["size"].dropna().tolist():
+                if n and most + size + 1 > budget:
+                    nos.append(no)
+                    sizes.append(total)
+                    total, most, n = base, base, 0
+                total, most, n = total + size, most + size + 1, n + 1
+            nos.append(no)
+            sizes.append(total)
+        found = window_starts(sizes, budget)
+        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "first_page": [nos[a] for a, _ in found], "last_page": [nos[b - 1] for _, b in found]})
+
+    rows = pages.select(*PAGE).join(regions, PAGE, "left")
+    return rows.groupBy("doc_id").applyInPandas(one, "doc_id string, first_page int, last_page int")
+
+
+def near_section(items: DataFrame, pages: DataFrame, windows: DataFrame, threshold: float = 90.0) -> DataFrame:
+    """item_id, found_page: the nearest page at or before the item's, within the item's window, whose text has the item's section
+    with a partial ratio of at least the threshold.
+
+    items: item_id, doc_id, page, section (normalised); pages: doc_id, page_no, norm; windows: doc_id, first_page, last_page. A page in two
+    windows counts to the first. Containment is tested first; only pages after the last one that contains the section are scored,
+    each (page, section) once.
+    """
+    reach = windows.withColumn("page", F.explode(F.sequence("first_page", "last_page"))).groupBy("doc_id", "page").agg(F.min("first_page").alias("first_page"))
+    wide = items.join(reach, ["doc_id", "page"]).withColumn("page_no", F.explode(F.sequence("first_page", "page"))).select("item_id", "doc_id", "page_no", "section")
+    asked = wide.select("doc_id", "page_no", "section").distinct().join(pages, ["doc_id", "page_no"])
+    asked = shared_table(asked.withColumn("inside", F.contains("norm", "section")).withColumn("norm", F.when(~F.col("inside"), F.col("norm"))), "sections")
+    pairs = shared_table(wide.join(asked.drop("norm"), ["doc_id", "page_no", "section"]), "section-pages")
+    sure = pairs.groupBy("item_id").agg(F.max(F.when(F.col("inside"), F.col("page_no"))).alias("sure"))
+    open_ = shared_table(pairs.join(sure, "item_id").where("page_no > coalesce(sure, -1)").select("item_id", "doc_id", "page_no", "section"), "section-open")
+    todo = by_page(open_.select("doc_id", "page_no", "section").distinct()).join(asked.drop("inside"), ["doc_id", "page_no", "section"])
+    near = todo.where(fuzzy.partial_similarity(F.col("section"), F.col("norm"), threshold) >= threshold).select("doc_id", "page_no", "section")
+    more = open_.join(near, ["doc_id", "page_no", "section"]).select("item_id", "page_no")
+    return sure.where("sure is not null").select("item_id", F.col("sure").alias("page_no")).unionByName(more).groupBy("item_id").agg(F.max("page_no").alias("found_page"))
+
+
 def prefix_duplicates(items: DataFrame) -> DataFrame:
     """item_id of the items kept: an item is dropped if its anchor and that of a kept item of its page are prefixes of one
     another and their region ids are equal or missing on a side. Order-dependent (by item_id), one group for each page."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quire.operators.packing import file_spans
+from quire.operators.gates import anchored
+from quire.operators.packing import enumeration_windows, file_spans, near_section
 
 
 def test_spans_cross_pages(spark):
@@ -24,3 +25,27 @@ def test_spans_cross_pages(spark):
     got = spans(1000)
     assert got == {1: [11, 20, 21, 30], 2: [31, 40], 3: [31, 40], 4: [41, 50], 6: [20, 21, 30, 31, 40, 41, 50, 51, 60, 61, 70], 8: [71]}
     assert spans(35) == {1: [11, 20, 21], 2: [31, 40], 3: [31, 40], 4: [41, 50], 6: [20, 21, 30], 8: [71]}
+
+
+def test_anchors_survive_scan_noise(spark, rows):
+    pages = spark.createDataFrame([("d", 1, "the deep wlzard of the tower"), ("d", 2, "nothing here")], "doc_id string, page int, norm string")
+    items = spark.createDataFrame([(1, "d", 1, "deep wizard"), (2, "d", 1, "the tower"), (3, "d", 2, "deep wizard"), (4, "d", 3, "x")], "item_id long, doc_id string, page int, anchor string")
+    assert rows(anchored(items, pages).select("item_id")) == [(1,), (2,)]
+
+
+def test_sections_within_the_window(spark, rows):
+    texts = {1: "elf traits", 3: "dwarf tra1ts and more", 4: "", 12: "elf traits", 14: "elf trait5 again"}
+    pages = spark.createDataFrame([("d", p, texts.get(p, "other words")) for p in range(1, 16)], "doc_id string, page_no int, norm string")
+    windows = spark.createDataFrame([("d", 1, 10), ("d", 10, 15)], "doc_id string, first_page int, last_page int")
+    items = [(1, 9, "elf traits"), (2, 10, "elf traits"), (3, 11, "elf traits"), (4, 15, "elf traits"), (5, 13, "elf traits"), (6, 4, "dwarf traits"), (7, 10, "dwarf traits"), (8, 15, "dwarf traits")]
+    items = spark.createDataFrame([(i, "d", p, x) for i, p, x in items], "item_id long, doc_id string, page int, section string")
+    # the first is 8 pages back; page 10 counts to the first window; page 12 is after item 3; page 14 has it by score, nearer than page 12
+    assert rows(near_section(items, pages, windows)) == [(1, 1), (2, 1), (4, 14), (5, 12), (6, 3), (7, 3)]
+
+
+def test_windows_split_large_pages(spark, rows):
+    pages = spark.createDataFrame([("d", p) for p in range(1, 6)], "doc_id string, page_no int")
+    sizes = {1: [40.0], 2: [150.0, 150.0], 3: [20.0], 4: [300.0]}  # page 2 makes two blocks, page 4 one too large, page 5 has no region
+    regions = spark.createDataFrame([("d", p, i, p * 10 + i, x) for p, xs in sizes.items() for i, x in enumerate(xs)], "doc_id string, page_no int, order_idx int, region_id long, size double")
+    # blocks: 1, 2, 2, 3, 4, 5 of about 65, 175, 175, 45, 325, 25; page 3 sees page 2 by its second block
+    assert rows(enumeration_windows(pages, regions, 250)) == [("d", 1, 2), ("d", 2, 2), ("d", 2, 3), ("d", 3, 3), ("d", 4, 4), ("d", 5, 5)]
