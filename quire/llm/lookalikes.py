@@ -111,6 +111,10 @@ def unify(text: str, forms: dict, memo: dict[str, frozenset[str]]) -> tuple[str,
     return text, ",".join(kinds)
 
 
+# every letter of such a word is Greek, or every one Cyrillic, and has a Latin look-alike
+WHOLE = "|".join(rf"(?<!\p{{L}})[{x}]+(?!\p{{L}})" for x in (GREEK, CYRILLIC))
+
+
 @F.pandas_udf(T.StructType().add("text", T.StringType()).add("kinds", T.StringType()))
 def _unify_udf(s: pd.Series) -> pd.DataFrame:
     memo: dict[str, frozenset[str]] = {}
@@ -134,6 +138,16 @@ def consistent_text(df: DataFrame, text: str) -> DataFrame:
     return done.unionByName(plain)
 
 
+def consistent_rows(df: DataFrame, tbl: str, row_id: str, text: str) -> DataFrame:
+    """tbl, row_id, text_norm, kinds of every row of one table. Beside the kinds of ``consistent_text``, kinds has ``whole`` where the
+    consistent text holds a word wholly of Greek or Cyrillic look-alikes of Latin letters: such a word may be ordinary, so it
+    stays as it is and is not in p3_found."""
+    out = consistent_text(df.select(F.col(row_id).alias("row_id"), F.col(text).alias("text")), "text")
+    whole = F.coalesce(F.col("text_norm").rlike(WHOLE), F.lit(False))
+    kinds = F.when(whole, F.array_append(F.coalesce("kinds", F.array().cast("array<string>")), F.lit("whole"))).otherwise(F.col("kinds"))
+    return out.select(F.lit(tbl).alias("tbl"), "row_id", "text_norm", kinds.alias("kinds"))
+
+
 def odd_rows(df: DataFrame, tbl: str, row_id: str, text: str) -> DataFrame:
     """p3_found of one table: tbl, row_id of the rows whose text holds a form to be unified."""
     odd = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("text")).where(F.col("text").rlike(SUSPECT))

@@ -25,6 +25,10 @@ def _p3_regions(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.consistent_text(table(spark, d, "regions").select("region_id", "text"), "text")
 
 
+def _p3_text(spark: SparkSession, d: str) -> DataFrame:
+    return lookalikes.consistent_rows(table(spark, d, "regions"), "regions", "region_id", "text").unionByName(lookalikes.consistent_rows(table(spark, d, "extractions"), "extractions", "ext_id", "quote"))
+
+
 def _p4_found(spark: SparkSession, d: str) -> DataFrame:
     return split.oversized(table(spark, d, "pages"), "pages", "page_id", "full_text").unionByName(split.oversized(table(spark, d, "regions"), "regions", "region_id", "text"))
 
@@ -45,6 +49,7 @@ def queries() -> dict[str, Query]:
         "p1_inventory": lambda s, d: format_copies.copy_counts(format_copies.inventory_copies(table(s, d, "list_items"))),
         "p3_found": _p3_found,
         "p3_regions": _p3_regions,
+        "p3_text": _p3_text,
         "p4_found": _p4_found,
         "p4_pieces": _p4_pieces,
         "p5_found": lambda s, d: scan_noise.noise_rows(table(s, d, "pages"), table(s, d, "regions")),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
-from quire.llm.lookalikes import FORMS, consistent_text, odd_rows, unify
+from quire.llm.lookalikes import FORMS, consistent_rows, consistent_text, odd_rows, unify
 
 
 @pytest.mark.parametrize(
@@ -33,3 +34,18 @@ def test_quote_equals_region(spark):
     b = spark.createDataFrame([("D​ｅep Wizard", 1)], "text string, i int")
     norm = lambda df: consistent_text(df, "text").first()["text_norm"]
     assert norm(a) == norm(b) == "Deep Wizard"
+
+
+def test_rows_of_a_table(spark, rows):
+    df = spark.createDataFrame([(1, "а D​eep сосо"), (2, "Ночь Θήκη"), (3, None), (4, "Νοτα"), (5, "pаge"), (6, "")], "ext_id long, quote string")
+    got = {r["row_id"]: (r["tbl"], r["text_norm"], r["kinds"]) for r in consistent_rows(df, "extractions", "ext_id", "quote").collect()}
+    assert got == {i: ("extractions", t, k) for i, t, k in [(1, "а Deep сосо", ["zero", "whole"]), (2, "Ночь Θήκη", []), (3, None, []), (4, "Νοτα", []), (5, "page", ["mixed"]), (6, "", [])]}
+    assert rows(odd_rows(df, "extractions", "ext_id", "quote").select("row_id")) == [(1,), (5,)]
+
+
+def test_query_has_quotes_and_texts(spark):
+    from quire.llm.queries import queries
+
+    out = queries()["p3_text"](spark, "/root/testdata/sf0.001")
+    tables = {r["tbl"]: r["n"] for r in out.groupBy("tbl").agg(F.count("*").alias("n")).collect()}
+    assert tables == {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").count() for t in ("regions", "extractions")}
