@@ -62,6 +62,7 @@ def queries() -> dict[str, Query]:
         "p9_mix_full": lambda s, d: _mix(s, d, 1e18).rows,
         "p9_shares": lambda s, d: _mix(s, d).shares,
         "p10_found": lambda s, d: spans.shared_spans(table(s, d, "documents"), "doc_id", "text"),
+        "p10_removed": lambda s, d: spans.spans_removed(table(s, d, "documents"), "doc_id", "text"),
         "p10_portions": lambda s, d: spans.shared_portions(table(s, d, "documents"), "doc_id", "text"),
     }
 

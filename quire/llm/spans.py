@@ -1,8 +1,10 @@
 """Long exact spans shared between records (problem 10).
 
-Every window of ``least`` characters has a smallest k-gram by hash value. Windows with equal text have equal smallest
-k-grams, so two documents share a window only if they share the k-gram's hash: consecutive windows with one smallest k-gram
-form a run, runs of hashes that one document alone has are dropped, and the remaining runs are compared by their text.
+Suffix automata of reference shards, against which documents are streamed for matching statistics. Every window of ``least``
+characters has a smallest k-gram by hash value, and windows with equal text have equal smallest k-grams. Consecutive windows
+with one smallest k-gram form a run; a run's text is a reference of the shard its hash belongs to, and is streamed against
+the automaton of that shard alone, where all text it can share stands. Runs of hashes that one document alone has share
+nothing and are left out before.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quire.llm.automaton import ShardAutomaton
 from quire.operators.skew import salted_lookup
 from quire.storage import shared_table
 
 GRAM = 40
+SHARD_CHARS = 250_000  # characters of references in one automaton, about 100 bytes of memory each while it is built
+PIECE = 4_000_000  # characters of contexts handed over at a time
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -77,57 +82,95 @@ def _anchors(least: int, k: int):
 
 
 def _contexts(least: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc, text, hs, rs in zip(pdf["doc"].tolist(), pdf["text"], pdf["hs"], pdf["rs"], strict=True):
-                for h, r in zip(hs.tolist(), rs.tolist(), strict=True):
+    schema = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("s", pa.int64()), ("n", pa.int32()), ("ctx", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        held = 0
+        for batch in batches:
+            for row in range(batch.num_rows):
+                doc, text = batch.column("doc")[row].as_py(), batch.column("text")[row].as_py()
+                for h, r in zip(batch.column("hs")[row].as_py(), batch.column("rs")[row].as_py(), strict=True):
                     s, n = r >> 8, r & 255
                     part = text[s : s + n + least - 1]
                     if len(part) == n + least - 1:
                         out.append((doc, h, s, n, part))
-            yield pd.DataFrame(out, columns=["doc", "h", "s", "n", "ctx"])
+                        held += len(part)
+                        if held >= PIECE:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+                            out, held = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     return run
 
 
-def shared_spans(df: DataFrame, doc_id: str, text: str, least: int = 100, k: int = GRAM) -> DataFrame:
+def _matched(least: int):
+    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = pdf["lo"].to_numpy(), pdf["hi"].to_numpy()
+        texts = pdf["ctx"].tolist()
+        which, begins, ends = ShardAutomaton(texts, lo, hi).long_matches(texts, np.where(lo == hi, lo, -1), lo == hi, least)
+        order = np.argsort(which, kind="stable")
+        which, begins, ends = which[order], begins[order], ends[order]
+        rows, first = np.unique(which, return_index=True)
+        found = pdf.iloc[rows][["h", "dig", "c"]].reset_index(drop=True)
+        lists = lambda x: pd.Series(np.split(x, first[1:]) if len(rows) else [], dtype=object)
+        return found.assign(begins=lists(begins), ends=lists(ends))
+
+    return shard
+
+
+def _by_windows(references: DataFrame, least: int) -> DataFrame:
+    """h, dig, c, begins, ends of references whose hash has more text than a shard holds, by digests of their windows."""
+    windows = references.select("h", "dig", "c", "lo", "hi", "ctx", F.explode(F.sequence(F.lit(0), F.length("ctx") - least)).alias("i"))
+    windows = shared_table(windows.select("h", "dig", "c", "lo", "hi", "i", F.unhex(F.md5(F.substring(F.col("ctx"), F.col("i") + 1, F.lit(least)).cast("binary"))).alias("w")), "windows")
+    several = windows.groupBy("w").agg(F.min("lo").alias("wlo"), F.max("hi").alias("whi"), F.count("*").alias("times")).where("wlo <> whi").select("w", "times")
+    hit = salted_lookup(windows, several, ["w"], "times", F.struct("h", "dig", "i"))
+    found = hit.groupBy("h", "dig", "c").agg(F.array_sort(F.collect_set("i")).alias("begins"))
+    return found.withColumn("ends", F.transform("begins", lambda i: i + least))
+
+
+def shared_spans(df: DataFrame, doc_id: str, text: str, least: int = 100, k: int = GRAM, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """doc_id, span_start, span_end: the longest runs of positions that lie in a stretch of ``least`` characters that also
     stands, exactly so, in a document with another doc_id. Exact; no stretch is sampled or capped.
 
     Null texts, null ids and texts shorter than ``least`` give nothing. Rows that repeat a doc_id are one document. Texts
-    of any length are processed whole; k + 1 < least <= k + 256.
+    of any length are processed whole; k + 1 < least <= k + 254.
 
     Cost: one hash pass over all text (NumPy over Arrow batches) gives one run for about (least - k) / 2 characters; runs
     go through one aggregation and one join by hash. Only runs with a hash of two or more documents meet their text again.
-    Those whose whole text two documents have are settled at once, one row each; among the rest single windows are compared
-    by digest. Everything within a hash is an aggregation (least and largest doc_id): pairs are never formed, and a hash that
-    a third of all documents has is combined before the shuffle and split in the join.
+    Equal run texts become one reference, with the least and largest doc_id that has it, so pairs are never formed and a
+    passage that a third of all documents has is one reference. References are spread over shards by hash; each automaton
+    goes to one task together with the runs that can match it. Sending every automaton to every document would be quadratic.
+    A hash with more reference text than shard_chars is no shard's: its windows are compared by digest over all tasks.
     """
-    if not k + 1 < least <= k + 256:
-        raise ValueError("least must lie between k + 2 and k + 256")
+    if not k + 1 < least <= k + 254:
+        raise ValueError("least must lie between k + 2 and k + 254")
+    spark = df.sparkSession
     docs = df.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where((F.length("text") >= least) & F.col("doc").isNotNull())
     anchors = shared_table(docs.mapInArrow(_anchors(least, k), "doc long, h long, run long"), "runs")
     known = anchors.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c"))
     hit = salted_lookup(anchors, known.where("lo <> hi").select("h", "c"), ["h"], "c", F.col("run"))
-    by_doc = hit.groupBy("doc").agg(F.collect_list("h").alias("hs"), F.collect_list("run").alias("rs"))
-    contexts = docs.join(by_doc, "doc").mapInPandas(_contexts(least), "doc long, h long, s long, n int, ctx string")
-    contexts = contexts.withColumn("dig", F.unhex(F.md5(F.col("ctx").cast("binary"))))
-    contexts = shared_table(contexts, "contexts")
-    groups = shared_table(contexts.groupBy("h", "dig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c")), "context-groups")
-    several = groups.groupBy("h").agg(F.count("*").alias("v")).where("v > 1")
-    groups = shared_table(salted_lookup(groups, several, ["h"], "v", F.col("dig")).select("h", "dig", F.lit(True).alias("several")).join(groups, ["h", "dig"], "right"), "context-kinds")
-    rows = salted_lookup(contexts, groups, ["h", "dig"], "c", F.struct("doc", "s"))
-    settled = rows.where("lo <> hi").select("doc", F.col("s").alias("a"), (F.col("s") + F.col("n") - 1).alias("b"))
-    # one row of each differing context; those of two documents take part as they are known to be shared
-    open_ = rows.where("several and (lo = hi or doc = lo)").groupBy("h", "dig").agg(F.first("ctx").alias("ctx"), F.first("n").alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-    windows = open_.select("h", "dig", "lo", "hi", "ctx", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    windows = shared_table(windows.select("h", "dig", "lo", "hi", "i", F.unhex(F.md5(F.substring(F.col("ctx"), F.col("i") + 1, F.lit(least)).cast("binary"))).alias("w")), "windows")
-    found = windows.groupBy("w").agg(F.min("lo").alias("wlo"), F.max("hi").alias("whi"), F.count("*").alias("c")).where("wlo <> whi").select("w", "c")
-    more = salted_lookup(windows.where("lo = hi"), found, ["w"], "c", F.struct("h", "dig", "i")).groupBy("h", "dig").agg(F.collect_set("i").alias("is"))
-    single = rows.where("lo = hi").select("doc", "s", "h", "dig").join(more, ["h", "dig"])
-    parts = single.select("doc", F.explode("is").alias("i"), "s").select("doc", (F.col("s") + F.col("i")).alias("a"), (F.col("s") + F.col("i")).alias("b"))
-    starts = settled.unionByName(parts).distinct().select("doc", "a", (F.col("b") + least).alias("e"))
+    by_doc = hit.groupBy("doc").agg(F.collect_list("h").alias("hs"), F.collect_list("run").alias("rs"))  # as long as the document's text allows
+    contexts = docs.join(by_doc, "doc").mapInArrow(_contexts(least), "doc long, h long, s long, n int, ctx string")
+    contexts = shared_table(contexts.withColumn("dig", F.unhex(F.md5(F.col("ctx").cast("binary")))), "contexts")
+    references = contexts.groupBy("h", "dig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c"), F.first("ctx").alias("ctx"))
+    references = shared_table(references.where("lo is not null"), "references")
+    chars = references.groupBy("h").agg(F.sum(F.length("ctx")).alias("chars"), F.count("*").alias("m"))
+    large = shared_table(chars.where(F.col("chars") > shard_chars).select("h", "m"), "large-hashes")
+    total = references.agg(F.sum(F.length("ctx"))).collect()[0][0] or 0
+    shards = max(1, 2 * total // shard_chars)
+    rest, more = references, None
+    if not large.isEmpty():
+        rest = references.join(large, "h", "left_anti")
+        more = _by_windows(salted_lookup(references, large, ["h"], "m", F.col("dig")), least)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = rest.withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards))).repartition(tasks, "shard")
+    found = placed.groupBy("shard").applyInPandas(_matched(least), "h long, dig binary, c long, begins array<int>, ends array<int>")
+    found = shared_table(found if more is None else found.unionByName(more), "matches")
+    rows = salted_lookup(contexts.select("doc", "s", "h", "dig"), found, ["h", "dig"], "c", F.struct("doc", "s"))
+    parts = rows.select("doc", "s", F.explode(F.arrays_zip("begins", "ends")).alias("p"))
+    starts = parts.select("doc", (F.col("s") + F.col("p.begins")).alias("a"), (F.col("s") + F.col("p.ends")).alias("e")).distinct()
     order = W.partitionBy("doc").orderBy("a", "e")  # a document's own spans: as many as its length allows
     before = F.max("e").over(order.rowsBetween(W.unboundedPreceding, -1))
     islands = starts.withColumn("new", (before.isNull() | (F.col("a") > before)).cast("int")).withColumn("island", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
@@ -141,3 +184,19 @@ def shared_portions(df: DataFrame, doc_id: str, text: str, least: int = 100, k:
     sizes = df.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias(doc_id)).agg(F.max(F.coalesce(F.length(text), F.lit(0))).cast("long").alias("n_chars"))
     both = sizes.join(spans, doc_id, "left").na.fill(0, ["shared_chars"])
     return both.withColumn("share", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0))
+
+
+def spans_removed(df: DataFrame, doc_id: str, text: str, least: int = 100, k: int = GRAM) -> DataFrame:
+    """doc_id, text_left, removed_chars for every row: its text without the maximal shared spans, and their characters.
+
+    A text without shared spans stays as it is; null stays null; a text that is shared as a whole becomes empty. Rows with
+    a null doc_id keep their text. Rows that repeat a doc_id lose the spans of all texts of that doc_id.
+    """
+    spans = shared_spans(df, doc_id, text, least, k).groupBy(doc_id).agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans"))
+    rows = df.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__text")).join(spans.withColumnRenamed(doc_id, "__id"), "__id", "left")
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
+    piece = lambda a, n: F.substring(F.col("__text"), (a + 1).cast("int"), n.cast("int"))
+    cut = lambda acc, x: F.struct(x["span_end"].alias("at"), F.array_append(acc["parts"], piece(acc["at"], x["span_start"] - acc["at"])).alias("parts"))
+    left = F.aggregate("spans", begin, cut, lambda acc: F.concat(F.array_join(acc["parts"], ""), piece(acc["at"], F.length("__text") - acc["at"])))
+    out = rows.select(F.col("__id").alias(doc_id), F.col("__text"), F.when(F.col("spans").isNull(), F.col("__text")).otherwise(left).alias("text_left"))
+    return out.select(doc_id, "text_left", (F.length("__text") - F.length("text_left")).alias("removed_chars"))

@@ -6,7 +6,10 @@ import random
 
 import pytest
 
-from quire.llm.spans import gram_hashes, runs, shared_portions, shared_spans
+import numpy as np
+
+from quire.llm.automaton import ShardAutomaton
+from quire.llm.spans import gram_hashes, runs, shared_portions, shared_spans, spans_removed
 
 
 def brute(rows, least):
@@ -49,6 +52,48 @@ def test_against_brute_force(spark, seed):
     rows += [(3, rows[3][1]), (52, rows[7][1]), (53, "z" * 400), (54, "z" * 90)]
     got = {tuple(r) for r in shared_spans(frame(spark, [*rows, (50, ""), (51, None), (None, rows[1][1])]), "doc_id", "text", 20, 8).collect()}
     assert got == brute(rows, 20)
+    # shards of a few texts, and hashes larger than a shard, give the same
+    for chars in (200, 30):
+        small = shared_spans(frame(spark, rows), "doc_id", "text", 20, 8, shard_chars=chars)
+        assert {tuple(r) for r in small.collect()} == brute(rows, 20)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_matching_statistics(seed):
+    """Own text in the shard, and texts with strings and characters that the shard has not."""
+    rng = random.Random(seed)
+    texts = list(dict.fromkeys("".join(rng.choices("ab", k=rng.randint(1, 40))) for _ in range(25)))
+    docs = np.array([rng.randint(1, 8) for _ in texts])
+    hi = np.where(np.array([rng.random() < 0.2 for _ in texts]), docs + 1, docs)
+    asked = [*texts, "abxab" * 6, "b" * 30, "yyy"]
+    own = np.concatenate([np.where(docs == hi, docs, -1), [-1, 3, 3]])
+    apart = np.concatenate([docs == hi, [False, True, True]])
+    which, begins, ends = ShardAutomaton(texts, docs, hi).long_matches(asked, own, apart, 4)
+    got = {(int(w), int(b), int(e)) for w, b, e in zip(which, begins, ends, strict=True)}
+    want = set()
+    for i, t in enumerate(asked):
+        there = [x for x, a, b in zip(texts, docs, hi, strict=True) if not apart[i] or a != own[i] or b != own[i]]
+        hit = [False] * (len(t) + 1)
+        for j in range(len(t) - 3):
+            if any(t[j : j + 4] in x for x in there):
+                hit[j : j + 4] = [True] * 4
+        j = 0
+        while j < len(t):
+            k = j
+            while hit[k]:
+                k += 1
+            if k > j:
+                want.add((i, j, k))
+            j = k + 1
+    cover = lambda spans: {(i, p) for i, b, e in spans for p in range(b, e)}
+    assert cover(got) == cover(want)
+
+
+def test_removed(spark):
+    text = "".join(random.Random(5).choices("abcdefgh ", k=400))
+    rows = [(1, "one " + text[:150] + " two " + text[200:320] + " three"), (2, text), (3, "nothing"), (4, None)]
+    got = {r["doc_id"]: (r["text_left"], r["removed_chars"]) for r in spans_removed(frame(spark, rows), "doc_id", "text").collect()}
+    assert got == {1: ("one  two  three", 270), 2: (text[150:200] + text[320:], 270), 3: ("nothing", 0), 4: (None, None)}
 
 
 def test_groups_of_copies(spark):
