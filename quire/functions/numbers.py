@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# fixed values: the patterns of numbers and identifiers ([0-9], as Java and RE2 must agree), and the base of speeds
 NUMBER = r"[-+]?\s*[0-9][0-9.,]*"
 IDENTIFIER = r"[A-Za-z0-9][A-Za-z0-9.,/\\-]*[A-Za-z0-9]|[A-Za-z0-9]"
+BASE_SPEED = 30
 
 
 def one_minus(c: Column) -> Column:
@@ -42,3 +48,31 @@ def json_numbers(c: Column) -> Column:
     bare = F.regexp_replace(c, r'"(\\.|[^"\\])*"', "")
     found = F.regexp_extract_all(bare, F.lit(r"(-?[0-9]+(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?)"), F.lit(1))
     return F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda t: t.cast("double"))
+
+
+def witnesses_py(value: object, base: int = BASE_SPEED) -> list[list[float]]:
+    """For each number in a JSON value, at any depth, the numbers of a quote that can witness it: itself, and for the amount of
+    a speed bonus also its sum with the base. Booleans are no numbers."""
+    out, todo = [], [(value, False)]
+    while todo:
+        v, derived = todo.pop()
+        if isinstance(v, dict):
+            todo += [(x, v.get("kind") == "speed_bonus" and k == "amount") for k, x in v.items()]
+        elif isinstance(v, list):
+            todo += [(x, False) for x in v]
+        elif isinstance(v, (int, float)) and not isinstance(v, bool):
+            out.append([float(v), float(v) + base] if derived else [float(v)])
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.ArrayType(T.DoubleType())))
+def witnesses(s: pd.Series) -> pd.Series:
+    """``witnesses_py`` of JSON texts; null for null and for text that is no JSON."""
+
+    def one(v: str | None) -> list | None:
+        try:
+            return None if v is None else witnesses_py(json.loads(v))
+        except (ValueError, RecursionError, OverflowError):
+            return None
+
+    return s.map(one)

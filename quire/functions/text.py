@@ -58,7 +58,7 @@ def duration(seconds: Column) -> Column:
 
 
 # fixed values: region labels of the first engine and the types they stand for
-LABELS = {"text": "text", "paragraph_title": "text", "doc_title": "text", "title": "text", "table": "table", "formula": "formula", "equation": "formula", "seal": "stamp", "stamp": "stamp"}
+LABELS = {"text": "text", "paragraph_title": "text", "doc_title": "text", "title": "text", "table": "table", "table_title": "table", "formula": "formula", "equation": "formula", "seal": "stamp", "stamp": "stamp"}
 
 
 def region_type(label: Column) -> Column:

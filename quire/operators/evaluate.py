@@ -2,15 +2,45 @@
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY = ["field", "item"]
 
 
+DEFAULTS = {"condition": "always"}  # fixed value: properties of effects that mean the same when left out
+
+
+def bare(v: object) -> object:
+    """A JSON value without properties of effects that stand at their default, at any depth."""
+    if isinstance(v, list):
+        return [bare(x) for x in v]
+    if isinstance(v, dict):
+        return {k: bare(x) for k, x in v.items() if "kind" not in v or k not in DEFAULTS or x != DEFAULTS[k]}
+    return v
+
+
+@F.pandas_udf(T.StringType())
+def _structure(s: pd.Series) -> pd.Series:
+    def one(v: str | None) -> str | None:
+        try:
+            return None if v is None else json.dumps(bare(json.loads(v)), sort_keys=True, ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return v.strip().lower()
+
+    return s.map(one)
+
+
 def plain(v: Column) -> Column:
-    """A value in the form that is compared: no white space, no letter case; null is ''."""
-    return F.coalesce(F.lower(F.regexp_replace(v, r"\s", "")), F.lit(""))
+    """A value in the form that is compared: arrays and objects as JSON with sorted keys and without defaults, others without letter
+    case and outer white space; null is ''."""
+    inner = v.rlike(r"^\s*[\[{]")
+    edges = F.lower(F.regexp_replace(v, r"^\s+|\s+$", ""))
+    return F.coalesce(F.when(inner, _structure(F.when(inner, v))).otherwise(edges), F.lit(""))
 
 
 def compared(pred: DataFrame, gold: DataFrame) -> DataFrame:

@@ -3,30 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions import boxes, fuzzy, numbers, text
+from quire.operators.nested_tables import Emit, tagged_rows
 from quire.storage import shared_table
 
-# fixed values: the closed list of damage types, the kinds that need an amount, and those without effect at amount 0
+# fixed values: the closed list of damage types, the kinds that need exactly one of two properties, and those without effect at
+# amount 0
 DAMAGE_TYPES = ("acid", "bludgeoning", "cold", "fire", "force", "lightning", "necrotic", "piercing", "poison", "psychic", "radiant", "slashing", "thunder")
-NEED_AMOUNT = ("speed_bonus", "ac_bonus", "attack_bonus", "save_bonus", "resource_cost")
+ONE_OF = {"speed_bonus": ("amount", "byLevel"), "ac_bonus": ("amount", "fromAbilityModifier"), "attack_bonus": ("amount", "byLevel"), "save_bonus": ("amount", "fromAbilityModifier"), "resource_cost": ("amount", "variableAmount")}
 NO_OP_AT_ZERO = ("speed_bonus", "ac_bonus", "attack_bonus", "save_bonus", "damage_bonus", "initiative_bonus", "hp_bonus_per_level", "ability_score_bonus", "spell_attack_bonus", "spell_save_dc_bonus", "check_modifier")
 
 
-def value_in_quote(value_json: Column, quote: Column, base: int = 30) -> Column:
-    """Whether a value can be derived from its quote: both null; a number that stands in the quote; a string whose normal form
-    is part of the quote's; an array or object all of whose numbers stand in the quote (an amount also as the sum with base)."""
+def value_in_quote(value_json: Column, quote: Column) -> Column:
+    """Whether a value can be derived from its quote: both null; a number that stands in the quote; a string or boolean whose normal
+    form is part of the quote's; an array or object each of whose numbers has a witness in the quote (``numbers.witnesses``).
+    Only arrays and objects leave the JVM."""
     v = F.trim(value_json)
     null = value_json.isNull() | (v == "null")
     said = numbers.signed_numbers(quote)
     near = lambda n: F.exists(said, lambda x: F.abs(x - n) < 1e-6)
-    number = v.try_cast("double") if hasattr(v, "try_cast") else F.expr("null")
-    string = text.normalize(F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v"))
-    nested = F.forall(numbers.json_numbers(v), lambda n: near(n) | near(n + base))
-    return F.when(null & quote.isNull(), True).when(null | quote.isNull(), False).when(v.rlike(r"^[\[{]"), nested).when(v.rlike('^"'), (string != "") & F.contains(text.normalize(quote), string)).otherwise(F.coalesce(near(number), F.lit(False)))
+    number = v.try_cast("double")
+    quoted = v.rlike('^"')
+    string = text.normalize(F.when(quoted, F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v")).otherwise(v))
+    inner = v.rlike(r"^[\[{]")
+    nested = F.coalesce(F.forall(numbers.witnesses(F.when(inner, v)), lambda w: F.exists(w, near)), F.lit(False))
+    said_so = (string != "") & F.contains(text.normalize(quote), string)
+    return F.when(null & quote.isNull(), True).when(null | quote.isNull(), False).when(inner, nested).when(quoted | v.isin("true", "false"), said_so).otherwise(F.coalesce(near(number), F.lit(False)))
 
 
 def by_page(df: DataFrame) -> DataFrame:
@@ -78,12 +85,43 @@ def located(quotes: DataFrame, regions: DataFrame, threshold: float = 80.0) -> D
 
 
 def effect_errors(e: Column) -> Column:
-    """What the loader's rules find wrong with an effect, as an array of codes."""
-    no_amount = e["kind"].isin(*NEED_AMOUNT) & e["amount"].isNull()
-    empty = lambda c: e[c].isNull()
-    no_op = e["kind"].isin(*NO_OP_AT_ZERO) & (e["amount"] == 0) & empty("base") & empty("abilities") & empty("skills") & empty("damageTypes")
-    unknown = F.exists(e["damageTypes"], lambda t: ~F.lower(t).isin(*DAMAGE_TYPES))
-    return F.array_compact(F.array(F.when(no_amount, "amount_missing"), F.when(no_op, "no_effect"), F.when(unknown, "damage_type")))
+    """What the loader's rules find wrong with an effect, as a sorted array of codes: not exactly one of two properties, an amount
+    of 0 without anything else, an unknown damage type. e: struct<kind, amount, alone, has, types> as ``object_rows`` gives it."""
+    some = lambda k: F.array_contains(e["has"], k)
+    one_of = F.coalesce(F.array_max(F.array(*[((e["kind"] == k) & (some(a) == some(b))) for k, (a, b) in ONE_OF.items()])), F.lit(False))
+    no_op = e["kind"].isin(*NO_OP_AT_ZERO) & (e["amount"] == 0) & e["alone"]
+    unknown = F.exists(e["types"], lambda t: ~F.lower(t).isin(*DAMAGE_TYPES))
+    return F.array_compact(F.array(F.when(unknown, "damage_type"), F.when(no_op, "no_effect"), F.when(one_of, "one_of")))
+
+
+def visit_objects(record: Any, emit: Emit) -> None:
+    """Emits ``object`` for each JSON object at any depth that has a kind or damage types: pk its path, payload what the
+    loader's rules look at: kind, amount, alone (no property but kind, condition and amount), has (properties that are not
+    null), types (its damage types)."""
+    todo = [("$", record)]
+    while todo:
+        path, v = todo.pop()
+        if isinstance(v, list):
+            todo += [(f"{path}[{i}]", x) for i, x in reversed(list(enumerate(v)))]
+        if not isinstance(v, dict):
+            continue
+        todo += [(f"{path}.{k}", x) for k, x in reversed(list(v.items()))]
+        given = [t for k in ("damageType", "damageTypes") for t in (v[k] if isinstance(v.get(k), list) else [v.get(k)]) if isinstance(t, str)]
+        if given or isinstance(v.get("kind"), str):
+            amount = v.get("amount")
+            number = amount if isinstance(amount, (int, float)) and not isinstance(amount, bool) else None
+            emit("object", path, None, {"kind": v.get("kind") if isinstance(v.get("kind"), str) else None, "amount": number, "alone": set(v) <= {"kind", "condition", "amount"}, "has": [k for k, x in v.items() if x is not None], "types": given})
+
+
+OBJECT = "kind string, amount double, alone boolean, has array<string>, types array<string>"
+
+
+def taxonomy_errors(df: DataFrame, row_id: str, value: str) -> DataFrame:
+    """row_id, path, kind, errors (codes joined by commas, '' where there are none) of every object of the taxonomy in a JSON column,
+    options and other nested ones included. Null values and text that is no JSON have no objects."""
+    found = tagged_rows(df, row_id, value, visit_objects).where("tag = 'object'")
+    rows = found.select("row_id", F.col("pk").alias("path"), F.from_json("payload", OBJECT).alias("e"))
+    return rows.select("row_id", "path", "e.kind", F.array_join(effect_errors(F.col("e")), ",").alias("errors"))
 
 
 def dependents(changed: DataFrame, extractions: DataFrame) -> DataFrame:

@@ -2,46 +2,56 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import fuzzy
 from quire.operators.gates import by_page
+from quire.operators.skew import rank_within, running_within
 from quire.storage import shared_table
 
 PAGE = ["doc_id", "page_no"]
 
 
-def window_starts(sizes: list[float], budget: float) -> list[tuple[int, int]]:
-    """(first, last + 1) of greedy windows within budget that overlap by one block; an oversized block stands alone."""
-    out, i = [], 0
-    while i < len(sizes):
-        total, j = 0.0, i
-        while j < len(sizes) and (j == i or total + sizes[j] <= budget):
-            total += sizes[j]
-            j += 1
-        out.append((i, j))
-        if j >= len(sizes):
+def greedy_windows(blocks: DataFrame, budget: int) -> DataFrame:
+    """doc_id, window, first, last: a file's blocks (doc_id, pos, size; pos 0, 1, 2 ...) packed in order into windows whose sizes
+    stay within budget. The last block of a window is the first of the next one; a block too large for a window stands alone.
+
+    No file lies in one task. The end of the window that would begin at a block is found by running sums, among the blocks
+    of the same or the next stretch of ``budget``; which blocks do begin one follows by doubling the jumps from block to next
+    beginning, so that the number of passes grows with the logarithm of the windows of a file.
+    """
+    sums = running_within(blocks.select("doc_id", "pos", F.greatest(F.coalesce(F.col("size").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("size")), ["doc_id"], ["pos"], "size", "until")
+    sums = shared_table(sums.withColumns({"before": F.col("until") - F.col("size"), "b": F.floor((F.col("until") - F.col("size")) / budget), "e": F.floor(F.col("until") / budget)}), "sums")
+    begin = sums.select("doc_id", F.col("b").alias("stretch"), F.col("before").alias("key"), "pos", F.lit(True).alias("begins"))
+    end = sums.select("doc_id", F.explode(F.array("e", F.col("e") - 1)).alias("stretch"), F.col("until").alias("key"), "pos", F.lit(False).alias("begins"))
+    reach = W.partitionBy("doc_id", "stretch").orderBy("key").rangeBetween(0, budget)
+    ends = begin.unionByName(end).withColumn("last", F.max(F.when(~F.col("begins"), F.col("pos"))).over(reach)).where("begins")
+    size = sums.groupBy("doc_id").agg(F.max("pos").alias("final"))
+    ends = shared_table(ends.select("doc_id", "pos", F.greatest("pos", F.coalesce("last", "pos")).alias("last")).join(size, "doc_id"), "window-ends")
+    jump = ends.where("last < final").select("doc_id", "pos", F.greatest("last", F.col("pos") + 1).alias("to"))
+    found, hops = shared_table(size.select("doc_id", F.lit(0).cast(blocks.schema["pos"].dataType).alias("pos"), F.lit(0).alias("window")), "windows"), 1
+    while True:
+        more = shared_table(found.join(jump, ["doc_id", "pos"]).select("doc_id", F.col("to").alias("pos"), (F.col("window") + hops).alias("window")), "windows")
+        if more.isEmpty():
             break
-        i = j - 1 if j - 1 > i else j
-    return out
+        found = found.unionByName(more)
+        jump = shared_table(jump.withColumnsRenamed({"pos": "__from", "to": "pos"}).join(jump, ["doc_id", "pos"]).select("doc_id", F.col("__from").alias("pos"), "to"), "jumps")
+        hops *= 2
+    return found.join(ends, ["doc_id", "pos"]).select("doc_id", "window", F.col("pos").alias("first"), "last")
 
 
-def page_windows(pages: DataFrame, budget: float) -> DataFrame:
-    """doc_id, window, first_page, last_page: a file's pages (doc_id, page_no, size) packed in order.
+def page_windows(pages: DataFrame, budget: int) -> DataFrame:
+    """doc_id, window, first_page, last_page: a file's pages (doc_id, page_no, size) packed in order, overlapping by a page."""
+    blocks = shared_table(rank_within(pages.select("doc_id", "page_no", "size"), ["doc_id"], ["page_no"], "pos"), "blocks")
+    return _with_pages(greedy_windows(blocks, budget), blocks)
 
-    Each window depends on all before it, so a file is one group; only (page_no, size), 12 bytes a page, travel, never text.
-    """
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("page_no")
-        nos = pdf["page_no"].tolist()
-        found = window_starts(pdf["size"].tolist(), budget)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "window": range(len(found)), "first_page": [nos[a] for a, _ in found], "last_page": [nos[b - 1] for _, b in found]})
-
-    return pages.select("doc_id", "page_no", F.col("size").cast("double").alias("size")).groupBy("doc_id").applyInPandas(one, "doc_id string, window int, first_page int, last_page int")
+def _with_pages(windows: DataFrame, blocks: DataFrame) -> DataFrame:
+    at = lambda c, page: blocks.select("doc_id", F.col("pos").alias(c), F.col("page_no").alias(page))
+    named = windows.join(at("first", "first_page"), ["doc_id", "first"]).join(at("last", "last_page"), ["doc_id", "last"])
+    return named.select("doc_id", "window", "first_page", "last_page")
 
 
 def spend(rows: Column, budget: int) -> Column:
@@ -57,29 +67,26 @@ def tables_in_budget(regions: DataFrame, budget: int) -> DataFrame:
     return t.groupBy(*PAGE).agg(spend(F.array_sort(F.collect_list("r")), budget).alias("ids")).select(*PAGE, F.explode("ids").alias("region_id"))
 
 
-def page_blocks(regions: DataFrame, budget: int) -> DataFrame:
-    """doc_id, page_no, region_id, block: a page's regions in order, a new block where the budget would be exceeded."""
-    r = regions.select(*PAGE, F.struct(F.col("order_idx").alias("o"), F.col("region_id").alias("id"), F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("size")).alias("r"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("block"), F.array().cast("array<struct<id:bigint,block:int>>").alias("out"))
-
-    def step(acc: Column, r: Column) -> Column:
-        new = (F.size(acc["out"]) > 0) & (acc["used"] + r["size"] > budget)
-        block = acc["block"] + new.cast("int")
-        return F.struct(F.when(new, r["size"]).otherwise(acc["used"] + r["size"]).alias("used"), block.alias("block"), F.array_append(acc["out"], F.struct(r["id"].alias("id"), block.alias("block"))).alias("out"))
-
-    rows = r.groupBy(*PAGE).agg(F.array_sort(F.collect_list("r")).alias("rs"))
-    return rows.select(*PAGE, F.explode(F.aggregate("rs", start, step, lambda acc: acc["out"])).alias("x")).select(*PAGE, F.col("x.id").alias("region_id"), "x.block")
+def page_blocks(regions: DataFrame, budget: float) -> DataFrame:
+    """doc_id, page_no, region_id, block: a page's regions in order (order_idx, region_id), a new block where the budget would be
+    exceeded. regions: doc_id, page_no, order_idx, region_id, head (size of the heading that each block repeats), size (of the
+    region's row, its line end included). A region that exceeds the budget with the heading alone is a block of its own. A page
+    is one array of numbers.
+    """
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
+    row = F.struct("order_idx", "region_id", number("head"), number("size"))
+    rows = regions.select(*PAGE, row.alias("r")).groupBy(*PAGE).agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    none = F.array().cast("array<struct<id:bigint,block:int>>")
 
+    def place(done: Column, r: Column) -> Column:
+        fits = (F.size(done["out"]) == 0) | (done["used"] + r["size"] <= budget)
+        block = done["block"] + F.when(fits, 0).otherwise(1)
+        used = F.when(fits & (F.size(done["out"]) > 0), done["used"]).otherwise(r["head"]) + r["size"]
+        return F.struct(used.alias("used"), block.alias("block"), F.array_append(done["out"], F.struct(r["region_id"].cast("bigint").alias("id"), block.alias("block"))).alias("out"))
 
-def item_spans(items: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
-    """item_id, region_id: a page's regions from an item's first region up to the next item's, as far as their running length
-    stays within budget. items: item_id, doc_id, page_no, start (region id); regions: doc_id, page_no, region_id, size."""
-    order = W.partitionBy(*PAGE).orderBy("start", "item_id")
-    starts = items.withColumn("following", F.min("start").over(W.partitionBy(*PAGE).orderBy("start").rangeBetween(1, W.unboundedFollowing)))
-    joined = starts.join(regions, PAGE).where("region_id >= start and (following is null or region_id < following)")
-    running = F.sum("size").over(W.partitionBy("item_id").orderBy("region_id"))
-    del order
-    return joined.withColumn("running", running).where(F.col("running") <= budget).select("item_id", "region_id")
+    start = F.struct(F.lit(0.0).alias("used"), F.lit(0).alias("block"), none.alias("out"))
+    placed = rows.select(*PAGE, F.explode(F.aggregate("rs", start, place, lambda done: done["out"])).alias("x"))
+    return placed.select(*PAGE, F.col("x.id").alias("region_id"), "x.block")
 
 
 def file_spans(items: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
@@ -127,30 +134,18 @@ def asof_page(items: DataFrame, pages: DataFrame, reach: int) -> DataFrame:
     return wide.join(pages, ["doc_id", "page_no"]).where(F.contains("norm", "section")).groupBy("item_id").agg(F.max("page_no").alias("found_page"))
 
 
-def enumeration_windows(pages: DataFrame, regions: DataFrame, budget: float) -> DataFrame:
+def enumeration_windows(pages: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
     """doc_id, first_page, last_page: the windows in which items are looked for. pages: doc_id, page_no; regions: doc_id, page_no,
-    order_idx, region_id, size (tokens of its line). A page is one block of its heading and regions, more where it exceeds the
-    budget; blocks are packed like pages in ``page_windows``. A file is one group; only numbers travel.
+    order_idx, region_id, size (tokens of its row). A page is one block of its heading and regions, more where it exceeds the
+    budget (``page_blocks``); blocks are packed by ``greedy_windows``.
     """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        nos, sizes = [], []
-        for no, page in pdf.sort_values(["page_no", "order_idx", "region_id"]).groupby("page_no", sort=True):
-            base = 1.3 * (len(str(no)) + 11 + 22 / 3)  # fixed value: digits, signs and letters of a block's two heading lines
-            total, most, n = base, base, 0
-            for size in page["size"].dropna().tolist():
-                if n and most + size + 1 > budget:
-                    nos.append(no)
-                    sizes.append(total)
-                    total, most, n = base, base, 0
-                total, most, n = total + size, most + size + 1, n + 1
-            nos.append(no)
-            sizes.append(total)
-        found = window_starts(sizes, budget)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "first_page": [nos[a] for a, _ in found], "last_page": [nos[b - 1] for _, b in found]})
-
-    rows = pages.select(*PAGE).join(regions, PAGE, "left")
-    return rows.groupBy("doc_id").applyInPandas(one, "doc_id string, first_page int, last_page int")
+    head = 1.3 * (F.length(F.col("page_no").cast("string")) + 11 + 22 / 3)  # fixed value: digits, signs and letters of a block's two heading lines
+    sized = shared_table(regions.select(*PAGE, "order_idx", "region_id", head.alias("head"), F.coalesce("size", F.lit(0.0)).alias("size")), "rows")
+    placed = page_blocks(sized.withColumn("size", F.col("size") + 1), budget).join(sized.select("region_id", "size"), "region_id")
+    filled = placed.groupBy(*PAGE, "block").agg(F.sum("size").alias("size"))
+    blocks = pages.select(*PAGE).distinct().join(filled, PAGE, "left").select(*PAGE, F.coalesce("block", F.lit(0)).alias("block"), (head + F.coalesce("size", F.lit(0.0))).alias("size"))
+    blocks = shared_table(rank_within(shared_table(blocks, "page-blocks"), ["doc_id"], ["page_no", "block"], "pos"), "blocks")
+    return _with_pages(greedy_windows(blocks, budget), blocks).drop("window")
 
 
 def near_section(items: DataFrame, pages: DataFrame, windows: DataFrame, threshold: float = 90.0) -> DataFrame:
@@ -175,18 +170,29 @@ def near_section(items: DataFrame, pages: DataFrame, windows: DataFrame, thresho
 
 
 def prefix_duplicates(items: DataFrame) -> DataFrame:
-    """item_id of the items kept: an item is dropped if its anchor and that of a kept item of its page are prefixes of one
-    another and their region ids are equal or missing on a side. Order-dependent (by item_id), one group for each page."""
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple[str, tuple]] = []
-        out = []
-        for i, anchor, ids in sorted(zip(pdf["item_id"].tolist(), pdf["anchor"].tolist(), pdf["ids"].tolist(), strict=True)):
-            key = tuple(sorted(ids)) if ids is not None else ()
-            if not any((anchor.startswith(a) or a.startswith(anchor)) and (key == k or not key or not k) for a, k in kept):
-                kept.append((anchor, key))
-                out.append(i)
-        return pd.DataFrame({"item_id": out})
-
-    rows = items.select("doc_id", "page", "item_id", "anchor", F.col("region_ids").alias("ids"))
-    return rows.groupBy("doc_id", "page").applyInPandas(page, "item_id long")
+    """item_id of the items kept: in order of item_id, an item is dropped if a kept one of its page has an anchor that begins
+    with its own, or the other way round, and region ids that are equal or missing on a side. A null anchor counts as ''.
+
+    Items of a page with equal anchor and ids stand or fall together after the first, so one of each takes part. Conflicts are
+    found by joining anchors with the beginnings of others, by equality. Items in no conflict are kept at once; of the others
+    each pass decides those that all earlier opponents are decided for, so there are as many passes as the longest chain.
+    """
+    ids = F.array_sort(F.coalesce("region_ids", F.array().cast("array<bigint>")))
+    anchor = F.coalesce("anchor", F.lit(""))
+    distinct = items.groupBy("doc_id", "page", anchor.alias("anchor"), ids.alias("ids")).agg(F.min("item_id").alias("item_id"))
+    distinct = shared_table(distinct, "distinct-items")
+    begins = distinct.withColumn("anchor", F.explode(F.transform(F.sequence(F.lit(0), F.length("anchor")), lambda n: F.left(F.col("anchor"), n))))
+    other = distinct.select("doc_id", "page", "anchor", F.col("ids").alias("other_ids"), F.col("item_id").alias("other"))
+    pairs = begins.alias("b").join(other.alias("o"), F.col("b.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("b.page").eqNullSafe(F.col("o.page")) & (F.col("b.anchor") == F.col("o.anchor")))
+    pairs = pairs.where((F.col("item_id") != F.col("other")) & ((F.col("ids") == F.col("other_ids")) | (F.size("ids") == 0) | (F.size("other_ids") == 0)))
+    open_ = shared_table(pairs.select(F.least("item_id", "other").alias("first"), F.greatest("item_id", "other").alias("item_id")).distinct(), "conflicts")
+    dropped = None
+    while not open_.isEmpty():
+        waiting = open_.select("item_id").distinct()
+        settled = open_.select(F.col("first").alias("item_id")).distinct().join(waiting, "item_id", "left_anti")  # kept: nothing earlier is left
+        out = shared_table(open_.join(settled.withColumnRenamed("item_id", "first"), "first", "left_semi").select("item_id").distinct(), "dropped")
+        dropped = out if dropped is None else dropped.unionByName(out)
+        rest = open_.join(out, "item_id", "left_anti").join(out.withColumnRenamed("item_id", "first"), "first", "left_anti")
+        open_ = shared_table(rest, "conflicts")
+    kept = distinct.select("item_id")
+    return kept if dropped is None else kept.join(dropped, "item_id", "left_anti")

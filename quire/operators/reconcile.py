@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions import boxes
-from quire.functions.fuzzy import ratio
-from quire.functions.text import normalize_py
+from quire.functions import boxes, fuzzy
+from quire.functions.text import normalize
 
 
 def best_overlap(a: DataFrame, b: DataFrame, page: list[str], least: float = 0.5) -> DataFrame:
@@ -31,52 +29,37 @@ def vote_kind(a: Column, b: Column, c: Column) -> Column:
     return F.when(a.eqNullSafe(b) | a.eqNullSafe(c) | b.eqNullSafe(c), "majority").otherwise("divergent_low")
 
 
-def _overlap(p: list[float], q: list[float]) -> float:
-    w, h = max(0.0, min(p[2], q[2]) - max(p[0], q[0])), max(0.0, min(p[3], q[3]) - max(p[1], q[1]))
-    size = lambda r: max(0.0, r[2] - r[0]) * max(0.0, r[3] - r[1])
-    total = size(p) + size(q) - w * h
-    return w * h / total if total > 0 else 0.0
-
-
-def greedy_pairs(a: list[tuple], b: list[tuple], least: float, accept: float) -> list[tuple]:
-    """(id_a, id_b, outcome) in a's order; a and b: (id, box or None, text). Each b is claimed once: by the largest overlap of at
-    least ``least``, else by the most similar text of at least ``accept``; outcome accepted, conflict, by_text or alone."""
-    free = dict.fromkeys(range(len(b)))
-    out = []
-    norm_b = [normalize_py(x[2]) for x in b]
-    for ida, box_a, text_a in a:
-        na = normalize_py(text_a)
-        best, at = 0.0, None
-        for j in free:
-            if box_a is not None and b[j][1] is not None and (v := _overlap(box_a, b[j][1])) > best:
-                best, at = v, j
-        if at is not None and best >= least:
-            del free[at]
-            out.append((ida, b[at][0], "accepted" if ratio(na, norm_b[at]) >= 100 * accept else "conflict"))
-            continue
-        best, at = 0.0, None
-        for j in free:
-            total = len(na) + len(norm_b[j])
-            if total and 200.0 * min(len(na), len(norm_b[j])) / total < 100 * accept:
-                continue  # lengths alone rule it out
-            if (v := ratio(na, norm_b[j])) > best:
-                best, at = v, j
-        if at is not None and best >= 100 * accept:
-            del free[at]
-            out.append((ida, b[at][0], "by_text"))
-        else:
-            out.append((ida, None, "alone"))
-    return out
-
-
 def reconcile_pages(regions: DataFrame, least: float = 0.5, accept: float = 0.95) -> DataFrame:
-    """doc_id, page_no, id_a, id_b, outcome for each region of engine a. Order-dependent by nature, hence one group for each page."""
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order_idx", "region_id"])
-        side = lambda e: [(int(i), None if x is None else list(x), "" if t is None else t) for i, x, t in zip(pdf.loc[pdf["engine"] == e, "region_id"], pdf.loc[pdf["engine"] == e, "box"], pdf.loc[pdf["engine"] == e, "text"], strict=True)]
-        found = greedy_pairs(side("a"), side("b"), least, accept)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "page_no": pdf["page_no"].iloc[0], "id_a": pd.array([x[0] for x in found], "Int64"), "id_b": pd.array([x[1] for x in found], "Int64"), "outcome": [x[2] for x in found]})
-
-    rows = regions.where("engine in ('a', 'b')").select("doc_id", "page_no", "region_id", "order_idx", "engine", F.from_json("bbox", "array<double>").alias("box"), "text")
-    return rows.groupBy("doc_id", "page_no").applyInPandas(page, "doc_id string, page_no int, id_a long, id_b long, outcome string")
+    """doc_id, page_no, id_a, id_b, outcome for each region of engine a: accepted or conflict (paired by an overlap of at least
+    ``least``, with texts at least or less than ``accept`` similar), by_text (paired by that similarity) or alone.
+
+    Each region of a has a ranked list of partners: those that overlap enough, by overlap, then those whose text is similar
+    enough, by similarity; the one earlier in engine b's order wins a tie. In engine a's order each region gets the first
+    partner of its list that is still free. Only that last step depends on the order; it is a fold over the lists of a page.
+    Texts whose lengths alone rule the similarity out, and equal ones, are not scored. Null boxes overlap nothing; null texts
+    count as empty.
+    """
+    page = ["doc_id", "page_no"]
+    side = lambda e: regions.where(F.col("engine") == e).select(*page, "region_id", F.coalesce("order_idx", F.lit(-1)).alias("at"), boxes.box(F.col("bbox")).alias("box"), normalize(F.col("text")).alias("text"))
+    a, b = side("a"), side("b")
+    other = b.select(*page, F.col("region_id").alias("id_b"), F.col("at").alias("at_b"), F.col("box").alias("box_b"), F.col("text").alias("text_b"))
+    iou = F.coalesce(boxes.iou(F.col("box"), F.col("box_b")), F.lit(0.0))
+    n, m = F.length("text"), F.length("text_b")
+    possible = 2 * F.least(n, m) >= accept * (n + m)
+    pairs = a.join(other, page).withColumns({"iou": iou, "possible": possible}).where((F.col("iou") >= least) | F.col("possible"))
+    pairs = pairs.select(*page, "region_id", "id_b", "at_b", "iou", fuzzy.similarity(F.when(F.col("possible"), F.col("text")), F.when(F.col("possible"), F.col("text_b"))).alias("score"))
+    close = F.coalesce(F.col("score") >= 100 * accept, F.lit(False))
+    wish = F.when(F.col("iou") >= least, F.struct(F.lit(0).alias("kind"), (-F.col("iou")).alias("by"), F.col("at_b").alias("at"), F.col("id_b").alias("id"), F.when(close, "accepted").otherwise("conflict").alias("outcome")))
+    wish_text = F.when(close, F.struct(F.lit(1).alias("kind"), (-F.col("score")).alias("by"), F.col("at_b").alias("at"), F.col("id_b").alias("id"), F.lit("by_text").alias("outcome")))
+    lists = pairs.groupBy("region_id").agg(F.array_sort(F.array_compact(F.flatten(F.collect_list(F.array(wish, wish_text))))).alias("wishes"))
+    ranked = a.select(*page, "at", "region_id").join(lists, "region_id", "left")
+    turns = ranked.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("at", "region_id", "wishes"))).alias("turns"))
+
+    def turn(done: Column, x: Column) -> Column:
+        free = F.get(F.filter(x["wishes"], lambda v: ~F.array_contains(done["taken"], v["id"])), F.lit(0))
+        taken = F.when(free.isNotNull(), F.array_append(done["taken"], free["id"])).otherwise(done["taken"])
+        row = F.struct(x["region_id"].alias("id_a"), free["id"].alias("id_b"), F.coalesce(free["outcome"], F.lit("alone")).alias("outcome"))
+        return F.struct(taken.alias("taken"), F.array_append(done["rows"], row).alias("rows"))
+
+    start = F.struct(F.array().cast("array<bigint>").alias("taken"), F.array().cast("array<struct<id_a:bigint,id_b:bigint,outcome:string>>").alias("rows"))
+    return turns.select(*page, F.inline(F.aggregate("turns", start, turn, lambda done: done["rows"])))

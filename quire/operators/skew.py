@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -25,6 +26,15 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str
     return left.join(right, [*keys, "__part"]).drop("__part")
 
 
+def _in_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df range-partitioned and sorted by keys, written, with ``__p`` (its partition) and ``__i`` (its place in it)."""
+    from quire.storage import shared_table
+
+    parts = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    rows = shared_table(parts.withColumn("__seq", F.monotonically_increasing_id()), "ordered")
+    return rows.withColumns({"__p": F.shiftright("__seq", 33), "__i": F.col("__seq").bitwiseAND((1 << 33) - 1)}).drop("__seq")
+
+
 def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
     """df with the rank (from 0) of each row in its group by ``order``, without holding a group in one task.
 
@@ -32,17 +42,35 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "
     plus the sizes of the partitions before (one number for each partition goes to the driver); the group's first position
     is taken off. Ties get different ranks. df must be deterministic, e.g. a written table.
     """
-    from quire.storage import shared_table
-
-    keys = [*group, *order]
     spark = df.sparkSession
-    parts = df.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
-    rows = shared_table(parts.withColumn("__seq", F.monotonically_increasing_id()), "ranked")
-    sizes = rows.groupBy(F.shiftright("__seq", 33).alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect()
+    rows = _in_order(df, [*group, *order])
     offsets, total = {}, 0
-    for p, n in ((r["p"], r["n"]) for r in sizes):
+    for p, n in rows.groupBy("__p").agg(F.count("*")).orderBy("__p").collect():
         offsets[p], total = total, total + n
     small = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "__p long, __off long")
-    rows = rows.withColumn("__p", F.shiftright("__seq", 33)).join(F.broadcast(small), "__p").withColumn("__pos", F.col("__off") + F.col("__seq").bitwiseAND((1 << 33) - 1)).drop("__p", "__off", "__seq")
+    rows = rows.join(F.broadcast(small), "__p").withColumn("__pos", F.col("__off") + F.col("__i")).drop("__p", "__off", "__i")
     firsts = rows.groupBy(*group).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
     return salted_lookup(rows, firsts, group, "__n", F.col("__pos")).withColumn(name, F.col("__pos") - F.col("__first")).drop("__pos", "__first")
+
+
+def running_within(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """df with the sum of ``value`` over the rows of its group up to each row by ``order``, without holding a group in one task.
+
+    Rows are range-partitioned and sorted by group and order. Inside a partition the sum is a window over (partition, group);
+    to a partition's first group the sum of its last ones before is added: one row for each partition goes to the driver.
+    Ties in ``order`` must not occur. Null groups and null values give no defined sum.
+    """
+    spark = df.sparkSession
+    rows = _in_order(df, [*group, *order])
+    own = W.partitionBy("__p", *group).orderBy("__i").rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn(name, F.sum(value).over(own))
+    key = F.to_json(F.struct(*group))
+    edges = rows.groupBy("__p").agg(F.min_by(key, "__i").alias("first"), F.max_by(key, "__i").alias("last"), F.max_by(name, "__i").alias("sum")).orderBy("__p").collect()
+    carry, before = [], (None, 0)
+    for r in edges:
+        held = before[1] if r["first"] == before[0] else 0
+        carry.append((r["__p"], r["first"], float(held)))
+        before = (r["last"], r["sum"] + (held if r["first"] == r["last"] else 0))
+    small = spark.createDataFrame(carry or [(0, "", 0.0)], "__p long, __key string, __held double")
+    rows = rows.join(F.broadcast(small), "__p")
+    return rows.withColumn(name, F.col(name) + F.when(key == F.col("__key"), F.col("__held")).otherwise(0.0)).drop("__p", "__i", "__key", "__held")

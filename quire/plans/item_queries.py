@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import boxes, text
-from quire.operators import evaluate, gates, packing, versions
+from quire.operators import evaluate, gates, nested_tables, packing, states, versions
 from quire.operators.skew import rank_within
 from quire.plans.table_queries import KEY, ORDER
 from quire.plans.text_queries import _VALUE, normal_sql
@@ -41,31 +41,42 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return packing.page_windows(table(s, d, "pages").select(*PAGE, size.alias("size")), 8000)
 
 
-@query("page_blocks")
-def _(s: SparkSession, d: str) -> DataFrame:
-    return packing.page_blocks(table(s, d, "regions").where("engine = 'a'"), 2000)
+_BLOCK_ROWS = """b as (select doc_id, page_no, region_id, length('[' || region_id || '] ' || region_type || ': ' || coalesce(text_canonical, text, 'None')) + 1 as size, 41 + length(page_no::varchar) as head, row_number() over (partition by doc_id, page_no order by order_idx, region_id) rn from regions where engine = 'a')"""
 
 
-@query("table_budget_fold")
+@query("page_blocks", f"""with recursive {_BLOCK_ROWS},
+w as (select doc_id, page_no, region_id, rn, 0 as block, (head + size)::bigint as used from b where rn = 1
+  union all select b.doc_id, b.page_no, b.region_id, b.rn, case when w.used + b.size > 2000 then w.block + 1 else w.block end, case when w.used + b.size > 2000 then b.head + b.size else w.used + b.size end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
+select doc_id, page_no, region_id, block from w""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return packing.tables_in_budget(table(s, d, "regions").where("engine = 'a'"), 400)
+    """Pages cut to blocks of 2,000 characters; each has the two heading lines of its page, a region is a line with id and type."""
+    line = F.format_string("[%d] %s: %s", "region_id", "region_type", F.coalesce("text_canonical", "text", F.lit("None")))
+    head = F.length(F.col("page_no").cast("string")) + 41  # fixed value: characters of "=== PAGE n ===", the line of column names and the line end
+    rows = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", head.alias("head"), (F.length(line) + 1).alias("size"))
+    return packing.page_blocks(rows, 2000)
 
 
-_ITEMS = "i as (select item_id, doc_id, page page_no, list_min(region_ids) st from list_items where len(region_ids) > 0)"
+@query("table_budget_fold", """with recursive b as (select doc_id, page_no, region_id, coalesce(length(text), 0) as size, row_number() over (partition by doc_id, page_no order by order_idx, region_id) rn from regions where engine = 'a' and region_type = 'table'),
+w as (select doc_id, page_no, region_id, rn, size <= 400 as taken, case when size <= 400 then size else 0 end::bigint as used from b where rn = 1
+  union all select b.doc_id, b.page_no, b.region_id, b.rn, w.used + b.size <= 400, case when w.used + b.size <= 400 then w.used + b.size else w.used end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
+select doc_id, page_no, region_id from w where taken""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return packing.tables_in_budget(table(s, d, "regions").where("engine = 'a'"), 400)
 
 
-@query("item_span", f"""with {_ITEMS}, n as (select *, (select min(j.st) from i j where j.doc_id = i.doc_id and j.page_no = i.page_no and j.st > i.st) nx from i),
-r as (select n.item_id, r.region_id, sum(coalesce(length(r.text), 0)) over (partition by n.item_id order by r.region_id) run from n join regions r on r.engine = 'a' and r.doc_id = n.doc_id and r.page_no = n.page_no and r.region_id >= n.st and (n.nx is null or r.region_id < n.nx))
-select item_id, region_id from r where run <= 3000""")
-def _(s: SparkSession, d: str) -> DataFrame:
-    items = table(s, d, "list_items").where("size(region_ids) > 0").select("item_id", "doc_id", F.col("page").alias("page_no"), F.array_min("region_ids").alias("start"))
-    regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "region_id", F.coalesce(F.length("text"), F.lit(0)).alias("size"))
-    return packing.item_spans(items, regions, 3000)
+_SPANS = """i as (select item_id, doc_id, schema_name, page, unnest(region_ids) rid from list_items where page > 0 and len(region_ids) > 0),
+l as (select i.item_id, i.doc_id, i.schema_name, i.page, case when r.region_id is not null then {'p': r.page_no, 'o': r.order_idx::bigint, 'r': r.region_id} end as place, r.page_no from i left join regions r on r.engine = 'a' and r.doc_id = i.doc_id and r.region_id = i.rid),
+o as (select item_id, doc_id, schema_name, page, coalesce(min(place) filter (where page_no = page), {'p': page + 1, 'o': -1::bigint, 'r': -1::bigint}) as start, list(place) filter (where place is not null) as places from l group by item_id, doc_id, schema_name, page),
+g as (select doc_id, schema_name, page, start, list_sort(list_distinct(flatten(list(coalesce(places, []))))) as places from o group by all),
+n as (select *, coalesce(lead(page) over w, page) as last, lead(places) over w as following from g window w as (partition by doc_id, schema_name order by page, start)),
+t as (select *, list_filter(following, lambda x: x >= start)[1] as stop from n),
+j as (select t.doc_id, t.schema_name, t.page, t.start, r.region_id, sum(coalesce(length(coalesce(r.text_canonical, r.text)), 0)) over (partition by t.doc_id, t.schema_name, t.page, t.start order by r.page_no, r.order_idx, r.region_id) as run
+  from t join regions r on r.engine = 'a' and r.doc_id = t.doc_id and r.page_no between t.page and t.last and {'p': r.page_no, 'o': r.order_idx::bigint, 'r': r.region_id} >= t.start and (t.stop is null or {'p': r.page_no, 'o': r.order_idx::bigint, 'r': r.region_id} < t.stop))"""
 
 
-@query("item_span_file")
+@query("item_span", f"with {_SPANS} select o.item_id, j.region_id from o join j on o.doc_id = j.doc_id and o.schema_name is not distinct from j.schema_name and o.page = j.page and o.start = j.start where j.run <= 3000")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """item_span across pages, up to the next item of the file's list, over the canonical text."""
+    """The regions of each item up to the next item of the file's list, across pages, over the canonical text."""
     regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", F.coalesce(F.length(F.coalesce("text_canonical", "text")), F.lit(0)).alias("size"))
     return packing.file_spans(table(s, d, "list_items"), regions, 3000)
 
@@ -181,7 +192,11 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return g.join(i, ["doc_id", "page"]).where(F.startswith("a", "b") | F.startswith("b", "a")).groupBy("gold_id").agg(F.min("item_id").alias("item_id"))
 
 
-@query("prefix_dedup")
+@query("prefix_dedup", f"""with recursive i as (select item_id, doc_id, page, {normal_sql('anchor')} as a, list_sort(coalesce(region_ids, [])) as ids, row_number() over (partition by doc_id, page order by item_id) rn from list_items),
+w as (select doc_id, page, rn, item_id, true as keep, [{{'a': a, 'ids': ids}}] as kept from i where rn = 1
+  union all select i.doc_id, i.page, i.rn, i.item_id, x.clash = 0, case when x.clash = 0 then list_append(w.kept, {{'a': i.a, 'ids': i.ids}}) else w.kept end
+  from w join i on i.doc_id = w.doc_id and i.page = w.page and i.rn = w.rn + 1, lateral (select len(list_filter(w.kept, lambda k: (starts_with(k.a, i.a) or starts_with(i.a, k.a)) and (k.ids = i.ids or len(k.ids) = 0 or len(i.ids) = 0))) as clash) x)
+select item_id from w where keep""")
 def _(s: SparkSession, d: str) -> DataFrame:
     items = table(s, d, "list_items").withColumn("anchor", text.normalize(F.col("anchor")))
     return packing.prefix_duplicates(items)
@@ -197,16 +212,26 @@ def _(s: SparkSession, d: str) -> DataFrame:
 # nesting
 
 
-@query("flatten_json", """with j as (select ext_id, cast(value_json as json) v from extractions where json_valid(value_json) and json_type(value_json) = 'OBJECT'), k as (select ext_id, unnest(json_keys(v)) field, v from j), l as (select ext_id, field, v->field leaf from k)
-select ext_id, field, leaf->>'quote' as quote, (leaf->>'page')::int as page from l where json_type(leaf) = 'OBJECT' and (list_contains(json_keys(leaf), 'value') or list_contains(json_keys(leaf), 'quote'))""")
+@query("flatten_json", """with j as (select ext_id, cast(value_json as json) v from extractions where json_valid(value_json) and json_type(value_json) = 'OBJECT'), l as (select j.ext_id, t.fullkey k, t.value leaf from j, lateral json_tree(j.v) t where t.type = 'OBJECT'),
+x as (select *, json_keys(leaf) keys from l)
+select ext_id, case when k = '$' then '<root>' else substr(k, 3) end as field, leaf->>'quote' as quote, (leaf->>'page')::int as page from x a where (list_contains(keys, 'value') or list_contains(keys, 'quote')) and (coalesce(json_type(leaf, '$.value'), 'NULL') <> 'NULL' or coalesce(json_type(leaf, '$.quote'), 'NULL') = 'NULL')
+  and not exists (select 1 from x b where b.ext_id = a.ext_id and b.k <> a.k and (b.k = '$' or starts_with(a.k, b.k || '.') or starts_with(a.k, b.k || '[')) and (list_contains(b.keys, 'value') or list_contains(b.keys, 'quote')))""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """The leaves (objects with value or quote) of objects, one row each."""
-    v = F.try_parse_json("value_json")
-    rows = table(s, d, "extractions").select("ext_id", F.from_json(F.when(F.schema_of_variant(v).startswith("OBJECT"), F.col("value_json")), "map<string,string>").alias("m"))
-    leaves = rows.select("ext_id", F.explode("m").alias("field", "leaf")).where(F.col("leaf").rlike(r"^\s*\{"))
-    keys = F.json_object_keys("leaf")
-    kept = leaves.where(F.array_contains(keys, "value") | F.array_contains(keys, "quote"))
-    return kept.select("ext_id", "field", F.get_json_object("leaf", "$.quote").alias("quote"), F.get_json_object("leaf", "$.page").cast("int").alias("page"))
+    """The leaves (objects with value or quote) of objects at any depth, one row each, by their paths."""
+    found = nested_tables.tagged_rows(table(s, d, "extractions"), "ext_id", "value_json", nested_tables.visit_leaves)
+    leaves = nested_tables.typed(found, "leaf", nested_tables.LEAF)
+    return leaves.select(F.col("row_id").alias("ext_id"), F.col("pk").alias("field"), "quote", "page")
+
+
+@query("nest_paths")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Validated rows of any path back to one JSON object for each top-level field or list entry of a file."""
+    rows = table(s, d, "extractions").where("status = 'validated'").select(*KEY, *ORDER, "value_json", "quote", "page_no", "confidence")
+    latest = versions.latest(rows, KEY, ORDER)
+    value = F.when(F.try_parse_json("value_json").isNotNull(), F.col("value_json")).otherwise("null")
+    rest = F.to_json(F.struct("quote", F.col("page_no").alias("page"), F.coalesce("confidence", F.lit("high")).alias("confidence")), {"ignoreNullFields": "false"})
+    leaf = F.concat(F.lit('{"value":'), value, F.lit(","), F.substring(rest, 2, 1 << 30))
+    return nested_tables.nested_rows(latest.select(*KEY, leaf.alias("leaf")), ["doc_id"], "field_path", "leaf")
 
 
 @query("declared_absence", """select doc_id, count(*) filter (where quote is null) as declared, count(*) filter (where quote is not null) as broken from extractions where value_json is null or value_json = 'null' group by doc_id""")
@@ -308,7 +333,11 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rows.select("ext_id", gates.value_in_quote(F.col("value_json"), F.col("quote")).alias("ok"))
 
 
-@query("value_quote_nested")
+@query("value_quote_nested", rf"""with e as (select ext_id, quote, value_json v from extractions where regexp_matches(value_json, '^\s*[\[{{]') and json_valid(value_json)),
+m as (select ext_id, replace(unnest(regexp_extract_all(translate(quote, '−–—', '---'), '[-+]?\s*[0-9][0-9.,]*')), ' ', '') t from e), n as (select ext_id, {_VALUE} x from m),
+w as (select e.ext_id, j.fullkey k, j.atom::varchar::double a, j.key = 'amount' and json_extract_string(e.v, j.path || '.kind') = 'speed_bonus' as derived from e, lateral json_tree(e.v::json) j where j.type in ('UBIGINT', 'BIGINT', 'DOUBLE', 'HUGEINT')),
+k as (select w.ext_id, w.k, coalesce(bool_or(abs(n.x - w.a) < 1e-6 or (w.derived and abs(n.x - w.a - 30) < 1e-6)), false) as said from w left join n on n.ext_id = w.ext_id group by all)
+select e.ext_id, e.quote is not null and coalesce((select bool_and(k.said) from k where k.ext_id = e.ext_id), true) as ok from e""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Arrays and objects against their quotes, by their numbers."""
     rows = table(s, d, "extractions").where(F.col("value_json").rlike(r"^\s*[\[{]") & F.try_parse_json("value_json").isNotNull())
@@ -332,17 +361,50 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return a.join(p, "doc_id", "left").na.fill(False, ["ok"])
 
 
-_NEED = ", ".join(f"'{k}'" for k in gates.NEED_AMOUNT)
+_ONE_OF = " or ".join(f"(x.kind = '{k}' and (json_extract(x.o, '$.{a}') is null or json_type(x.o, '$.{a}') = 'NULL') = (json_extract(x.o, '$.{b}') is null or json_type(x.o, '$.{b}') = 'NULL'))" for k, (a, b) in gates.ONE_OF.items())
 _NOOP = ", ".join(f"'{k}'" for k in gates.NO_OP_AT_ZERO)
 _TYPES = ", ".join(f"'{k}'" for k in gates.DAMAGE_TYPES)
 
 
-@query("taxonomy_rules", f"""with e as (select trait_id, unnest(effects) x, generate_subscripts(effects, 1) - 1 as pos from race_traits),
-r as (select trait_id, pos::int pos, unnest([case when x.kind in ({_NEED}) and x.amount is null then 'amount_missing' end, case when x.kind in ({_NOOP}) and x.amount = 0 and x.base is null and x.abilities is null and x.skills is null and x.damageTypes is null then 'no_effect' end,
-  case when len(list_filter(x.damageTypes, lambda t: lower(t) not in ({_TYPES}))) > 0 then 'damage_type' end]) as error from e) select * from r where error is not null""")
+def _taxonomy_sql(source: str, row_id: str) -> str:
+    return f"""with s as ({source}), t as (select row_id, j.fullkey as path, j.value as o from s, lateral json_tree(s.v::json) j where j.type = 'OBJECT'),
+g as (select *, case json_type(o, '$.damageTypes') when 'ARRAY' then (o->>'$.damageTypes[*]')::varchar[] when 'VARCHAR' then [o->>'damageTypes'] else [] end || case json_type(o, '$.damageType') when 'ARRAY' then (o->>'$.damageType[*]')::varchar[] when 'VARCHAR' then [o->>'damageType'] else [] end as types, case when json_type(o, '$.kind') = 'VARCHAR' then o->>'kind' end as kind from t),
+x as (select * from g where kind is not null or len(types) > 0)
+select row_id as {row_id}, path, kind, concat_ws(',', case when len(list_filter(types, lambda t: t is not null and lower(t) not in ({_TYPES}))) > 0 then 'damage_type' end,
+  case when kind in ({_NOOP}) and try_cast(o->>'amount' as double) = 0 and len(list_filter(json_keys(o), lambda k: k not in ('kind', 'condition', 'amount'))) = 0 then 'no_effect' end, case when {_ONE_OF} then 'one_of' end) as errors from x"""
+
+
+@query("taxonomy_rules", _taxonomy_sql("select trait_id as row_id, record_json as v from race_traits where json_valid(record_json)", "trait_id"))
+def _(s: SparkSession, d: str) -> DataFrame:
+    """What the loader's rules find in each effect of the definitions as delivered, options included; '' where nothing is wrong."""
+    return gates.taxonomy_errors(table(s, d, "race_traits"), "trait_id", "record_json").withColumnRenamed("row_id", "trait_id")
+
+
+@query("taxonomy_gate", _taxonomy_sql("select ext_id as row_id, value_json as v from extractions where json_valid(value_json)", "ext_id"))
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The same for extracted values."""
+    return gates.taxonomy_errors(table(s, d, "extractions"), "ext_id", "value_json").withColumnRenamed("row_id", "ext_id")
+
+
+# fixed values: the fields whose values are definitions of the taxonomy, and the properties that an envelope's definition needs
+DEFINED = {"effects": "featureEffect"}
+ENVELOPE = ("id", "raceName", "featureName", "grantedAtLevel", "sources", "effects")
+
+
+@query("field_definition", r"""select ext_id, case when regexp_extract(field_path, '([A-Za-z_]+)(\[[0-9]+\])?$', 1) = 'effects' then 'featureEffect' end as definition from extractions where field_path not like '%$%'""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The definition of the taxonomy that a field is bound to, by the last name of its path."""
+    name = F.regexp_extract("field_path", r"([A-Za-z_]+)(\[[0-9]+\])?$", 1)
+    definition = F.try_element_at(F.create_map(*[F.lit(x) for kv in DEFINED.items() for x in kv]), name)
+    return table(s, d, "extractions").where(~F.col("field_path").contains("$")).select("ext_id", definition.alias("definition"))
+
+
+@query("envelope_errors", f"""select trait_id, array_to_string(list_filter([{', '.join(f"case when coalesce(json_type(record_json, '$.{c}'), 'NULL') = 'NULL' then '{c}' end" for c in ENVELOPE)}, case when try_cast(record_json->>'$.grantedAtLevel' as int) not between 1 and 20 then 'grantedAtLevel: range' end], lambda x: x is not null), ',') as errors from race_traits where json_valid(record_json)""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "race_traits").select("trait_id", F.posexplode("effects").alias("pos", "e"))
-    return rows.select("trait_id", "pos", F.explode(gates.effect_errors(F.col("e"))).alias("error"))
+    """Required properties that a definition as delivered lacks, and levels outside 1 to 20."""
+    v = lambda c: F.get_json_object("record_json", f"$.{c}")
+    bad = [F.when(v(c).isNull(), c) for c in ENVELOPE] + [F.when(~v("grantedAtLevel").try_cast("int").between(1, 20), "grantedAtLevel: range")]
+    return table(s, d, "race_traits").where(F.try_parse_json("record_json").isNotNull()).select("trait_id", F.array_join(F.array_compact(F.array(*bad)), ",").alias("errors"))
 
 
 @query("retry_pages", """with i as (select doc_id, featureName f, min(page) p from race_traits group by all), e as (select ext_id, doc_id, page_no, json_extract_string(value_json, '$') v from extractions where field_path like '%.featureName' and json_valid(value_json))
@@ -481,7 +543,8 @@ _EVAL = """w as (select item_id, annotator_id, featureName.value f, effects.valu
 a as (select annotator_id run, item_id item, 'featureName' field, f as value from w where rn = 1 union all select annotator_id, item_id, 'effects', e from w where rn = 1),
 g as (select item_id item, 'featureName' field, featureName.value as value from gold_traits union all select item_id, 'effects', effects.value from gold_traits),
 gg as (select * from g where value is null or value <> 'DA COMPILARE')"""
-_P = "coalesce(lower(regexp_replace({0}, '\\s', '', 'g')), '')"
+_TREE = "(select string_agg(t.fullkey || ' ' || t.type || ' ' || coalesce(t.atom::varchar, ''), chr(10) order by t.fullkey) from json_tree(case when json_valid({0}) then {0} else 'null' end::json) t where not (t.fullkey like '%.condition' and t.atom::varchar = '\"always\"'))"
+_P = "coalesce(case when regexp_matches({0}, '^\\s*[\\[{{]') then case when json_valid({0}) then " + _TREE + " else {0} end else lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')) end, '')"
 _CMP = f"select coalesce(p.field, gg.field) field, gg.item is not null expected, gg.item is not null and {_P.format('p.value')} = {_P.format('gg.value')} hit, p.value pv, gg.value gv from p full join gg on p.field = gg.field and p.item = gg.item"
 _MET = "count(*) filter (where expected) as n, count(*) filter (where hit) as tp, count(*) filter (where not hit and pv is not null) as fp, count(*) filter (where not hit and gv is not null) as fn"
 _SHARES = "case when tp + fp > 0 then round(tp / (tp + fp), 6) else 1 end::double as precision, case when tp + fn > 0 then round(tp / (tp + fn), 6) else 1 end::double as recall, case when n > 0 then round(tp / n, 6) else 0 end::double as exact"

@@ -109,7 +109,7 @@ _RB = "case when len(cast(bbox as json)::double[]) = 4 then cast(bbox as json)::
 _ORDER_SQL = f"""with r as (select region_id, doc_id, page_no, order_idx idx, {_RB} b, coalesce(regexp_matches(text, '\\S'), false) flow from regions where engine = 'a'),
 w as (select *, max(case when flow then b[3] end) over p - min(case when flow then b[1] end) over p as wd, bool_or(b is null) over p or count(*) filter (where flow) over p < 2 as keep0 from r window p as (partition by doc_id, page_no)),
 k as (select *, keep0 or wd <= 0 or wd is null as keep from w),
-g as (select *, case when not flow then 3 when keep then 1 when b[4] <= 0.05 * 3508 then 0 when b[2] >= 0.95 * 3508 then 2 else 1 end band from k),
+g as (select *, case when keep0 then 1 when not flow then 3 when keep then 1 when b[4] <= 0.05 * 3508 then 0 when b[2] >= 0.95 * 3508 then 2 else 1 end band from k),
 s as (select *, coalesce(band = 1 and not keep, false) body, coalesce(band = 1 and not keep and b[3] - b[1] >= 0.6 * wd, false) span from g),
 t as (select *, case when span then row_number() over (partition by doc_id, page_no, span order by b[2], b[1], idx) - 1 end rk from s),
 u as (select *, list(case when span then b[4] end) over (partition by doc_id, page_no) ends from t),

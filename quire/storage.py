@@ -26,13 +26,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what is written there goes with ``drop_tables``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and returns the written table."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    _made.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_tables() -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import boxes, fuzzy, numbers, schemas, text
-from quire.operators import gates, ordering, packing, reconcile, versions
+from quire.operators import gates, ordering, packing, reconcile, versions, skew
 from quire.sources import external, payloads
 from quire.session import Settings
 
@@ -69,10 +69,42 @@ def test_fuzzy_against_brute_force(spark):
     assert [r["v"] for r in df.select(fuzzy.partial_similarity(F.col("a"), F.col("b")).alias("v")).collect()] == [100.0, None, 0.0, 100.0, 75.0]
 
 
-def test_windows():
-    assert packing.window_starts([100] * 7, 320) == [(0, 3), (2, 5), (4, 7)]
-    assert packing.window_starts([900, 10], 320) == [(0, 1), (1, 2)]
-    assert packing.window_starts([], 320) == []
+def test_windows(spark, rows):
+    """Expected windows by hand; first and last are positions."""
+    cases = {"even": [100] * 7, "large first": [900, 10], "large middle": [10, 900, 10, 10], "one": [5], "fits": [100, 100, 100], "zero": [0, 0, 320, 0]}
+    want = {
+        "even": [(0, 0, 2), (1, 2, 4), (2, 4, 6)], "large first": [(0, 0, 0), (1, 1, 1)], "large middle": [(0, 0, 0), (1, 1, 1), (2, 2, 3)],
+        "one": [(0, 0, 0)], "fits": [(0, 0, 2)], "zero": [(0, 0, 3)],
+    }
+    df = spark.createDataFrame([(d, i, x) for d, xs in cases.items() for i, x in enumerate(xs)], "doc_id string, pos long, size int")
+    assert rows(packing.greedy_windows(df, 320)) == sorted(((d, *w) for d, ws in want.items() for w in ws), key=repr)
+    assert packing.greedy_windows(df.where("pos < 0"), 320).count() == 0
+
+
+def test_windows_hold_their_properties(spark):
+    """Every page is covered, windows fit, could not be longer, and overlap by one page unless one stands alone."""
+    rng = random.Random(8)
+    sizes = {f"d{k}": [rng.choice([1, 30, 60, 99, 140]) for _ in range(rng.randint(1, 90))] for k in range(6)}
+    df = spark.createDataFrame([(d, i, x) for d, xs in sizes.items() for i, x in enumerate(xs)], "doc_id string, pos long, size int")
+    got = {}
+    for r in packing.greedy_windows(df, 130).collect():
+        got.setdefault(r["doc_id"], {})[r["window"]] = (r["first"], r["last"])
+    for d, xs in sizes.items():
+        ws = [got[d][k] for k in range(len(got[d]))]
+        assert ws[0][0] == 0 and ws[-1][1] == len(xs) - 1
+        for first, last in ws:
+            assert sum(xs[first : last + 1]) <= 130 or first == last
+            assert last + 1 == len(xs) or sum(xs[first : last + 2]) > 130
+        for (f, last), (g, _) in zip(ws, ws[1:], strict=False):
+            assert g == (last if last > f else last + 1)
+
+
+def test_running_sums(spark):
+    rng = random.Random(3)
+    data = [(rng.choice("aab"), i, float(rng.randint(0, 9))) for i in range(200)]
+    got = {(r["g"], r["i"]): r["s"] for r in skew.running_within(spark.createDataFrame(data, "g string, i int, v double"), ["g"], ["i"], "v", "s").collect()}
+    for g, i, _ in data:
+        assert got[g, i] == sum(v for h, j, v in data if h == g and j <= i)
 
 
 def test_folds(spark):
@@ -85,70 +117,74 @@ def test_folds(spark):
             used += len(r[4])
             want.append(r[2])
     assert sorted(r["region_id"] for r in packing.tables_in_budget(df, 200).collect()) == want
-    block, used, want = 0, 0, []
-    for n, r in enumerate(data):
-        if n and used + len(r[4]) > 100:
-            block, used = block + 1, 0
-        used += len(r[4])
-        want.append((r[2], block))
-    assert sorted((r["region_id"], r["block"]) for r in packing.page_blocks(df, 100).collect()) == want
+    sizes = [60, 20, 30, 200, 10, 10, 75, 15]  # with a heading of 10 and a budget of 100
+    parts = spark.createDataFrame([("d", 1, i, i, 10, x) for i, x in enumerate(sizes)], "doc_id string, page_no int, order_idx int, region_id long, head int, size int")
+    assert [r["block"] for r in packing.page_blocks(parts, 100).orderBy("region_id").collect()] == [0, 0, 1, 2, 3, 3, 4, 4]
 
 
 def test_prefix_duplicates(spark):
     data = [(1, "d", 1, "speed", [5]), (2, "d", 1, "speed your base", [5]), (3, "d", 1, "speed", [6]), (4, "d", 1, "speed", None), (5, "d", 2, "speed", [5]), (6, "d", 1, "darkvision", [])]
     df = spark.createDataFrame(data, "item_id long, doc_id string, page int, anchor string, region_ids array<long>")
     assert sorted(r["item_id"] for r in packing.prefix_duplicates(df).collect()) == [1, 3, 5, 6]
-
-
-def slow_order(bs, flow, height):
-    """Procedural restatement of the reading order."""
-    n = len(bs)
-    last = [i for i in range(n) if not flow[i]]
-    ins = [i for i in range(n) if flow[i]]
-    if any(b is None for b in bs) or len(ins) < 2:
-        return ins + last
-    width = max(bs[i][2] for i in ins) - min(bs[i][0] for i in ins)
-    if width <= 0:
-        return ins + last
-    head = [i for i in ins if bs[i][3] <= 0.05 * height]
-    foot = [i for i in ins if i not in head and bs[i][1] >= 0.95 * height]
-    body = [i for i in ins if i not in head and i not in foot]
-    span = sorted((i for i in body if bs[i][2] - bs[i][0] >= 0.6 * width), key=lambda i: (bs[i][1], bs[i][0], i))
-    rest = [i for i in body if i not in span]
-    sections = {}
-    for i in rest:
-        sections.setdefault(sum(bs[j][3] <= (bs[i][1] + bs[i][3]) / 2 for j in span), []).append(i)
-    out = []
-    for k in range(len(span) + 1):
-        cols, right = [], None
-        for i in sorted(sections.get(k, []), key=lambda i: (bs[i][0], i)):
-            if right is None or bs[i][0] > right + 0.02 * width:
-                cols.append([])
-            cols[-1].append(i)
-            right = max(right or float("-inf"), bs[i][2])
-        for col in sorted(cols, key=min):
-            out += sorted(col, key=lambda i: (bs[i][1], bs[i][0], i))
-        if k < len(span):
-            out.append(span[k])
-    return head + out + foot + last
-
-
-def test_reading_order_against_brute_force(spark):
+    # 2 falls to 1, so 3 stays although it agrees with 2
+    data = [(1, "d", 1, "ab", [1]), (2, "d", 1, "abc", None), (3, "d", 1, "abcd", [2]), (4, "d", 1, "abcd", [2]), (5, None, None, None, None)]
+    assert sorted(r["item_id"] for r in packing.prefix_duplicates(spark.createDataFrame(data, df.schema)).collect()) == [1, 3, 5]
+
+
+BOX = "page int, idx int, box struct<x0: double, y0: double, x1: double, y1: double>, flow boolean"
+
+
+def test_reading_order_by_hand(spark):
+    """Pages with the order a reader would take, head margin up to 50 and foot margin from 950 of 1000."""
+    wide, left, right = (0.0, 100.0), (0.0, 45.0), (55.0, 100.0)
+    box = lambda x, y, h=10.0: (x[0], float(y), x[1], float(y) + h)
+    pages = {
+        # two columns, the engine has put a heading before the paragraph above it
+        1: ([box(left, 300), box(left, 100), box(right, 100), box(right, 300)], None, [1, 0, 2, 3]),
+        # the columns keep the engine's order
+        2: ([box(right, 100), box(left, 100), box(left, 60)], None, [0, 2, 1]),
+        # a full-width band cuts the page
+        3: ([box(left, 600), box(right, 100), box(wide, 500), box(left, 100), box(right, 600)], None, [1, 3, 2, 0, 4]),
+        # page number below and running title above stay at the ends
+        4: ([box(left, 960), box(left, 300), box(right, 100), box(left, 100), box(left, 20)], None, [4, 3, 1, 2, 0]),
+        # an empty wide box under the left column does not join the columns, and comes last
+        5: ([box(left, 300), (10.0, 310.0, 68.0, 900.0), box(left, 100), box(right, 200)], [True, False, True, True], [2, 0, 3, 1]),
+        # a missing box, in flow or not: the engine's order, out-of-flow boxes in their places
+        6: ([box(left, 300), None, box(left, 100)], None, [0, 1, 2]),
+        7: ([box(left, 300), None, box(left, 100)], [True, False, True], [0, 1, 2]),
+        # fewer than two boxes in flow
+        8: ([box(left, 300), box(left, 100), box(left, 60)], [False, True, False], [0, 1, 2]),
+        # no width
+        9: ([(5.0, 300.0, 5.0, 310.0), (5.0, 100.0, 5.0, 110.0)], None, [0, 1]),
+        10: ([box(wide, 300), box(wide, 100)], None, [1, 0]),
+    }
+    data = [(p, i, b, flow is None or flow[i]) for p, (bs, flow, _) in pages.items() for i, b in enumerate(bs)]
+    got = {}
+    for r in ordering.reading_order(spark.createDataFrame(data, BOX), ["page"], "idx", "box", "flow", 1000.0).collect():
+        got.setdefault(r["page"], {})[r["new_idx"]] = r["idx"]
+    assert {p: [o[k] for k in range(len(o))] for p, o in got.items()} == {p: want for p, (_, _, want) in pages.items()}
+
+
+def test_reading_order_properties(spark):
+    """On random pages: a permutation; blocks of one x range without wider ones between are read from top to bottom."""
     rng = random.Random(6)
-    data, want = [], {}
-    for page in range(150):
-        n = rng.randint(1, 9)
-        bs = []
-        for _ in range(n):
-            x, y = rng.choice([0, 50, 105, 160]), rng.randint(0, 190)
-            bs.append((float(x), float(y), float(x + rng.choice([40, 90, 150, 200])), float(y + rng.randint(1, 15))) if rng.random() > 0.02 else None)
-        flow = [rng.random() > 0.1 for _ in range(n)]
-        for pos, i in enumerate(slow_order(bs, flow, 200.0)):
-            want[page, i] = pos
-        data += [(page, i, None if b is None else b, f) for i, (b, f) in enumerate(zip(bs, flow, strict=True))]
-    df = spark.createDataFrame(data, "page int, idx int, box struct<x0: double, y0: double, x1: double, y1: double>, flow boolean")
-    got = ordering.reading_order(df, ["page"], "idx", "box", "flow", 200.0)
-    assert {(r["page"], r["idx"]): r["new_idx"] for r in got.collect()} == want
+    data = []
+    for page in range(60):
+        for i in range(rng.randint(2, 9)):
+            x, y = rng.choice([0.0, 55.0]), float(rng.randint(100, 800))
+            data.append((page, i, (x, y, x + 45.0, y + 10.0), True))
+    got = {}
+    for r in ordering.reading_order(spark.createDataFrame(data, BOX), ["page"], "idx", "box", "flow", 1000.0).collect():
+        got.setdefault(r["page"], []).append((r["new_idx"], r["idx"], r["box"]["x0"], r["box"]["y0"]))
+    for order in got.values():
+        order.sort()
+        assert [o[0] for o in order] == list(range(len(order)))
+        first = min(order, key=lambda o: o[1])  # the column of the engine's first box is read first
+        columns = [o[2] for o in order]
+        assert columns == sorted(columns, key=lambda x: x != first[2])
+        for x in (0.0, 55.0):
+            ys = [(o[3], o[1]) for o in order if o[2] == x]
+            assert ys == sorted(ys)
 
 
 def test_reconcile(spark):
@@ -156,6 +192,10 @@ def test_reconcile(spark):
     df = spark.createDataFrame(data, "doc_id string, page_no int, region_id long, order_idx int, engine string, bbox string, text string")
     got = {(r["id_a"], r["id_b"], r["outcome"]) for r in reconcile.reconcile_pages(df).collect()}
     assert got == {(1, 2, "conflict"), (3, 4, "by_text"), (5, None, "alone")}
+    # one box claimed twice goes to the earlier region; the later one takes its next choice, an equal text
+    data = [("d", 1, 1, 0, "a", "[0,0,10,10]", "alpha"), ("d", 1, 2, 1, "a", "[0,0,10,9]", "beta"), ("d", 1, 3, 0, "b", "[0,0,10,9]", "alpha"), ("d", 1, 4, 1, "b", None, "beta"), ("d", 2, 5, 0, "a", None, None), ("d", 2, 6, 0, "b", None, "")]
+    df = spark.createDataFrame(data, df.schema)
+    assert {(r["id_a"], r["id_b"], r["outcome"]) for r in reconcile.reconcile_pages(df).collect()} == {(1, 3, "accepted"), (2, 4, "by_text"), (5, 6, "by_text")}
 
 
 def test_gates(spark):
