@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import boxes, fuzzy, text
-from quire.operators import ordering, reconcile, versions
+from quire.operators import ordering, reconcile, states, versions
 from quire.operators.skew import rank_within
 from quire.plans.text_queries import normal_sql
 from quire.sources.tables import table
@@ -224,4 +224,123 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "doc_files").select("doc_id", "n_pages").join(have, "doc_id", "left").na.fill(0, ["have"])
 
 
+# states, tasks and lookups
+
+_KNOWN = """n as (select doc_id, schema_name, case when bool_or(status = 'pending') then 'extracted' when bool_or(status in ('needs_review', 'rejected')) then 'needs_review' else 'validated' end as status from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1 and field_path not like '%$%' and schema_name is not null group by all)"""
+_EFFECTIVE = _KNOWN + """, f as (select f.doc_id, x.schema_name, coalesce(n.status, case when f.status in ('reconciled', 'enumerated', 'extracted', 'validated', 'done', 'needs_review') then 'reconciled' else f.status end) as status from doc_files f cross join (values ('contract'), ('race_traits')) x(schema_name) left join n on n.doc_id = f.doc_id and n.schema_name = x.schema_name)"""
+SCHEMA_NAMES = ["contract", "race_traits"]
+
+
+def latest_rows(s: SparkSession, d: str) -> DataFrame:
+    """The latest row of each path."""
+    return versions.latest(table(s, d, "extractions").select(*KEY, *ORDER, "schema_name", "status", "value_json", "page_no", "confidence"), KEY, ORDER)
+
+
+def effective(s: SparkSession, d: str) -> DataFrame:
+    """The state of each file and schema; what its latest rows say stands for the recorded one."""
+    rows = latest_rows(s, d).where(~F.col("field_path").contains("$") & F.col("schema_name").isNotNull())
+    has = lambda *x: F.max(F.coalesce(F.col("status").isin(*x), F.lit(False)))
+    known = rows.groupBy("doc_id", "schema_name").agg(F.when(has("pending"), "extracted").when(has("needs_review", "rejected"), "needs_review").otherwise("validated").alias("status"))
+    return states.effective_status(table(s, d, "doc_files"), SCHEMA_NAMES, known)
+
+
+@query("effective_status", f"with {_EFFECTIVE} select doc_id, schema_name, status from f")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return effective(s, d)
+
+
+_STEPS = ", ".join(f"('{a}', '{b}')" for a, to in states.STEPS.items() for b in (*to, "failed"))
+
+
+@query("illegal_transitions", f"""with s(src, dst) as (values {_STEPS}), a as (select doc_id, x.src, x.dst from doc_files cross join (values ('extracted', 'validated'), ('validated', 'done'), ('done', 'extracted'), ('needs_review', 'failed'), ('ingested', 'done')) x(src, dst))
+select a.doc_id, a.src, a.dst, case when s.src is null then 'not allowed' else 'stale' end as reason from a left join s on s.src = a.src and s.dst = a.dst left join doc_files f on f.doc_id = a.doc_id where s.src is null or f.status is distinct from a.src""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Five steps asked for every file: which may not be made, and why."""
+    files = table(s, d, "doc_files").select("doc_id", "status")
+    steps = (("extracted", "validated"), ("validated", "done"), ("done", "extracted"), ("needs_review", "failed"), ("ingested", "done"))
+    asked = files.select("doc_id", F.explode(F.array(*[F.struct(F.lit(a).alias("src"), F.lit(b).alias("dst")) for a, b in steps])).alias("x")).select("doc_id", "x.*")
+    return states.illegal_transitions(asked, files, ["doc_id"])
+
+
+@query("skip_if_done", """with d as (select distinct doc_id from pages union select distinct doc_id from doc_files), p as (select ['ingested', 'rasterized', 'ocr_a', 'ocr_b', 'reconciled', 'enumerated', 'extracted', 'validated', 'done'] l)
+select d.doc_id, case when f.status is null then 'error' when f.status = 'needs_review' or coalesce(list_position(l, f.status), 0) >= list_position(l, 'validated') then 'skip' when f.status = 'extracted' then 'run' else 'error' end as decision from d cross join p left join doc_files f on d.doc_id = f.doc_id""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """What the phase from extracted to validated does with each file, those only pages know of included."""
+    files = table(s, d, "doc_files").select("doc_id", "status")
+    every = table(s, d, "pages").select("doc_id").union(files.select("doc_id")).distinct()
+    return every.join(files, "doc_id", "left").select("doc_id", states.skip_decision(F.col("status"), "extracted", "validated").alias("decision"))
+
+
+@query("pending_by_status", "select doc_id, path, n_pages from doc_files where status = 'extracted'")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "doc_files").where("status = 'extracted'").select("doc_id", "path", "n_pages")
+
+
+@query("file_lookup", "select i.item_id, f.path, f.status, p.page_id, p.image_path, p.dpi from list_items i left join doc_files f on f.doc_id = i.doc_id left join pages p on p.doc_id = i.doc_id and p.page_no = i.page")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The file, its status and the page of each item."""
+    items = table(s, d, "list_items").select("item_id", "doc_id", F.col("page").alias("page_no"))
+    rows = items.join(table(s, d, "doc_files").select("doc_id", "path", "status"), "doc_id", "left")
+    return rows.join(table(s, d, "pages").select("doc_id", "page_no", "page_id", "image_path", "dpi"), ["doc_id", "page_no"], "left").select("item_id", "path", "status", "page_id", "image_path", "dpi")
+
+
+REQUIRED = ["effects", "featureName", "grantedAtLevel", "raceName"]
+_ITEM = r"regexp_extract(field_path, '^(traits\[[0-9]+\])\.([A-Za-z]+)$', {})"
+_ROUTED = f"""l as (select * from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1 and {_ITEM.format(1)} <> ''),
+a as (select doc_id, {_ITEM.format(1)} as task, min(page_no) as task_page, bool_or(coalesce(status = 'rejected', false)) as bad, list({{'field': {_ITEM.format(2)}, 'page': page_no}}) as fields from l group by doc_id, {_ITEM.format(1)}),
+e as (select *, list_sort(list_filter(['effects', 'featureName', 'grantedAtLevel', 'raceName'], lambda x: not list_contains(list_transform(fields, lambda y: y.field), x))) as gone from a),
+r as (select *, case when bad then 'a value was rejected' when len(gone) > 0 then 'left out: ' || array_to_string(gone, ',') end as error from e)"""
+
+
+def answers(s: SparkSession, d: str) -> DataFrame:
+    """doc_id, task, status, error, field, page: the latest rows of each item as the answer to its task; a rejected one fails it."""
+    part = lambda i: F.regexp_extract("field_path", r"^(traits\[[0-9]+\])\.([A-Za-z]+)$", i)
+    rows = latest_rows(s, d).select("doc_id", part(1).alias("task"), part(2).alias("field"), "page_no", "status").where("task <> ''")
+    bad = F.when(F.max(F.coalesce(F.col("status") == "rejected", F.lit(False))), "a value was rejected")
+    asked = rows.groupBy("doc_id", "task").agg(F.min("page_no").alias("task_page"), bad.alias("error"), F.collect_list(F.struct("field", F.col("page_no").alias("page"))).alias("fields"))
+    return states.routed(asked, REQUIRED, table(s, d, "pages").select("doc_id", "page_no"))
+
+
+@query("task_routing", f"""with {_ROUTED}, o as (select doc_id, count(*) n, min(page_no) only_page from pages group by doc_id), x as (select doc_id, task, unnest(fields) f from r where error is null)
+select r.doc_id, r.task, 'failed' as status, r.error, null as field, null::int as page from r where error is not null
+union all select x.doc_id, x.task, 'ok', null, x.f.field, coalesce(p.page_no, r.task_page, case when o.n = 1 then o.only_page end) from x join r on r.doc_id = x.doc_id and r.task = x.task left join o on o.doc_id = x.doc_id left join (select distinct doc_id, page_no from pages) p on p.doc_id = x.doc_id and p.page_no = x.f.page""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return answers(s, d)
+
+
+@query("failed_tasks", f"with {_ROUTED} select doc_id, task, left(error, 500) as error from r where error is not null")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return answers(s, d).where("status = 'failed'").select("doc_id", "task", "error")
+
+
+@query("task_status", f"with {_ROUTED} select doc_id, task, case when error is null then 'ok' else 'failed' end as status from r")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return answers(s, d).select("doc_id", "task", "status").distinct()
+
+
+_FINAL = f"""{_EFFECTIVE}, {_ROUTED}, lt as (select * from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1),
+fa as (select doc_id, schema_name, count(*) filter (where field_path not like '%$%') re, count(*) filter (where status = 'pending') pe from lt group by all),
+qu as (select distinct doc_id, schema_name from lt where status in ('needs_review', 'rejected') and field_path not like '%$%' union select distinct c.doc_id, x.schema_name from region_conflicts c cross join (values ('contract'), ('race_traits')) x(schema_name) where c.resolver = 'divergent_low'),
+ft as (select distinct doc_id, 'race_traits' as schema_name from r where error is not null),
+ex as (select distinct doc_id, {_ITEM.format(1)} item, {_ITEM.format(2)} leaf from extractions where field_path not like '%$%'),
+mi as (select distinct w.doc_id, 'race_traits' as schema_name from (select doc_id, item, unnest(['effects', 'featureName', 'grantedAtLevel', 'notes', 'raceName']) leaf from (select distinct doc_id, item from ex where item <> '')) w anti join ex on ex.doc_id = w.doc_id and ex.item = w.item and ex.leaf = w.leaf),
+iv as (select distinct a.doc_id, 'contract' as schema_name from extractions a where a.field_path = 'amount_eur' and try_cast(a.value_json as double) > 0 and not exists (select 1 from extractions p where p.doc_id = a.doc_id and p.field_path like 'parties[%' and p.value_json is not null))"""
+
+
+@query("finalize_check", f"""with {_FINAL}
+select f.doc_id, f.schema_name, case when f.status not in ('needs_review', 'validated') or f.status is null then 'state' when coalesce(fa.re, 0) = 0 then 'empty' when fa.pe > 0 then 'pending' when qu.doc_id is not null then 'queue' when ft.doc_id is not null then 'failed' when mi.doc_id is not null then 'missing' when iv.doc_id is not null then 'schema' end as reason
+from f left join fa using (doc_id, schema_name) left join qu using (doc_id, schema_name) left join ft using (doc_id, schema_name) left join mi using (doc_id, schema_name) left join iv using (doc_id, schema_name)""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Which file and schema may become done, and what keeps the others from it."""
+    from quire.plans import item_queries
+
+    rows = latest_rows(s, d)
+    review = rows.where("status in ('needs_review', 'rejected')").where(~F.col("field_path").contains("$")).select("doc_id", "schema_name")
+    conflicts = table(s, d, "region_conflicts").where("resolver = 'divergent_low'").select("doc_id", F.explode(F.array(*map(F.lit, SCHEMA_NAMES))).alias("schema_name"))
+    failed = answers(s, d).where("status = 'failed'").select("doc_id", F.lit("race_traits").alias("schema_name"))
+    missing = item_queries.Q["coverage_anti_join"](s, d).select("doc_id", F.lit("race_traits").alias("schema_name"))
+    invalid = item_queries.Q["cross_field_rule"](s, d).where("not ok").select("doc_id", F.lit("contract").alias("schema_name"))
+    return states.finalised(effective(s, d), rows, review.unionByName(conflicts), failed, missing, invalid)
+
+
 NORMAL = normal_sql
