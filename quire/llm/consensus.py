@@ -58,8 +58,9 @@ def triplet_reliability(votes: DataFrame, rounds: int = 5) -> DataFrame:
 
     In each round annotators fall into three groups by a seeded hash. For the values of annotator i, the rates at which i
     agrees with the members of the two other groups, and these with each other, less what chance gives, are
-    theta_i*theta_X, theta_i*theta_Y and theta_X*theta_Y. theta_i is averaged over the rounds; null where i never shares
-    an item with both groups. No pair of annotators is ever formed: all rates come from counts by answer and group, so an
+    theta_i*theta_X, theta_i*theta_Y and theta_X*theta_Y. theta_i has the sign of its agreements: who agrees with others less
+    than by chance is below 0; agreements of different signs give 0. It is averaged over the rounds, and null where i never
+    shares an item with both groups. No pair of annotators is ever formed: all rates come from counts by answer and group, so an
     item with any number of answers is no burden; lookups of hot items are split over tasks.
     """
     chance = votes.groupBy("field", "answer").agg(F.count("*").alias("n")).groupBy("field").agg((F.sum(F.col("n").cast("double") * F.col("n")) / F.pow(F.sum("n"), F.lit(2))).alias("chance"))
@@ -80,8 +81,8 @@ def triplet_reliability(votes: DataFrame, rounds: int = 5) -> DataFrame:
     cx, cy, nx, ny = pick("c{}", 1), pick("c{}", 2), pick("n{}", 1), pick("n{}", 2)
     cross_xy = F.when(F.col("g") == 0, F.col("p12")).when(F.col("g") == 1, F.col("p02")).otherwise(F.col("p01"))
     means = rows.groupBy("annotator", "s").agg(F.avg(corrected(cx, nx)).alias("ax"), F.avg(corrected(cy, ny)).alias("ay"), F.avg(corrected(cross_xy, nx * ny)).alias("xy"), F.avg("chance").alias("chance"))
-    square = F.greatest("ax", F.lit(0.0)) * F.greatest("ay", F.lit(0.0)) / F.greatest("xy", F.lit(0.01))
-    theta = F.when(F.col("ax").isNotNull() & F.col("ay").isNotNull() & F.col("xy").isNotNull(), F.least(F.sqrt(square), F.lit(1.0)))
+    square = F.greatest(F.col("ax") * F.col("ay"), F.lit(0.0)) / F.greatest("xy", F.lit(0.01))
+    theta = F.when(F.col("ax").isNotNull() & F.col("ay").isNotNull() & F.col("xy").isNotNull(), F.signum(F.col("ax") + F.col("ay")) * F.least(F.sqrt(square), F.lit(1.0)))
     return means.groupBy("annotator").agg(F.avg(theta).alias("theta"), F.avg("chance").alias("chance"))
 
 
@@ -108,19 +109,16 @@ def consensus(votes: DataFrame, rounds: int = 5) -> Consensus:
     """Consensus labels and annotators' reliabilities; votes: field, item, annotator, answer (not null), one row for each
     annotator, item and field.
 
-    The first vote uses the accuracies of the triplet moments (an annotator without any counts as 0.5 + theta's default of
-    0.2); a second vote uses the shares of right values by the first one, smoothed by two values at the triplet accuracy.
+    The vote's accuracies are those of the triplet moments, chance + (1 - chance) * theta, and nothing else: no share of
+    agreement with an earlier vote enters. An annotator for whom the moments say nothing counts as 0.7. Wrong values are
+    counted against the labels so found.
     """
     votes = shared_table(votes, "votes")
     sizes = votes.groupBy("annotator").agg(F.count("*").alias("n"))
     theta = shared_table(triplet_reliability(votes, rounds).join(sizes, "annotator"), "theta")
-    first = theta.select("annotator", "n", "theta", F.coalesce(F.col("chance") + (1 - F.col("chance")) * F.col("theta"), F.lit(0.7)).alias("p"))
-    labels = shared_table(_vote(votes, first), "labels")
-    scored = _scored(votes, labels)
-    second = first.join(scored, "annotator", "left").select("annotator", "n", "theta", ((F.coalesce(F.col("n_values") - F.col("n_wrong"), F.lit(0)) + 2 * F.col("p")) / (F.coalesce("n_values", F.lit(0)) + 2)).alias("p"))
-    second = shared_table(second, "accuracy")
-    labels = shared_table(_vote(votes, second), "labels")
-    final = second.select("annotator", "theta").join(_scored(votes, labels), "annotator", "left").na.fill(0, ["n_values", "n_wrong"])
+    accuracy = theta.select("annotator", "n", "theta", F.coalesce(F.col("chance") + (1 - F.col("chance")) * F.col("theta"), F.lit(0.7)).alias("p"))
+    labels = shared_table(_vote(votes, accuracy), "labels")
+    final = accuracy.select("annotator", "theta").join(_scored(votes, labels), "annotator", "left").na.fill(0, ["n_values", "n_wrong"])
     return Consensus(labels, final.withColumn("reliability", F.when(F.col("n_values") > 0, 1 - F.col("n_wrong") / F.col("n_values"))))
 
 

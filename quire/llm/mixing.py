@@ -44,11 +44,12 @@ class Mix:
     shares: DataFrame
 
 
-def mix_sources(docs: DataFrame, targets: DataFrame, total_tokens: float | None = None, seed: int = 7, path: str = VOCABULARY) -> Mix:
+def mix_sources(docs: DataFrame, targets: DataFrame, total_tokens: float | str | None = None, seed: int = 7, path: str = VOCABULARY) -> Mix:
     """Documents with their numbers of repetitions, so that each source has its weight of the tokens.
 
     total_tokens None: the largest total at which every source that has tokens reaches its weight exactly (within one
-    document). Otherwise that total is filled by ``water_fill``. A source with a target and no tokens contributes nothing
+    document). Otherwise that total, or with "available" as many tokens as the sources with a target have, is filled by
+    ``water_fill``: sources that would exceed max_repeats epochs are clamped there, and the rest goes to the others. A source with a target and no tokens contributes nothing
     and its weight goes to the others in proportion; documents whose source is null or has no target stay out, as do those
     without tokens (null or empty text). max_repeats null or below 1 counts as 1; weights null or below 0 as 0; repeated
     target rows of a source as their sum of weights and smallest max_repeats. No document is used more than max_repeats
@@ -70,7 +71,8 @@ def mix_sources(docs: DataFrame, targets: DataFrame, total_tokens: float | None
     sized = shared_table(sized.select("doc_id", "source", F.col("ids").alias("n_tokens"), u), "sized")
     have = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     weight, cap = {s: w for s, (w, _) in wanted.items()}, {s: float(have.get(s, 0) * m) for s, (_, m) in wanted.items()}
-    goal = water_fill(exact_total(weight, cap) if total_tokens is None else total_tokens, weight, cap)
+    total = exact_total(weight, cap) if total_tokens is None else float(sum(have.get(s, 0) for s in wanted)) if total_tokens == "available" else float(total_tokens)
+    goal = water_fill(total, weight, cap)
     epochs = {s: min(goal[s] / have[s], wanted[s][1]) if have.get(s) else 0.0 for s in wanted}
     whole = {s: int(e + 1e-9) for s, e in epochs.items()}
     rest = {s: max(0.0, (epochs[s] - whole[s]) * have.get(s, 0)) for s in wanted}
@@ -104,6 +106,6 @@ def mix_sources(docs: DataFrame, targets: DataFrame, total_tokens: float | None
     rows = picked.select("doc_id", "source", "n_tokens", repeats.alias("repeats")).where("repeats > 0")
     used = rows.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("repeats")).alias("used"))
     shares = plan.join(used, "source", "left").select("source", "weight", "max_repeats", "available", "goal", F.coalesce("used", F.lit(0)).alias("used"))
-    total = {r["t"] for r in shares.agg(F.sum("used").alias("t")).collect()}.pop() or 0
-    shares = shares.withColumn("share", F.when(F.lit(total) > 0, F.col("used") / F.lit(float(total or 1))).otherwise(0.0)).withColumn("epochs", F.when(F.col("available") > 0, F.col("used") / F.col("available")).otherwise(0.0))
+    reached = {r["t"] for r in shares.agg(F.sum("used").alias("t")).collect()}.pop() or 0
+    shares = shares.withColumn("share", F.when(F.lit(reached) > 0, F.col("used") / F.lit(float(reached or 1))).otherwise(0.0)).withColumn("epochs", F.when(F.col("available") > 0, F.col("used") / F.col("available")).otherwise(0.0))
     return Mix(rows, shares)

@@ -38,7 +38,7 @@ def _p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(split.pieces(table(spark, d, "regions"), "region_id", "text").withColumn("tbl", F.lit("regions")))
 
 
-def _mix(spark: SparkSession, d: str, total: float | None = None) -> mixing.Mix:
+def _mix(spark: SparkSession, d: str, total: float | str | None = None) -> mixing.Mix:
     return mixing.mix_sources(table(spark, d, "documents"), table(spark, d, "mix_targets"), total)
 
 
@@ -58,8 +58,11 @@ def queries() -> dict[str, Query]:
         "p7_labels": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).labels,
         "p7_annotators": lambda s, d: consensus.consensus(consensus.worksheet_votes(table(s, d, "worksheet"))).annotators,
         "p8_ids": lambda s, d: tokens.token_ids(table(s, d, "documents"), "doc_id", "text"),
+        "p8_ids_spread": lambda s, d: tokens.token_ids(table(s, d, "documents"), "doc_id", "text", spread=0),
         "p9_mix": lambda s, d: _mix(s, d).rows,
         "p9_mix_full": lambda s, d: _mix(s, d, 1e18).rows,
+        "p9_budget": lambda s, d: _mix(s, d, "available").rows,
+        "p9_budget_shares": lambda s, d: _mix(s, d, "available").shares,
         "p9_shares": lambda s, d: _mix(s, d).shares,
         "p10_found": lambda s, d: spans.shared_spans(table(s, d, "documents"), "doc_id", "text"),
         "p10_removed": lambda s, d: spans.spans_removed(table(s, d, "documents"), "doc_id", "text"),

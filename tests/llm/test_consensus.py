@@ -64,3 +64,18 @@ def test_hot_item(spark):
     labels = consensus(votes, rounds=2).labels
     assert labels.where("item = 0").first()["answer"] == "right"
     assert labels.where(F.col("item") > 0).where("answer <> 'r'").count() == 0
+
+
+def test_adversary(spark):
+    """Who always gives another of two answers has a reliability below 0 and no say."""
+    rng, rows = random.Random(11), []
+    for i in range(300):
+        right = rng.choice("xy")
+        for a in range(9):
+            if rng.random() < 0.7:
+                good = rng.random() < (0.04 if a == 3 else 0.93)
+                rows.append(("f", i, a, right if good else "xy".replace(right, "")))
+    found = consensus(spark.createDataFrame(rows, "field string, item long, annotator long, answer string"))
+    people = {r["annotator"]: r for r in found.annotators.collect()}
+    assert people[3]["theta"] < -0.7 and people[3]["reliability"] < 0.15
+    assert all(people[a]["theta"] > 0.7 for a in people if a != 3)

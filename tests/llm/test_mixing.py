@@ -34,6 +34,13 @@ def test_mix(spark):
     assert all(1 <= r["repeats"] <= {"a": 1, "b": 3, "c": 1}[r["source"]] for r in rows) and not {9000, 9001, 9002, 9003, 9004} & {r["doc_id"] for r in rows}
     again = mix_sources(df.repartition(7), targets).rows
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again.collect()))
+    # as many tokens as a, b and c have: a is clamped at one epoch, its excess goes to b and c by 3 to 1, c is clamped too
+    filled = mix_sources(df, targets, "available")
+    part = {r["source"]: r for r in filled.shares.collect()}
+    have = {s: part[s]["available"] for s in "abc"}
+    assert part["a"]["goal"] == have["a"] and part["a"]["epochs"] == 1.0 and part["a"]["share"] < 0.6 - 0.1
+    assert part["b"]["epochs"] > 1.0 and sum(part[s]["goal"] for s in "abc") == pytest.approx(sum(have.values()))
+    assert part["b"]["used"] == pytest.approx(part["b"]["goal"], rel=0.02) and part["c"]["used"] == pytest.approx(part["c"]["goal"], rel=0.02)
     full = mix_sources(df, targets, 1e12)
     assert {r["source"]: round(r["epochs"], 6) for r in full.shares.collect()} == {"a": 1.0, "b": 3.0, "c": 1.0, "none": 0.0}
     assert mix_sources(df.where("false"), targets).rows.count() == 0 and mix_sources(df, targets.where("false")).rows.count() == 0
