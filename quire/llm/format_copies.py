@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from hashlib import md5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,73 +38,80 @@ def canonical_json(v: object) -> object:
     return v
 
 
+def canonical(kind: str, raw: str) -> str:
+    """The canonical form of a raw value: kind t is text, j JSON; JSON that cannot be read counts as text."""
+    if kind == "j":
+        try:
+            return "j" + json.dumps(canonical_json(json.loads(raw)), sort_keys=True, ensure_ascii=False)
+        except (ValueError, RecursionError):
+            pass
+    return "t" + letters_and_digits(raw)
+
+
 def _canonical(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
-        for kind, raw in zip(pdf["kind"].tolist(), pdf["raw"].tolist(), strict=True):
-            if kind == "t":
-                out.append("t" + letters_and_digits(raw))
-            else:
-                try:
-                    out.append("j" + json.dumps(canonical_json(json.loads(raw)), sort_keys=True, ensure_ascii=False))
-                except (ValueError, RecursionError):
-                    out.append("t" + letters_and_digits(raw))
-        yield pdf.assign(canon=out)
+        forms = (canonical(kind, raw) for kind, raw in zip(pdf["kind"].tolist(), pdf["raw"].tolist(), strict=True))
+        yield pdf[["dig", "n"]].assign(canon=[md5(x.encode("utf-8", "surrogatepass")).digest() for x in forms])
+
+
+def record_cells(df: DataFrame, tbl: str, row_id: str, texts: dict[str, Column], exact: dict[str, Column] | None = None, record: Column | None = None) -> DataFrame:
+    """tbl, id, cells (array of field, kind, raw) of every row with an id; see ``collapse_copies``."""
+    cell = lambda name, kind, c: F.struct(F.lit(name).alias("field"), F.lit(kind).alias("kind"), c.cast("string").alias("raw"))
+    cells = F.array(*[cell(n, "t", c) for n, c in texts.items()], *[cell(n, "j", c) for n, c in (exact or {}).items()])
+    if record is not None:
+        members = F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>")
+        inner = F.transform(F.map_entries(members), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("field"), F.lit("j").alias("kind"), F.when(~F.is_variant_null(e["value"]), F.to_json(e["value"])).alias("raw")))
+        cells = F.concat(cells, F.when(members.isNotNull(), inner).otherwise(F.array(cell(".", "t", record))))
+    rows = df.where(F.col(row_id).isNotNull())
+    return rows.select(F.lit(tbl).alias("tbl"), F.col(row_id).cast("long").alias("id"), F.filter(cells, lambda x: x["raw"].isNotNull()).alias("cells"))
 
 
-def collapse_copies(df: DataFrame, row_id: str, texts: dict[str, Column], exact: dict[str, Column] | None = None, record: Column | None = None) -> DataFrame:
-    """row_id, keep_id, n_copies for every row: keep_id is the smallest row_id of the row's copies, n_copies their number.
+def collapse_copies(records: DataFrame) -> DataFrame:
+    """tbl, row_id, keep_id, n_copies for every row of ``record_cells`` of one or more tables: keep_id is the smallest id of the row's
+    copies in its table, n_copies their number.
 
     texts: string fields, equal when their letters and digits are, letter case aside. exact: numbers and arrays, as JSON or
     plain text, equal as they are. record: JSON text whose top-level members are further fields; strings in it compare as
     texts, key order and layout do not matter, 1 and 1.0 are equal. A null field equals a missing one; an empty string, an
     empty array and a string without letters are values. A record that is no JSON object is compared as one string. Rows
-    with a null row_id are left out. Repeated ids are one row each.
+    with a null id are left out. Repeated ids are one row each.
 
-    The cells go through two shuffles, by value and by record; the copies through a third. Hot values and hot groups of
-    copies (e.g. one doc_id with a third of all rows) are counted before the join and split over tasks.
+    A cell travels as a digest of its raw text (128 bits) with the ids of its row and field; raw texts are shuffled once for
+    each distinct value and task. Hot values and hot groups of copies (e.g. one doc_id with a third of all rows) are counted
+    before the join and split over tasks. Field names, a handful unless records invent their own, get ids the same way.
     """
-    rows = df.where(F.col(row_id).isNotNull())
-    cell = lambda name, kind, c: F.struct(F.lit(name).alias("field"), F.lit(kind).alias("kind"), c.cast("string").alias("raw"))
-    cells = F.array(*[cell(n, "t", c) for n, c in texts.items()], *[cell(n, "j", c) for n, c in (exact or {}).items()])
-    if record is not None:
-        parsed = F.try_parse_json(record)
-        members = F.from_json(F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.to_json(parsed)), "map<string,variant>")
-        inner = F.transform(F.map_entries(members), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("field"), F.lit("j").alias("kind"), F.when(~F.is_variant_null(e["value"]), F.to_json(e["value"])).alias("raw")))
-        whole = F.array(cell(".", "t", record))
-        cells = F.concat(cells, F.when(F.coalesce(F.size(members), F.lit(-1)) >= 0, inner).otherwise(whole))
-    flat = rows.select(F.col(row_id).cast("long").alias("id"), F.explode(F.filter(cells, lambda x: x["raw"].isNotNull())).alias("c")).select("id", "c.*")
-    flat = shared_table(flat, "cells")
+    flat = records.select("tbl", "id", F.explode("cells").alias("c")).select("tbl", "id", "c.*")
+    flat = shared_table(flat.withColumn("dig", F.unhex(F.md5(F.concat("kind", "raw").cast("binary")))), "cells")
     # the dictionary: a distinct value is canonicalised once; equal canonical forms share an id
-    values = flat.groupBy("kind", "raw").agg(F.count("*").alias("n"))
-    canon = values.mapInPandas(_canonical, "kind string, raw string, n long, canon string")
-    canon = shared_table(canon, "values")
+    values = flat.groupBy("dig").agg(F.first("kind").alias("kind"), F.first("raw").alias("raw"), F.count("*").alias("n"))
+    canon = shared_table(values.mapInPandas(_canonical, "dig binary, n long, canon binary"), "values")
     ids = shared_table(canon.select("canon").distinct().select("canon", F.monotonically_increasing_id().alias("value_id")), "value-ids")
-    coded = canon.join(ids, "canon").select("kind", "raw", "n", "value_id")
-    fields = flat.groupBy("field").agg(F.count("*").alias("n")).select("field", "n", F.monotonically_increasing_id().alias("field_id"))
-    flat = salted_lookup(flat, shared_table(fields, "fields"), ["field"], "n", F.col("id"))
-    pairs = salted_lookup(flat, coded, ["kind", "raw"], "n", F.col("id"))
-    tuples = pairs.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("field_id", "value_id"))).alias("t"))
-    key = F.sha2(F.to_json("t"), 256)
-    every = rows.select(F.col(row_id).cast("long").alias("id")).distinct()
-    tuples = shared_table(every.join(tuples, "id", "left").select("id", key.alias("key"), F.col("t").isNull().alias("blank")), "tuples")
-    tuples = tuples.select("id", F.coalesce("key", F.lit("")).alias("key"))
-    groups = tuples.groupBy("key").agg(F.min("id").alias("keep_id"), F.count("*").alias("n_copies"))
-    out = salted_lookup(tuples, groups.withColumn("n", F.col("n_copies")), ["key"], "n", F.col("id"))
-    return out.select(F.col("id").alias(row_id), "keep_id", "n_copies")
-
-
-def inventory_copies(items: DataFrame) -> DataFrame:
-    """Copies in list_items: row_id, keep_id, n_copies."""
+    coded = shared_table(canon.join(ids, "canon").select("dig", "n", "value_id"), "coded")
+    names = flat.groupBy("field").agg(F.count("*").alias("n"))
+    fields = shared_table(names.select("field", "n", F.monotonically_increasing_id().alias("field_id")), "fields")
+    known = salted_lookup(flat.select("tbl", "id", "field", "dig"), fields, ["field"], "n", F.col("id"))
+    pairs = salted_lookup(known.select("tbl", "id", "field_id", "dig"), coded, ["dig"], "n", F.col("id"))
+    # the record: its sorted tuple of (field, value) integers, as one array of numbers
+    tuples = pairs.groupBy("tbl", "id").agg(F.array_sort(F.collect_set(F.struct("field_id", "value_id"))).alias("t"))
+    numbers = F.flatten(F.transform("t", lambda x: F.array(x["field_id"], x["value_id"])))
+    bare = records.where(F.size("cells") == 0).select("tbl", "id").distinct().join(tuples.select("tbl", "id"), ["tbl", "id"], "left_anti")
+    tuples = tuples.select("tbl", "id", numbers.alias("key")).unionByName(bare.withColumn("key", F.array().cast("array<long>")))
+    tuples = shared_table(tuples, "tuples")
+    groups = shared_table(tuples.groupBy("tbl", "key").agg(F.min("id").alias("keep_id"), F.count("*").alias("n_copies")), "groups")
+    out = salted_lookup(tuples, groups.withColumn("n", F.col("n_copies")), ["tbl", "key"], "n", F.col("id"))
+    return out.select("tbl", F.col("id").alias("row_id"), "keep_id", "n_copies")
+
+
+def inventory_cells(items: DataFrame) -> DataFrame:
+    """The cells of list_items."""
     texts = {c: F.col(c) for c in ("doc_id", "schema_name", "anchor", "section")}
     exact = {"page": F.col("page"), "section_page": F.col("section_page"), "region_ids": F.to_json("region_ids")}
-    return collapse_copies(items, "item_id", texts, exact).withColumnRenamed("item_id", "row_id").withColumn("tbl", F.lit("list_items"))
+    return record_cells(items, "list_items", "item_id", texts, exact)
 
 
-def trait_copies(traits: DataFrame) -> DataFrame:
-    """Copies in race_traits: row_id, keep_id, n_copies."""
-    out = collapse_copies(traits, "trait_id", {"doc_id": F.col("doc_id")}, None, F.col("record_json"))
-    return out.withColumnRenamed("trait_id", "row_id").withColumn("tbl", F.lit("race_traits"))
+def trait_cells(traits: DataFrame) -> DataFrame:
+    """The cells of race_traits: its doc_id and all members of record_json."""
+    return record_cells(traits, "race_traits", "trait_id", {"doc_id": F.col("doc_id")}, None, F.col("record_json"))
 
 
 def copy_counts(copies: DataFrame) -> DataFrame:

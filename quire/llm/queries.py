@@ -14,7 +14,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _p1(spark: SparkSession, d: str) -> DataFrame:
-    return format_copies.inventory_copies(table(spark, d, "list_items")).unionByName(format_copies.trait_copies(table(spark, d, "race_traits")))
+    both = format_copies.inventory_cells(table(spark, d, "list_items")).unionByName(format_copies.trait_cells(table(spark, d, "race_traits")))
+    return format_copies.collapse_copies(both)
 
 
 def _p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -46,7 +47,7 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: format_copies.copy_pairs(_p1(s, d)),
         "p1_counts": lambda s, d: format_copies.copy_counts(_p1(s, d)),
-        "p1_inventory": lambda s, d: format_copies.copy_counts(format_copies.inventory_copies(table(s, d, "list_items"))),
+        "p1_inventory": lambda s, d: format_copies.copy_counts(format_copies.collapse_copies(format_copies.inventory_cells(table(s, d, "list_items")))),
         "p3_found": _p3_found,
         "p3_regions": _p3_regions,
         "p3_text": _p3_text,

@@ -1,7 +1,7 @@
 """Noise in text from scanned pages (problem 5), over all texts of a corpus.
 
-Headers and footers are found by the repetition of lines at page edges under a form that misreading leaves alone, page
-numbers by their sequence; lines are joined, and misread words put right, by the vocabulary of the whole corpus.
+Headers and footers are found by the fuzzy repetition of lines at page edges: by edit distance between near pages, under a
+form that common misreadings leave alone. Page numbers are found by their sequence; lines are joined, and misread words put right, by the vocabulary of the whole corpus.
 """
 
 from __future__ import annotations
@@ -39,21 +39,22 @@ from quire.storage import shared_table
 
 TRUSTED, TRUSTED_CHARS = 200_000, 40  # bound of the broadcast set of frequent tokens; all others are looked up by a join
 FLUSH = 400_000
+NEAR, EDITS = 6, 8  # a line is a misread title if one within 6 pages differs in one of 8 characters at most
 RATIO = 20  # a word of letters alone is misread if the word it stands for is that much more frequent
 _SUSPECT = re.compile(SUSPECT)
 
 
 def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of tokens (kind t) and of word halves at line ends (p), and the lines at page edges (e)."""
+    """Counts of tokens (kind t) and of word halves at line ends (p), the lines at page edges (e), and pages (s) with the first
+    and last place (order_idx, line_no) of their regions that are not blank."""
     memo: dict = {}
     tokens: Counter = Counter()
     pairs: Counter = Counter()
     edges: list[tuple] = []
+    spots: dict[tuple, list] = {}
     columns = ["kind", "a", "b", "n", "f", "row_id", "doc_id", "page_no", "order_idx", "line_no", "edge", "alone", "num", "rest", "full"]
 
     def edge(row: tuple, where: str, line_no: int, line: str) -> None:
-        if len(line) > 120:
-            return
         alone = page_number_alone(line)
         title = alone is None and title_like(line)
         found = numbered_title(line) if title else None
@@ -66,6 +67,8 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def flush() -> pd.DataFrame:
         blank = (None,) * 11
         out = [("t", t, None, n, *blank) for t, n in tokens.items() if n > 0] + [("p", l, r, n, *blank) for (l, r), n in pairs.items()] + edges
+        out += [("s", None, None, None, None, None, doc_id, page_no, lo, hi, None, None, None, None, None) for (doc_id, page_no), (lo, hi) in spots.items()]
+        spots.clear()
         tokens.clear()
         pairs.clear()
         edges.clear()
@@ -86,18 +89,21 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 tokens[text[a:end]] -= 1
                 tokens[right] -= 1
             row = (f, row_id, doc_id, page_no, order_idx)
+            body = text.strip()
+            if f != 1:
+                spot = spots.setdefault((doc_id, page_no), [None, None])
+                if f == 2 and body:
+                    spot[:] = [order_idx if spot[0] is None else min(spot[0], order_idx), order_idx if spot[1] is None else max(spot[1], order_idx)]
             if f < 2:
-                body = text.strip()
                 if body:
                     before = text[: text.index(body[0])].count("\n")
                     edge(row, "first", before, body.partition("\n")[0])
                     if "\n" in body:
                         edge(row, "last", before + body.count("\n"), body.rpartition("\n")[2])
             else:
-                body = text.strip()
                 if body and "\n" not in body:
                     edge(row, "region", text[: text.index(body[0])].count("\n"), body)
-        if len(tokens) + len(pairs) + len(edges) > FLUSH:
+        if len(tokens) + len(pairs) + len(edges) + len(spots) > FLUSH:
             yield flush()
     yield flush()
 
@@ -232,23 +238,47 @@ def corpus_texts(pages: DataFrame, regions: DataFrame) -> DataFrame:
     return every.where("text is not null and row_id is not null")
 
 
-def _edge_noise(survey: DataFrame, texts: DataFrame) -> DataFrame:
+def _like_titles(known: DataFrame) -> DataFrame:
+    """doc_id, edge, key, page_no, title: what a line's key counts as, its own or that of a more frequent line at the same edge of
+    a page at most NEAR pages away that differs in one of every EDITS characters at most.
+
+    Lines meet by equality of file, edge and page, so a line meets those of 2 * NEAR + 1 pages.
+    """
+    lines = known.where("key is not null and key <> ''").select("doc_id", "edge", "key", "page_no").distinct()
+    often = lines.groupBy("doc_id", "edge", "key").agg(F.count("*").alias("times"))
+    lines = shared_table(salted_lookup(lines, often.withColumn("c", F.col("times")), ["doc_id", "edge", "key"], "c", F.col("page_no")), "title-lines")
+    near = lines.withColumn("at", F.explode(F.sequence(F.col("page_no") - NEAR, F.col("page_no") + NEAR)))
+    other = lines.select("doc_id", "edge", F.col("page_no").alias("at"), F.col("key").alias("title"), F.col("times").alias("more"))
+    allowed = F.floor(F.length("key") / EDITS).cast("int")
+    alike = near.join(other, ["doc_id", "edge", "at"]).where((F.col("key") != F.col("title")) & (F.col("more") > F.col("times")) & (F.abs(F.length("key") - F.length("title")) <= allowed))
+    alike = alike.where((F.levenshtein("key", "title") <= allowed) & (F.regexp_replace("key", r"[^\d]", "") == F.regexp_replace("title", r"[^\d]", "")))
+    best = alike.groupBy("doc_id", "edge", "key").agg(F.max_by("title", F.struct("more", "title")).alias("title"), F.count("*").alias("c"))
+    return best.select("doc_id", "edge", "key", "title")
+
+
+def _edge_noise(survey: DataFrame) -> DataFrame:
     """f, row_id, line_no, header, page_number of the running lines."""
     edges = survey.where("kind = 'e'").select("f", "row_id", "doc_id", "page_no", "order_idx", "line_no", "edge", "alone", "num", "rest", "full")
-    filled = texts.where("f = 2").where(F.col("text").rlike(r"\S"))
-    span = filled.groupBy("doc_id", "page_no").agg(F.min("order_idx").alias("lo"), F.max("order_idx").alias("hi"))
+    spots = survey.where("kind = 's'").groupBy("doc_id", "page_no").agg(F.min("order_idx").alias("lo"), F.max("line_no").alias("hi"))
+    spots = shared_table(spots, "spots")
+    span = spots.where("lo is not null")
     region = edges.where("edge = 'region'").drop("edge").join(span, ["doc_id", "page_no"]).withColumn("edge", F.expr("case when order_idx = lo then 'first' when order_idx = hi then 'last' end")).drop("lo", "hi")
     edges = shared_table(edges.where("edge <> 'region'").unionByName(region.where("edge is not null")), "edges")
     sizes = edges.groupBy("doc_id").agg(F.count("*").alias("c"))
     value = F.coalesce("alone", "num")
     shifts = edges.where(value.isNotNull()).select("doc_id", "page_no", (value - F.col("page_no")).alias("shift")).distinct()
     shifts = shifts.groupBy("doc_id", "shift").agg(F.count("*").alias("k")).groupBy("doc_id").agg(F.max_by("shift", F.struct("k", -F.abs("shift"), "shift")).alias("shift"))
-    files = texts.where("f <> 1").groupBy("doc_id", "page_no").agg(F.lit(1)).groupBy("doc_id").agg(F.count("*").alias("pages"), F.min("page_no").alias("opening"))
+    files = spots.groupBy("doc_id").agg(F.count("*").alias("pages"), F.min("page_no").alias("opening"))
     about = shared_table(sizes.join(shifts, "doc_id", "left").join(files, "doc_id"), "files")
     numbered = (value - F.col("page_no")).eqNullSafe(F.col("shift")) & value.isNotNull()
     known = salted_lookup(edges, about, ["doc_id"], "c", F.col("row_id")).withColumn("is_num", numbered)
     known = known.withColumn("key", F.when(F.col("num").isNotNull() & F.col("is_num"), F.col("rest")).otherwise(F.col("full")))
     known = shared_table(known, "edges-known")
+    alike = shared_table(_like_titles(known), "title-forms")
+    forms = known.where("key is not null").groupBy("doc_id", "edge", "key").agg(F.count("*").alias("n")).join(alike, ["doc_id", "edge", "key"])
+    changed = salted_lookup(known.where("key is not null"), forms, ["doc_id", "edge", "key"], "n", F.col("row_id")).withColumn("key", F.col("title")).drop("title")
+    same = known.join(alike.select("doc_id", "edge", "key"), ["doc_id", "edge", "key"], "left_anti")
+    known = shared_table(same.unionByName(changed), "edges-titles")
     on = known.where("key is not null and key <> ''").select("doc_id", "edge", "key", "page_no", "pages", "opening").distinct()
     later = F.col("page_no") > F.col("opening")
     odd = F.col("page_no") % 2 != 0
@@ -284,7 +314,7 @@ def find_noise(pages: DataFrame, regions: DataFrame) -> Noise:
     spark = pages.sparkSession
     texts = corpus_texts(pages, regions)
     survey = shared_table(texts.mapInPandas(_survey, _SURVEY), "survey")
-    edge = shared_table(_edge_noise(survey, texts), "running")
+    edge = shared_table(_edge_noise(survey), "running")
     counts = survey.where("kind in ('t', 'p')").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     counts = shared_table(counts, "tokens")
     tokens = counts.where("kind = 't'")

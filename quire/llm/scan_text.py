@@ -15,8 +15,6 @@ PAGE_WORDS = {"page", "pagina", "pag", "pg", "p", "seite", "s", "blatt", "folio"
 HYPHENS = "-‐¬"
 
 HYPHEN_END = re.compile(rf"[{HYPHENS}][^\S\n]*\n")
-WORD = re.compile(rf"(\S*[^\W\d_!@$|]|\S*[^\W_][!@|$]?)[{HYPHENS}][^\S\n]*\n[^\S\n]*(\S+)")
-_HYPHEN_END = re.compile(rf"[{HYPHENS}][^\S\n]*\n")
 WORD = re.compile(r"[!@$|]?[^\W_](?:[^\W_]|[!@$|̀-ͯ])*")
 _FOLD = str.maketrans({"0": "o", "1": "i", "l": "i", "!": "i", "|": "i", "5": "s", "$": "s", "9": "g", "6": "b", "8": "b", "@": "a", "ſ": "s", "f": "t", "c": "e"})
 _EXPAND = (("w", "vv"), ("m", "rn"), ("n", "ri"), ("u", "ii"), ("h", "li"), ("d", "cl"))
@@ -87,15 +85,15 @@ def odd_letters(w: str) -> bool:
 
 def number_value(token: str) -> int | None:
     """The number a token stands for, misread digits included; None if it is none."""
-    if not token or len(token) > 5 or not any(c.isdigit() or c in "lIO" for c in token):
+    if not token or len(token) > 9 or not any(c.isdigit() or c in "lIO" for c in token):
         return None
     out = "".join(c if c.isdigit() else DIGIT_OF_LETTER.get(c, "?") for c in token)
     return int(out) if out.isascii() and out.isdigit() else None
 
 
-_ALONE = re.compile(r"^\W*(?:([^\W\d_]+)(?:\.\s*|\s+))?([0-9lIOoSsBZg]{1,5})(?:\s*(?:/|of|di|von)\s*[0-9lIOoSsBZg]{1,5})?[^\w.,;:)]*$")
-_LEAD = re.compile(r"^\W*([0-9lIOoSsBZg]{1,5})\s+(\D.*)$")
-_TRAIL = re.compile(r"^(.*\D)\s+([0-9lIOoSsBZg]{1,5})\W*$")
+_ALONE = re.compile(r"^\W*(?:([^\W\d_]+)(?:\.\s*|\s+))?([0-9lIOoSsBZg]{1,9})(?:\s*(?:/|of|di|von)\s*[0-9lIOoSsBZg]{1,9})?[^\w.,;:)]*$")
+_LEAD = re.compile(r"^\W*([0-9lIOoSsBZg]{1,9})\s+(\D.*)$")
+_TRAIL = re.compile(r"^(.*\D)\s+([0-9lIOoSsBZg]{1,9})\W*$")
 
 
 def page_number_alone(line: str) -> int | None:
@@ -124,7 +122,7 @@ def numbered_title(line: str) -> tuple[int, str] | None:
 def title_like(line: str) -> bool:
     """A short line without a sentence's end whose longer words begin with capitals."""
     line = line.strip()
-    if not line or len(line) > 90 or line[-1] in ".,;:!?-‐¬…" or "\t" in line or "|" in line:
+    if not line or len(line) > 200 or line[-1] in ".,;:!?-‐¬…" or "\t" in line or "|" in line:
         return False
     long = [w for w in re.findall(r"[^\W_]+", line) if len(w) > 2 and not w.isdigit()]
     letters = [w for w in re.findall(r"[^\W_]+", line) if not w.isdigit()]

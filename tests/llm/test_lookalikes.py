@@ -37,12 +37,20 @@ def test_quote_equals_region(spark):
 
 
 def test_rows_of_a_table(spark, rows):
-    df = spark.createDataFrame([(1, "а D​eep сосо"), (2, "Ночь Θήκη"), (3, None), (4, "Νοτα"), (5, "pаge"), (6, "")], "ext_id long, quote string")
+    df = spark.createDataFrame([(1, "the \u0430 D\u200beep \u0441\u043e\u0441\u043e here"), (2, "Ночь Θήκη"), (3, None), (4, "\u039d\u03bf\u03c4\u03b1"), (5, "p\u0430ge"), (6, ""), (7, "x\u0585y of")], "ext_id long, quote string")
     got = {r["row_id"]: (r["tbl"], r["text_norm"], r["kinds"]) for r in consistent_rows(df, "extractions", "ext_id", "quote").collect()}
-    assert got == {i: ("extractions", t, k) for i, t, k in [(1, "а Deep сосо", ["zero", "whole"]), (2, "Ночь Θήκη", []), (3, None, []), (4, "Νοτα", []), (5, "page", ["mixed"]), (6, "", [])]}
+    want = [(1, "the a Deep coco here", ["zero", "whole"]), (2, "Ночь Θήκη", []), (3, None, []), (4, "\u039d\u03bf\u03c4\u03b1", []), (5, "page", ["mixed"]), (6, "", []), (7, "xoy of", ["foreign"])]
+    assert got == {i: ("extractions", t, k) for i, t, k in want}
     assert rows(odd_rows(df, "extractions", "ext_id", "quote").select("row_id")) == [(1,), (5,)]
 
 
+def test_words_wholly_of_look_alikes():
+    """Latin only among Latin words; ordinary beside words of their own script, at the border, and alone."""
+    soso, ra = "\u0441\u043e\u0441\u043e", "\u0440\u0430"
+    for given, want in ((f"the {soso} tree", "the coco tree"), (f"{soso} tree", "coco tree"), (f"{soso} {ra} tree", "coco pa tree"), (f"Ночь {soso}", f"Ночь {soso}"), (f"the {soso} tree Ночь", f"the {soso} tree Ночь"), (soso, soso), (f"{soso} {ra}", f"{soso} {ra}")):
+        assert unify(given, FORMS, {}) == (want, "whole" if want != given else "")
+
+
 def test_query_has_quotes_and_texts(spark):
     from quire.llm.queries import queries
 
