@@ -57,11 +57,12 @@ def duration(seconds: Column) -> Column:
     return F.when(s < 60, F.format_string("%ds", s)).when(s < 3600, F.format_string("%dm %02ds", F.floor(s / 60).cast("int"), s % 60)).otherwise(F.format_string("%dh %02dm", F.floor(s / 3600).cast("int"), F.floor(s % 3600 / 60).cast("int")))
 
 
-# fixed values: region labels of the first engine and the types they stand for
-LABELS = {"text": "text", "paragraph_title": "text", "doc_title": "text", "title": "text", "table": "table", "table_title": "table", "formula": "formula", "equation": "formula", "seal": "stamp", "stamp": "stamp"}
+# fixed values: region labels of both engines and the types they stand for, and those that the second engine has besides
+LABELS = {"text": "text", "title": "text", "header": "text", "footer": "text", "line": "text", "paragraph": "text", "reference": "text", "algorithm": "text", "table": "table", "table_title": "table", "formula": "formula", "stamp": "stamp", "seal": "stamp"}
+SECOND_LABELS = {"sub_title": "text", "table_caption": "text", "table_footnote": "text", "image_caption": "text", "equation": "formula"}
 
 
-def region_type(label: Column) -> Column:
-    """A label's region type; unknown labels and null are text."""
-    pairs = [x for k, v in LABELS.items() for x in (F.lit(k), F.lit(v))]
+def region_type(label: Column, second: bool = False) -> Column:
+    """A label's region type; unknown labels and null are text. second: labels of the second engine count too."""
+    pairs = [F.lit(x) for kv in {**LABELS, **(SECOND_LABELS if second else {})}.items() for x in kv]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(F.trim(label))), F.lit("text"))

@@ -62,6 +62,18 @@ def metrics(rows: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumns({"precision": share(tp, tp + fp, 1.0), "recall": share(tp, tp + fn, 1.0), "exact": share(tp, n, 0.0)})
 
 
+def path_metrics(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """``metrics`` of each field with ``silent``, the wrong values of high confidence. pred: field, doc_id, field_path, value, confidence;
+    gold: gold_field, doc_id, field_path, value. A value at a path that gold has not is invented; a null there is an absence."""
+    p = pred.select("doc_id", "field_path", "field", "confidence", F.col("value").alias("p"))
+    g = gold.select("doc_id", "field_path", "gold_field", F.col("value").alias("g"), F.lit(True).alias("has_g"))
+    both = p.join(g, ["doc_id", "field_path"], "full_outer").where("has_g or p is not null")
+    same = F.coalesce(F.col("has_g"), F.lit(False)) & (plain(F.col("p")) == plain(F.col("g")))
+    wrong = ~same & F.col("p").isNotNull()
+    rows = both.select(F.coalesce("gold_field", "field").alias("field"), F.col("has_g").isNotNull().alias("expected"), same.alias("hit"), wrong.alias("wrong"), (~same & F.col("g").isNotNull()).alias("missed"), (wrong & (F.col("confidence") == "high")).alias("s"))
+    return metrics(rows, ["field"]).join(rows.groupBy("field").agg(F.count_if("s").alias("silent")), "field")
+
+
 def run_delta(a: DataFrame, b: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """The groups in which two runs differ, with the differences b - a; a missing side counts as 0."""
     left, right = a.select(*by, *[F.col(c).alias(f"a_{c}") for c in columns]), b.select(*by, *[F.col(c).alias(f"b_{c}") for c in columns])

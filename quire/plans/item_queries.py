@@ -305,6 +305,33 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "gold_traits").select("item_id", F.explode(F.array(*map(cell, ("raceName", "featureName", "grantedAtLevel", "effects")))).alias("x")).select("item_id", "x.*")
 
 
+_GOLD_PATHS = f"""inv as (select doc_id, page, {normal_sql('anchor')} a, row_number() over (partition by doc_id order by item_id) - 1 as idx from list_items where schema_name = 'race_traits'),
+gi as (select g.item_id, g.doc_id, g.anchor, min(inv.idx) as idx from gold_traits g left join inv on inv.doc_id = g.doc_id and inv.page = g.page and (starts_with(inv.a, {normal_sql('g.anchor')}) or starts_with({normal_sql('g.anchor')}, inv.a)) group by all),
+gv as (select item_id, unnest(['raceName', 'featureName', 'grantedAtLevel', 'effects']) as field, unnest([raceName.value, featureName.value, grantedAtLevel.value::varchar, effects.value]) as value from gold_traits),
+gp as (select gi.doc_id, gv.field, 'traits[' || coalesce(gi.idx::varchar, 'missing:' || coalesce(gi.anchor, '')) || '].' || gv.field as field_path, gv.value from gi join gv on gi.item_id = gv.item_id where gv.value is distinct from 'DA COMPILARE')"""
+
+
+def _gold_paths(s: SparkSession, d: str) -> DataFrame:
+    """doc_id, field, field_path, value: gold values by the paths of this run. An item's place is that of the first inventory item of
+    its page whose anchor begins with its own or the other way round; without one its path is one that no run produces."""
+    from quire.storage import shared_table
+
+    inv = table(s, d, "list_items").where("schema_name = 'race_traits'").select("doc_id", "page", "item_id", text.normalize(F.col("anchor")).alias("a"))
+    inv = rank_within(shared_table(inv, "inventory"), ["doc_id"], ["item_id"], "idx").drop("item_id")
+    gold = table(s, d, "gold_traits").select("item_id", "doc_id", "page", "anchor", text.normalize(F.col("anchor")).alias("g"))
+    place = gold.join(inv, ["doc_id", "page"]).where(F.startswith("a", "g") | F.startswith("g", "a")).groupBy("item_id").agg(F.min("idx").alias("idx"))
+    own = gold.join(place, "item_id", "left").select("item_id", "doc_id", F.coalesce(F.col("idx").cast("string"), F.concat(F.lit("missing:"), F.coalesce("anchor", F.lit("")))).alias("at"))
+    cell = lambda c: F.struct(F.lit(c).alias("field"), F.col(f"{c}.value").cast("string").alias("value"))
+    values = table(s, d, "gold_traits").select("item_id", F.explode(F.array(*map(cell, ("raceName", "featureName", "grantedAtLevel", "effects")))).alias("x")).select("item_id", "x.*")
+    values = values.where(~F.col("value").eqNullSafe(F.lit("DA COMPILARE")))
+    return own.join(values, "item_id").select("doc_id", "field", F.concat(F.lit("traits["), "at", F.lit("]."), "field").alias("field_path"), "value")
+
+
+@query("gold_paths", f"with {_GOLD_PATHS} select doc_id, field_path, value from gp")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _gold_paths(s, d).drop("field")
+
+
 @query("strip_defaults", """with e as (select trait_id, unnest(effects) x, generate_subscripts(effects, 1) - 1 as pos from race_traits) select trait_id, pos::int as pos, x.kind as kind, nullif(x.condition, 'always') as condition from e""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Effects without properties that stand at their default."""
@@ -407,15 +434,27 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "race_traits").where(F.try_parse_json("record_json").isNotNull()).select("trait_id", F.array_join(F.array_compact(F.array(*bad)), ",").alias("errors"))
 
 
-@query("retry_pages", """with i as (select doc_id, featureName f, min(page) p from race_traits group by all), e as (select ext_id, doc_id, page_no, json_extract_string(value_json, '$') v from extractions where field_path like '%.featureName' and json_valid(value_json))
-select e.ext_id, array_to_string(list_sort(list_distinct(list_filter([e.page_no, i.p], lambda x: x is not null))), ',') as pages from e left join i on e.doc_id = i.doc_id and e.v = i.f""")
+_LIST = r"regexp_extract(field_path, '^(traits|parties)\[([0-9]+)\]', 2)"
+
+
+@query("retry_pages", f"""with i as (select doc_id, page, section_page, row_number() over (partition by doc_id, schema_name order by item_id) - 1 as idx, schema_name from list_items),
+e as (select ext_id, doc_id, schema_name, page_no, try_cast({_LIST} as bigint) as idx from extractions where field_path not like '%$%'), f as (select doc_id, list(page_no) as pages from pages group by doc_id having count(*) <= 3),
+x as (select e.ext_id, e.doc_id, list_sort(list_distinct(list_filter([e.page_no, i.page, i.section_page], lambda x: x is not null))) as pages from e left join i on i.doc_id = e.doc_id and i.schema_name = e.schema_name and i.idx = e.idx)
+select ext_id, array_to_string(case when len(x.pages) > 0 then x.pages else coalesce(list_sort(f.pages), []) end, ',') as pages from x left join f on f.doc_id = x.doc_id""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """The pages to read again for a field: its own and that of its item."""
-    items = table(s, d, "race_traits").groupBy("doc_id", F.col("featureName").alias("v")).agg(F.min("page").alias("p"))
-    rows = table(s, d, "extractions").where("field_path like '%.featureName'").where(F.try_parse_json("value_json").isNotNull())
-    rows = rows.select("ext_id", "doc_id", "page_no", F.get_json_object(F.concat(F.lit('{"v":'), "value_json", F.lit("}")), "$.v").alias("v"))
-    both = rows.join(items, ["doc_id", "v"], "left")
-    return both.select("ext_id", F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array("page_no", "p")))).cast("array<string>"), ",").alias("pages"))
+    """The pages to read again for a field: its own, its item's and that of the item's section; where none is known, all pages of a
+    file of at most three."""
+    from quire.storage import shared_table
+
+    items = table(s, d, "list_items").select("doc_id", "schema_name", "item_id", "page", "section_page")
+    items = rank_within(shared_table(items, "items"), ["doc_id", "schema_name"], ["item_id"], "idx").drop("item_id")
+    idx = F.regexp_extract("field_path", r"^(traits|parties)\[([0-9]+)\]", 2).try_cast("long")
+    rows = table(s, d, "extractions").where(~F.col("field_path").contains("$")).select("ext_id", "doc_id", "schema_name", "page_no", idx.alias("idx"))
+    small = table(s, d, "pages").groupBy("doc_id").agg(F.array_sort(F.collect_list("page_no")).alias("all"), F.count("*").alias("n")).where("n <= 3").drop("n")
+    near = F.array_sort(F.array_distinct(F.array_compact(F.array("page_no", "page", "section_page"))))
+    both = rows.join(items, ["doc_id", "schema_name", "idx"], "left").join(small, "doc_id", "left")
+    pages = F.when(F.size(near) > 0, near).otherwise(F.coalesce("all", F.array().cast("array<int>")))
+    return both.select("ext_id", F.array_join(pages.cast("array<string>"), ",").alias("pages"))
 
 
 @query("validation_summary", "with l as (select * from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1) select schema_name, status, count(*) as n, count(distinct doc_id) as files from l group by all")
@@ -561,6 +600,22 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return evaluate.metrics(evaluate.compared(_pred(s, d), _gold(s, d)), ["field"])
 
 
+_PATH_EVAL = f"""{_GOLD_PATHS}, lx as (select * from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1 and field_path not like '%$%' and status = 'validated'),
+pp as (select doc_id, field_path, confidence, regexp_extract(field_path, '([A-Za-z_]+)(\\[[0-9]+\\])?$', 1) as field, case when not json_valid(value_json) then value_json when json_type(value_json) = 'VARCHAR' then value_json::json->>'$' when json_type(value_json) <> 'NULL' then value_json end as value from lx),
+kk as (select coalesce(gp.field, pp.field) field, gp.doc_id is not null expected, gp.doc_id is not null and {_P.format('pp.value')} = {_P.format('gp.value')} hit, pp.value pv, gp.value gv, pp.confidence from pp full join gp on pp.doc_id = gp.doc_id and pp.field_path = gp.field_path where gp.doc_id is not null or pp.value is not null)"""
+
+
+@query("eval_paths", f"with {_PATH_EVAL}, m as (select field, {_MET}, count(*) filter (where not hit and pv is not null and confidence = 'high') as silent from kk group by field) select *, {_SHARES} from m")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Metrics of each field: the latest validated values against the gold values of their paths; values at other paths are invented."""
+    rows = versions.latest(table(s, d, "extractions").where(~F.col("field_path").contains("$")).select(*KEY, *ORDER, "status", "value_json", "confidence"), KEY, ORDER).where("status = 'validated'")
+    v = F.col("value_json")
+    bare = F.when(F.try_parse_json("value_json").isNull(), v).when(v.rlike(r'^\s*"'), F.get_json_object(F.concat(F.lit('{"v":'), v, F.lit("}")), "$.v")).when(F.trim(v) != "null", v)
+    pred = rows.select(F.regexp_extract("field_path", r"([A-Za-z_]+)(\[[0-9]+\])?$", 1).alias("field"), "doc_id", "field_path", bare.alias("value"), "confidence")
+    gold = _gold_paths(s, d).withColumnRenamed("field", "gold_field")
+    return evaluate.path_metrics(pred, gold)
+
+
 @query("silent_error_rate", f"with {_EVAL}, {_LAST}, c as ({_CMP}) select round(count(*) filter (where not hit and pv is not null) / count(*), 6)::double as rate from c where expected or pv is not null")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Wrong values among all expected and invented ones."""

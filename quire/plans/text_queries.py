@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from quire.functions import boxes, numbers, text
 from quire.operators.skew import rank_within
-from quire.sources import payloads
+from quire.sources import external, payloads, sinks
 from quire.sources.tables import table
+from quire.storage import shared_path
 
 Q, SQL = {}, {}
 
@@ -135,7 +136,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rows.select("trait_id", "x.kind", "x.amount", F.when(F.col("x.kind") == "speed_bonus", F.col("x.amount") + 30).otherwise(F.col("x.amount")).alias("other"))
 
 
-@query("ocr_payload_explode", """select doc_id, page_no, (row_number() over (partition by doc_id, page_no order by order_idx, region_type) - 1)::int as pos, region_type, case when bbox is null then null else 4 end::int as n_box, text from regions where engine = 'a'""")
+@query("ocr_payload_explode", """select doc_id, page_no, (row_number() over (partition by doc_id, page_no order by order_idx, region_type) - 1)::int as pos, region_type, case when bbox is null then null else 4 end::int as n_box, coalesce(text, '') as text from regions where engine = 'a'""")
 def _(s: SparkSession, d: str) -> DataFrame:
     built = payloads.block_payload(table(s, d, "regions").where("engine = 'a'"))
     return payloads.explode_blocks(built).drop("error")
@@ -145,19 +146,74 @@ def _(s: SparkSession, d: str) -> DataFrame:
 r as (select doc_id, unnest(l) part, generate_subscripts(l, 1) - 1 as pos from p),
 g as (select doc_id, pos::int pos, trim(regexp_extract(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$', 1)) label, try_cast(regexp_extract(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$', 2) as double[][]) b,
   regexp_replace(regexp_extract(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$', 3), '^\s+|\s+$', '', 'g') text from r where pos > 0 and regexp_matches(part, '(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$'))
-select doc_id, pos, label, case lower(label) when 'table' then 'table' when 'formula' then 'formula' when 'equation' then 'formula' when 'seal' then 'stamp' when 'stamp' then 'stamp' else 'text' end region_type,
+select doc_id, pos, label, case lower(label) when 'table' then 'table' when 'table_title' then 'table' when 'formula' then 'formula' when 'equation' then 'formula' when 'seal' then 'stamp' when 'stamp' then 'stamp' else 'text' end region_type,
   round(list_min([x[1] for x in b]) * 2480 / 999.0, 6)::double x0, round(list_min([x[2] for x in b]) * 3508 / 999.0, 6)::double y0, round(list_max([x[3] for x in b]) * 2480 / 999.0, 6)::double x1, round(list_max([x[4] for x in b]) * 3508 / 999.0, 6)::double y1, text
 from g where label <> 'image' and len(b) > 0 and len(list_filter(b, lambda x: len(x) = 4 and len(list_filter(x, lambda v: v is not null)) = 4)) = len(b)""")
 def _(s: SparkSession, d: str) -> DataFrame:
     return payloads.grounding_regions(table(s, d, "documents"), "doc_id", "text").withColumns({c: F.round(c, 6) for c in ("x0", "y0", "x1", "y1")})
 
 
+@query("grounding_errors", r"""with p as (select doc_id, regexp_replace(text, '<[|｜]end▁of▁sentence[|｜]>', '', 'g') t from documents where source = 'engine_b_payloads'),
+g as (select doc_id, t, regexp_extract_all(t, '(?s)<\|ref\|>(.*?)<\|/ref\|><\|det\|>(.*?)<\|/det\|>', 1) l, regexp_extract_all(t, '(?s)<\|ref\|>(.*?)<\|/ref\|><\|det\|>(.*?)<\|/det\|>', 2) b from p where regexp_matches(t, '\S')),
+x as (select doc_id, unnest(l) lab, try_cast(unnest(b) as double[][]) bx from g), y as (select distinct doc_id from x where lower(trim(lab)) <> 'image' and not coalesce(len(bx) > 0 and len(list_filter(bx, lambda v: len(v) = 4 and len(list_filter(v, lambda w: w is not null)) = 4)) = len(bx), false))
+select g.doc_id, case when len(l) = 0 then 'untagged' else 'box' end as error from g left join y on g.doc_id = y.doc_id where len(l) = 0 or y.doc_id is not null""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return payloads.grounding_errors(table(s, d, "documents").where("source = 'engine_b_payloads'"), "doc_id", "text")
+
+
+@query("stub_answers", """select item_id, case when anchor is not null and not regexp_matches(anchor, '[0-9]') then '{"anchor_chars": ' || length(anchor) || '}' end as payload, case when regexp_matches(anchor, '[0-9]') then 'ValueError: digits in the anchor' end as error from list_items""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The call slot with a stub for the model: an answer for each item, or the error that its call raised."""
+
+    def stub(anchor: str) -> str:
+        if any(c in "0123456789" for c in anchor):
+            raise ValueError("digits in the anchor")
+        return f'{{"anchor_chars": {len(anchor)}}}'
+
+    return external.call(table(s, d, "list_items").select("item_id", "anchor"), "anchor", stub).drop("anchor")
+
+
+@query("log_excerpt", "with l as (select trim(unnest(string_split(text, chr(10)))) line from documents) select line, count(*) as times from l where regexp_matches(line, '(?i)error|traceback|memory') group by line")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The lines of all texts that a log filter would keep."""
+    lines = table(s, d, "documents").select(F.explode(F.split("text", "\n")).alias("value"))
+    return external.excerpt(lines)
+
+
+@query("written_definitions", """select trait_id, coalesce(json_valid(record_json), false) as valid from race_traits""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Definitions written as JSON lines, the invalid ones apart, and read back."""
+    path = shared_path(s, "definitions")
+    rows = table(s, d, "race_traits").select("trait_id", "def_id", "record_json", F.when(F.try_parse_json("record_json").isNull(), "no valid JSON").alias("errors"))
+    sinks.write_definitions(rows, path)
+    return s.read.schema("trait_id long, invalid boolean").json(path).select("trait_id", (~F.col("invalid")).alias("valid"))
+
+
+@query("written_corrections", "select doc_id, field_path, value_json as new_value from extractions where status = 'needs_review' and value_json is not null")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Corrections appended as JSON lines, in two parts, and read back."""
+    path = shared_path(s, "corrections")
+    rows = table(s, d, "extractions").where("status = 'needs_review' and value_json is not null").select("doc_id", "field_path", F.col("value_json").alias("new_value"), "schema_name")
+    for part in (F.col("schema_name").eqNullSafe(F.lit("contract")), ~F.col("schema_name").eqNullSafe(F.lit("contract"))):
+        sinks.write_corrections(rows.where(part), path)
+    return s.read.schema("doc_id string, field_path string, new_value string").json(path)
+
+
+@query("box_unions", f"""with r as (select doc_id, page_no, case when len(cast(bbox as json)::double[]) = 4 then cast(bbox as json)::double[] end b from regions where engine = 'a')
+select doc_id, page_no, min(b[1]) as x0, min(b[2]) as y0, max(b[3]) as x1, max(b[4]) as y1 from r where b is not null group by doc_id, page_no""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The box around all boxes of a page."""
+    rows = table(s, d, "regions").where("engine = 'a'").select("doc_id", "page_no", boxes.box(F.col("bbox")).alias("b")).where("b is not null")
+    every = rows.groupBy("doc_id", "page_no").agg(F.collect_list("b").alias("bs"))
+    return every.select("doc_id", "page_no", F.aggregate("bs", F.get("bs", F.lit(0)), boxes.union).alias("u")).select("doc_id", "page_no", "u.*")
+
+
 @query("label_map", """with p as (select string_split(text, '<|ref|>') l from documents where contains(text, '<|ref|>')), r as (select unnest(l[2:]) part from p), g as (select trim(string_split(part, '<|/ref|>')[1]) label from r where contains(part, '<|/ref|>'))
-select label, case lower(label) when 'table' then 'table' when 'formula' then 'formula' when 'equation' then 'formula' when 'seal' then 'stamp' when 'stamp' then 'stamp' else 'text' end as region_type, count(*) as n from g group by all""")
+select label, case lower(label) when 'table' then 'table' when 'table_title' then 'table' when 'formula' then 'formula' when 'equation' then 'formula' when 'seal' then 'stamp' when 'stamp' then 'stamp' else 'text' end as region_type, count(*) as n from g group by all""")
 def _(s: SparkSession, d: str) -> DataFrame:
     parts = table(s, d, "documents").where(F.col("text").contains(payloads.TAG)).select(F.explode(F.slice(F.split("text", r"<\|ref\|>"), 2, 1 << 30)).alias("p")).where(F.col("p").contains("<|/ref|>"))
     labels = parts.select(F.trim(F.substring_index("p", "<|/ref|>", 1)).alias("label"))
-    return labels.groupBy("label").agg(F.count("*").alias("n")).withColumn("region_type", text.region_type(F.col("label")))
+    return labels.groupBy("label").agg(F.count("*").alias("n")).withColumn("region_type", text.region_type(F.col("label"), second=True))
 
 
 @query("json_object_guard", "select ext_id, case when value_json is null then 'missing' when not json_valid(value_json) then 'not json' when json_type(value_json) <> 'OBJECT' then 'not an object' end as error from extractions")

@@ -30,6 +30,14 @@ def call(df: DataFrame, inputs: str, fn: Callable[[str], str], payload: str = "p
     return df.withColumn("__r", ask(F.col(inputs))).withColumns({payload: F.col("__r.payload"), error: F.col("__r.error")}).drop("__r")
 
 
-def log_excerpt(spark: SparkSession, path: str, pattern: str = r"(?i)error|traceback|memory") -> DataFrame:
-    """The distinct lines of text logs that match a pattern, with how often each occurs."""
-    return spark.read.text(path).where(F.col("value").rlike(pattern)).groupBy(F.trim("value").alias("line")).agg(F.count("*").alias("times"))
+PATTERN = r"(?i)error|traceback|memory"
+
+
+def excerpt(lines: DataFrame, pattern: str = PATTERN) -> DataFrame:
+    """line, times of the distinct lines (column value) that match a pattern, outer blanks aside."""
+    return lines.where(F.col("value").rlike(pattern)).groupBy(F.trim("value").alias("line")).agg(F.count("*").alias("times"))
+
+
+def log_excerpt(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
+    """``excerpt`` of text logs."""
+    return excerpt(spark.read.text(path), pattern)

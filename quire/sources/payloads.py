@@ -28,17 +28,42 @@ def block_payload(regions: DataFrame) -> DataFrame:
 
 
 def explode_blocks(payloads: DataFrame) -> DataFrame:
-    """doc_id, page_no, pos, region_type, n_box, text of every block; an empty list gives no row, an unrecognised payload one row
-    with ``error``."""
-    block = "parsing_res_list array<struct<index: int, block_label: string, block_bbox: array<double>, block_content: string>>"
-    p = F.from_json("payload", f"{block}, res struct<{block.replace(' array', ': array', 1)}>")
-    rows = payloads.select("doc_id", "page_no", p.alias("p")).withColumn("l", F.coalesce("p.parsing_res_list", "p.res.parsing_res_list"))
+    """doc_id, page_no, pos, region_type, n_box, text, error of every block of the first engine's payloads.
+
+    A payload is an object with ``parsing_res_list``, bare or under ``res``; a JSON string of one; a list of such objects, whose
+    blocks follow each other; or a list of plain regions (bbox, type, text). An empty list gives no row, anything else one
+    row with the error ``unrecognised``. A block with a box that is no list of four, or without any known member, has an error
+    of its own (``box``, ``block``). A table given as an object is kept as JSON. A missing text is ''.
+    """
+    get = F.get_json_object
+    quoted = F.col("payload").rlike(r'^\s*"')
+    rows = payloads.select("doc_id", "page_no", F.when(quoted, get(F.concat(F.lit('{"v":'), "payload", F.lit("}")), "$.v")).otherwise(F.col("payload")).alias("p"))
+    listed = lambda c: F.coalesce(get(c, "$.parsing_res_list"), get(c, "$.res.parsing_res_list"))
+    parts = F.from_json("p", "array<string>")
+    known = F.forall(parts, lambda e: e.rlike(r"^\s*\{"))
+    whole = F.forall(parts, lambda e: listed(e).isNotNull())
+    plain = F.forall(parts, lambda e: listed(e).isNull())
+    many = F.when(known & whole, F.flatten(F.transform(parts, lambda e: F.from_json(listed(e), "array<string>")))).when(known & plain, parts)
+    blocks = F.when(F.col("p").rlike(r"^\s*\["), many).otherwise(F.from_json(listed(F.col("p")), "array<string>"))
+    rows = rows.withColumn("l", blocks)
+    b = F.col("b")
+    has = lambda *names: F.coalesce(F.exists(F.json_object_keys(b), lambda k: k.isin(*names)), F.lit(False))
+    own, legacy = has("block_bbox", "block_label", "block_content"), has("bbox", "type", "text")
+    box = F.when(own, get(b, "$.block_bbox")).otherwise(get(b, "$.bbox"))
+    n_box = F.size(F.from_json(box, "array<double>"))
+    kind = F.when(own, text.region_type(get(b, "$.block_label"))).otherwise(F.coalesce(F.nullif(get(b, "$.type"), F.lit("")), F.lit("text")))
+    content = F.coalesce(F.when((kind == "table") & get(b, "$.table").isNotNull(), get(b, "$.table")), F.when(own, get(b, "$.block_content")).otherwise(get(b, "$.text")), F.lit(""))
+    error = F.when(~own & ~legacy, "block").when(own & box.isNotNull() & ~F.coalesce(n_box == 4, F.lit(False)), "box")
     good = rows.select("doc_id", "page_no", F.posexplode("l").alias("pos", "b"))
-    good = good.select("doc_id", "page_no", "pos", text.region_type(F.col("b.block_label")).alias("region_type"), F.when(F.col("b.block_bbox").isNotNull(), F.size("b.block_bbox")).alias("n_box"), F.col("b.block_content").alias("text"), F.lit(None).cast("string").alias("error"))
-    bad = rows.where("l is null").select("doc_id", "page_no", F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("region_type"), F.lit(None).cast("int").alias("n_box"), F.lit(None).cast("string").alias("text"), F.lit("unrecognised").alias("error"))
+    good = good.select("doc_id", "page_no", "pos", kind.alias("region_type"), F.when(box.isNotNull(), n_box).alias("n_box"), content.alias("text"), error.alias("error"))
+    none = lambda c, t: F.lit(None).cast(t).alias(c)
+    bad = rows.where("l is null").select("doc_id", "page_no", none("pos", "int"), none("region_type", "string"), none("n_box", "int"), none("text", "string"), F.lit("unrecognised").alias("error"))
     return good.unionByName(bad)
 
 
+END = r"<[|｜]end▁of▁sentence[|｜]>"  # fixed value: the mark that ends the second engine's answer
+
+
 TAG = "<|ref|>"
 
 
@@ -47,9 +72,10 @@ def grounding_regions(df: DataFrame, row_id: str, content: str, width: float = 2
     x1, y1, text.
 
     A region's box is the union of its boxes, scaled from 0-999 to the page; text runs to the next tag; the label image is
-    dropped; text before the first tag and tags whose box list is no list of
-    four numbers each give no region.
+    dropped; marks of the answer's end are none of the text. Text before the first tag and tags whose box list is no list of
+    four numbers each give no region; ``grounding_errors`` names the answers that have such faults.
     """
+    df = df.withColumn(content, F.regexp_replace(content, END, ""))
     parts = F.split(F.col(content), r"<\|ref\|>", -1)
     rows = df.where(F.col(content).contains(TAG)).select(F.col(row_id), F.posexplode(parts).alias("pos", "part")).where("pos > 0")
     pattern = r"(?s)^(.*?)<\|/ref\|>\s*<\|det\|>(.*?)<\|/det\|>(.*)$"
@@ -57,7 +83,20 @@ def grounding_regions(df: DataFrame, row_id: str, content: str, width: float = 2
     rows = rows.where(F.col("part").rlike(pattern)).select(row_id, "pos", F.trim(g(1)).alias("label"), F.from_json(g(2), "array<array<double>>").alias("boxes"), F.regexp_replace(g(3), r"^\s+|\s+$", "").alias("text"))
     rows = rows.where("label <> 'image' and size(boxes) > 0 and forall(boxes, b -> size(b) = 4 and forall(b, x -> x is not null))")
     edge = lambda i, f, size: (f(F.transform("boxes", lambda b: b[i])) * size / 999.0)
-    return rows.select(row_id, "pos", "label", text.region_type(F.col("label")).alias("region_type"), edge(0, F.array_min, width).alias("x0"), edge(1, F.array_min, height).alias("y0"), edge(2, F.array_max, width).alias("x1"), edge(3, F.array_max, height).alias("y1"), "text")
+    return rows.select(row_id, "pos", "label", text.region_type(F.col("label"), second=True).alias("region_type"), edge(0, F.array_min, width).alias("x0"), edge(1, F.array_min, height).alias("y0"), edge(2, F.array_max, width).alias("x1"), edge(3, F.array_max, height).alias("y1"), "text")
+
+
+def grounding_errors(df: DataFrame, row_id: str, content: str) -> DataFrame:
+    """row_id, error of every answer of the second engine that cannot be taken as it is: ``untagged`` (text without any region)
+    or ``box`` (a region but an image whose boxes are no list of lists of four numbers). Null and blank answers are empty pages.
+    """
+    rows = df.select(row_id, F.regexp_replace(content, END, "").alias("__t")).where(F.col("__t").rlike(r"\S"))
+    tag = r"(?s)<\|ref\|>(.*?)<\|/ref\|><\|det\|>(.*?)<\|/det\|>"
+    labels, boxes = F.regexp_extract_all("__t", F.lit(tag), F.lit(1)), F.regexp_extract_all("__t", F.lit(tag), F.lit(2))
+    fits = lambda b: F.coalesce((F.size(b) > 0) & F.forall(b, lambda x: (F.size(x) == 4) & F.forall(x, lambda v: v.isNotNull())), F.lit(False))
+    bad = F.exists(F.zip_with(labels, boxes, lambda l, b: (F.lower(F.trim(l)) != "image") & ~fits(F.from_json(b, "array<array<double>>"))), lambda x: x)
+    error = F.when(F.size(labels) == 0, "untagged").when(bad, "box")
+    return rows.select(row_id, error.alias("error")).where("error is not null")
 
 
 def object_guard(json_text: Column) -> Column:

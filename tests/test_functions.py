@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions import boxes, fuzzy, numbers, schemas, text
-from quire.operators import gates, ordering, packing, reconcile, versions, skew
+from quire.operators import evaluate, gates, ordering, packing, reconcile, skew, states, versions
 from quire.sources import external, payloads
 from quire.session import Settings
 
@@ -246,6 +247,65 @@ def test_settings(spark):
     assert Settings.from_session(spark) == Settings()
 
 
-def test_payload_errors(spark, rows):
-    df = spark.createDataFrame([("d", 1, '{"parsing_res_list": []}'), ("d", 2, '{"res": {"parsing_res_list": [{"index": 0, "block_label": "seal", "block_bbox": [1, 2, 3, 4], "block_content": "x"}]}}'), ("d", 3, "nothing")], "doc_id string, page_no int, payload string")
-    assert rows(payloads.explode_blocks(df)) == sorted([("d", 2, 0, "stamp", 4, "x", None), ("d", 3, None, None, None, None, "unrecognised")], key=repr)
+def test_payload_shapes(spark, rows):
+    block = '{"index": 0, "block_label": "seal", "block_bbox": [1, 2, 3, 4], "block_content": "x"}'
+    page = f'{{"parsing_res_list": [{block}]}}'
+    table_block = '{"block_label": "table", "block_bbox": null, "table": {"rows": [[1]]}}'
+    cases = {
+        1: ('{"parsing_res_list": []}', []), 2: (f'{{"res": {page}}}', [(0, "stamp", 4, "x", None)]), 3: ("nothing", None),
+        4: (json.dumps(page), [(0, "stamp", 4, "x", None)]), 5: (f"[{page}, {{\"res\": {page}}}]", [(0, "stamp", 4, "x", None), (1, "stamp", 4, "x", None)]),
+        6: ('[{"bbox": [1, 2, 3, 4], "type": "formula", "text": "f"}, {"text": "t"}]', [(0, "formula", 4, "f", None), (1, "text", None, "t", None)]), 7: ("[]", []),
+        8: ('{"parsing_res_list": [{"block_label": "title", "block_bbox": [1, 2], "block_content": null}, {"x": 1}]}', [(0, "text", 2, "", "box"), (1, "text", None, "", "block")]),
+        9: (f'{{"parsing_res_list": [{table_block}]}}', [(0, "table", None, '{"rows":[[1]]}', None)]), 10: (f"[{page}, 3]", None), 11: ("3", None), 12: (None, None),
+        13: ('{"parsing_res_list": [{"block_label": "Table_Title", "block_content": "T"}]}', [(0, "table", None, "T", None)]),
+    }
+    df = spark.createDataFrame([("d", p, v) for p, (v, _) in cases.items()], "doc_id string, page_no int, payload string")
+    got = {}
+    for r in payloads.explode_blocks(df).orderBy("page_no", "pos").collect():
+        got.setdefault(r["page_no"], []).append(tuple(r)[2:])
+    want = {p: [(None, None, None, None, "unrecognised")] if x is None else x for p, (_, x) in cases.items() if x != []}
+    assert got == want
+
+
+def test_grounding_errors(spark, rows):
+    good = "<|ref|>title<|/ref|><|det|>[[0, 0, 999, 999]]<|/det|>Head"
+    texts = [good + "<|end\u2581of\u2581sentence|>", "plain text", "  ", None, good.replace("[[0, 0, 999, 999]]", "[[1, 2]]"), good.replace("[[0, 0, 999, 999]]", "x"), "<|ref|>image<|/ref|><|det|>x<|/det|>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert rows(payloads.grounding_errors(df, "i", "t")) == [(1, "untagged"), (4, "box"), (5, "box")]
+    assert [r["text"] for r in payloads.grounding_regions(df.where("i = 0"), "i", "t").collect()] == ["Head"]
+
+
+def test_states(spark, rows):
+    now = spark.createDataFrame([("a", "extracted"), ("b", "done"), ("c", "needs_review")], "doc_id string, status string")
+    asked = spark.createDataFrame([("a", "extracted", "validated"), ("a", "validated", "done"), ("b", "done", "failed"), ("c", "needs_review", "extracted"), ("x", "ingested", "failed"), ("b", None, "done")], "doc_id string, src string, dst string")
+    assert rows(states.illegal_transitions(asked, now, ["doc_id"]).select("doc_id", "src", "reason")) == sorted([("a", "validated", "stale"), ("c", "needs_review", "not allowed"), ("x", "ingested", "stale"), ("b", None, "not allowed")], key=repr)
+    decide = now.union(spark.createDataFrame([("d", "ocr_a"), ("e", None), ("f", "enumerated")], now.schema))
+    assert rows(decide.select("doc_id", states.skip_decision(F.col("status"), "enumerated", "extracted"))) == [("a", "skip"), ("b", "skip"), ("c", "skip"), ("d", "error"), ("e", "error"), ("f", "run")]
+    answers = [("d", "t[0]", 2, None, [("x", 9), ("y", 1)]), ("d", "t[1]", None, None, [("x", None)]), ("e", "t[0]", None, "timeout", None), ("e", "t[1]", None, None, [("x", None), ("y", 1)])]
+    df = spark.createDataFrame(answers, "doc_id string, task string, task_page int, error string, fields array<struct<field: string, page: int>>")
+    pages = spark.createDataFrame([("d", 1), ("d", 2), ("e", 1)], "doc_id string, page_no int")
+    want = [("d", "t[0]", "ok", None, "x", 2), ("d", "t[0]", "ok", None, "y", 1), ("d", "t[1]", "failed", "left out: y", None, None), ("e", "t[0]", "failed", "timeout", None, None), ("e", "t[1]", "ok", None, "x", 1), ("e", "t[1]", "ok", None, "y", 1)]
+    assert rows(states.routed(df, ["x", "y"], pages)) == sorted(want, key=repr)
+
+
+def test_taxonomy(spark, rows):
+    """One of two properties, amounts of 0, damage types; at any depth."""
+    bad = [
+        {"kind": "save_bonus", "condition": "always"}, {"kind": "save_bonus", "amount": 2, "fromAbilityModifier": "con"}, {"kind": "save_bonus", "amount": 2}, {"kind": "speed_bonus", "amount": -5}, {"kind": "speed_bonus", "amount": 0},
+        {"kind": "ac_bonus", "amount": 0, "skills": []}, {"kind": "resistance", "damageTypes": ["associated with your ancestry"]}, {"kind": "resistance", "damageTypes": ["Poison", "fire"]}, {"definitions": [{"effects": [{"kind": "choice", "options": [{"damageType": "rust"}]}]}]}, {"kind": "x"}, 3,
+    ]
+    df = spark.createDataFrame([(i, json.dumps(v)) for i, v in enumerate(bad)] + [(90, None), (91, "{")], "i long, v string")
+    got = {(r["row_id"], r["path"]): r["errors"] for r in gates.taxonomy_errors(df, "i", "v").collect()}
+    assert got == {(0, "$"): "one_of", (1, "$"): "one_of", (2, "$"): "", (3, "$"): "", (4, "$"): "no_effect", (5, "$"): "", (6, "$"): "damage_type", (7, "$"): "", (8, "$.definitions[0].effects[0]"): "", (8, "$.definitions[0].effects[0].options[0]"): "damage_type", (9, "$"): ""}
+
+
+def test_values_and_derived_speeds(spark):
+    cases = [('[{"kind":"speed_bonus","amount":5}]', "35 feet", True), ('[{"amount":5,"kind":"speed_bonus"}]', "5 feet", True), ('[{"kind":"ac_bonus","amount":5}]', "35 feet", False), ('{"kind":"resistance","amount":2}', "32 miles", False), ('{"a":{"kind":"speed_bonus","byLevel":{"amount":5}}}', "35", False), ("true", "it is true", True), ("false", "it is true", False), ("[]", "x", True), ("[1, true]", "only 1", True), ("[1", "1", False)]
+    df = spark.createDataFrame([(i, v, q) for i, (v, q, _) in enumerate(cases)], "i int, v string, q string")
+    assert [r["ok"] for r in df.select("i", gates.value_in_quote(F.col("v"), F.col("q")).alias("ok")).orderBy("i").collect()] == [ok for _, _, ok in cases]
+
+
+def test_compared_forms(spark):
+    cases = [("Hill Dwarf", "HillDwarf", False), (" Hill Dwarf\n", "hill dwarf", True), ('[{"kind":"a","condition":"always","n":1}]', '[ {"n": 1, "kind": "a"} ]', True), ('{"kind":"a","condition":"dark"}', '{"kind":"a"}', False), (None, "", True), ("[broken", "[BROKEN ", True)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
+    assert [r["x"] for r in df.select("i", (evaluate.plain(F.col("a")) == evaluate.plain(F.col("b"))).alias("x")).orderBy("i").collect()] == [x for _, _, x in cases]
