@@ -52,11 +52,13 @@ def _forms() -> dict[str, object]:
         "wide": re.compile(f"[{FULL_WIDTH}]"),
         "token": re.compile(r"[^\W\d_]+"),
         "other": re.compile(f"[{OTHER_LETTERS}]"),
+        "alike": re.compile(rf"(?<![^\W\d_])[{GREEK}{CYRILLIC}{ARMENIAN}{CHEROKEE}]+(?![^\W\d_])"),
     }
 
 
 FORMS = _forms()
 EVERY = frozenset({"Latn", "Grek", "Cyrl", "Armn", "Cher", "other"})
+LATIN = frozenset({"Latn"})
 NAMES = {"LATIN": "Latn", "FULLWIDTH": "Latn", "GREEK": "Grek", "CYRILLIC": "Cyrl", "ARMENIAN": "Armn", "CHEROKEE": "Cher"}
 
 
@@ -102,7 +104,7 @@ def whole_script(words: list[str], memo: dict[str, frozenset[str]]) -> list[int]
     script: list[str | None] = []
     alike = []
     for w in words:
-        common = frozenset.intersection(EVERY, *(scripts_of(c, memo) for c in w))
+        common = LATIN if w.isascii() else frozenset.intersection(EVERY, *(scripts_of(c, memo) for c in w))
         script.append(next(iter(common)) if len(common) == 1 else None)
         alike.append(script[-1] in FROM_LATIN and all(c in TO_LATIN for c in w))
     sure = {s for s, x in zip(script, alike, strict=True) if not x}
@@ -143,7 +145,7 @@ def unify(text: str, forms: dict, memo: dict[str, frozenset[str]]) -> tuple[str,
             return word
 
         text = forms["token"].sub(one, text)
-        if forms["other"].search(text):
+        if forms["alike"].search(text):
             places = list(forms["token"].finditer(text))
             for i in reversed(whole_script([m[0] for m in places], memo)):
                 m = places[i]

@@ -247,10 +247,9 @@ def _like_titles(known: DataFrame) -> DataFrame:
     lines = known.where("key is not null and key <> ''").select("doc_id", "edge", "key", "page_no").distinct()
     often = lines.groupBy("doc_id", "edge", "key").agg(F.count("*").alias("times"))
     lines = shared_table(salted_lookup(lines, often.withColumn("c", F.col("times")), ["doc_id", "edge", "key"], "c", F.col("page_no")), "title-lines")
-    near = lines.withColumn("at", F.explode(F.sequence(F.col("page_no") - NEAR, F.col("page_no") + NEAR)))
-    other = lines.select("doc_id", "edge", F.col("page_no").alias("at"), F.col("key").alias("title"), F.col("times").alias("more"))
+    titles = lines.where("times > 1").select("doc_id", "edge", F.explode(F.sequence(F.col("page_no") - NEAR, F.col("page_no") + NEAR)).alias("page_no"), F.col("key").alias("title"), F.col("times").alias("more")).distinct()
     allowed = F.floor(F.length("key") / EDITS).cast("int")
-    alike = near.join(other, ["doc_id", "edge", "at"]).where((F.col("key") != F.col("title")) & (F.col("more") > F.col("times")) & (F.abs(F.length("key") - F.length("title")) <= allowed))
+    alike = lines.join(titles, ["doc_id", "edge", "page_no"]).where((F.col("key") != F.col("title")) & (F.col("more") > F.col("times")) & (F.abs(F.length("key") - F.length("title")) <= allowed))
     alike = alike.where((F.levenshtein("key", "title") <= allowed) & (F.regexp_replace("key", r"[^\d]", "") == F.regexp_replace("title", r"[^\d]", "")))
     best = alike.groupBy("doc_id", "edge", "key").agg(F.max_by("title", F.struct("more", "title")).alias("title"), F.count("*").alias("c"))
     return best.select("doc_id", "edge", "key", "title")
