@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from hashlib import md5
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,9 @@ def canonical_json(v: object) -> object:
 
 
 def canonical(kind: str, raw: str) -> str:
-    """The canonical form of a raw value: kind t is text, j JSON; JSON that cannot be read counts as text."""
+    """The canonical form of a raw value: kind t is text, j JSON, z null; JSON that cannot be read counts as text."""
+    if kind == "z":
+        return "z"
     if kind == "j":
         try:
             return "j" + json.dumps(canonical_json(json.loads(raw)), sort_keys=True, ensure_ascii=False)
@@ -54,19 +57,43 @@ def _canonical(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["dig", "n"]].assign(canon=[md5(x.encode("utf-8", "surrogatepass")).digest() for x in forms])
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of JSON records as cells; a record that is no JSON object is one cell of text."""
+    for batch in batches:
+        ids, fields, kinds, raws = [], [], [], []
+        for rid, record in zip(batch.column("id").to_pylist(), batch.column("record").to_pylist(), strict=True):
+            try:
+                found = json.loads(record)
+            except (ValueError, RecursionError):
+                found = None
+            if isinstance(found, dict):
+                cells = [("." + json.dumps(k)[1:-1], "j", json.dumps(v)) for k, v in found.items() if v is not None]
+            else:
+                cells = [(".", "t", record)]
+            ids += [rid] * len(cells)
+            for f, k, r in cells:
+                fields.append(f)
+                kinds.append(k)
+                raws.append(r)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fields, pa.string()), pa.array(kinds, pa.string()), pa.array(raws, pa.string())], names=["id", "field", "kind", "raw"])
+
+
 def record_cells(df: DataFrame, tbl: str, row_id: str, texts: dict[str, Column], exact: dict[str, Column] | None = None, record: Column | None = None) -> DataFrame:
-    """tbl, id, cells (array of field, kind, raw) of every row with an id; see ``collapse_copies``."""
-    cell = lambda name, kind, c: F.struct(F.lit(name).alias("field"), F.lit(kind).alias("kind"), c.cast("string").alias("raw"))
-    cells = F.array(*[cell(n, "t", c) for n, c in texts.items()], *[cell(n, "j", c) for n, c in (exact or {}).items()])
-    if record is not None:
-        members = F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>")
-        inner = F.transform(F.map_entries(members), lambda e: F.struct(F.concat(F.lit("."), e["key"]).alias("field"), F.lit("j").alias("kind"), F.when(~F.is_variant_null(e["value"]), F.to_json(e["value"])).alias("raw")))
-        cells = F.concat(cells, F.when(members.isNotNull(), inner).otherwise(F.array(cell(".", "t", record))))
+    """tbl, id, field, kind, raw: the cells of every row with an id; see ``collapse_copies``. A null field has no cell but the
+    first of texts, whose cell then has the kind z, so that every row has one."""
+    cell = lambda name, kind, c: F.struct(F.lit(name).alias("field"), kind.alias("kind"), c.cast("string").alias("raw"))
     rows = df.where(F.col(row_id).isNotNull())
-    return rows.select(F.lit(tbl).alias("tbl"), F.col(row_id).cast("long").alias("id"), F.filter(cells, lambda x: x["raw"].isNotNull()).alias("cells"))
+    (name, first), *others = texts.items()
+    always = cell(name, F.when(first.isNull(), "z").otherwise("t"), F.coalesce(first.cast("string"), F.lit("")))
+    some = F.array(always, *[cell(n, F.lit("t"), c) for n, c in others], *[cell(n, F.lit("j"), c) for n, c in (exact or {}).items()])
+    own = F.col(row_id).cast("long").alias("id")
+    flat = rows.select(own, F.explode(F.filter(some, lambda x: x["raw"].isNotNull())).alias("c")).select("id", "c.*")
+    if record is not None:
+        flat = flat.unionByName(rows.select(own, record.alias("record")).where("record is not null").mapInArrow(_members, "id long, field string, kind string, raw string"))
+    return flat.select(F.lit(tbl).alias("tbl"), "id", "field", "kind", "raw")
 
 
-def collapse_copies(records: DataFrame) -> DataFrame:
+def collapse_copies(cells: DataFrame) -> DataFrame:
     """tbl, row_id, keep_id, n_copies for every row of ``record_cells`` of one or more tables: keep_id is the smallest id of the row's
     copies in its table, n_copies their number.
 
@@ -80,8 +107,7 @@ def collapse_copies(records: DataFrame) -> DataFrame:
     each distinct value and task. Hot values and hot groups of copies (e.g. one doc_id with a third of all rows) are counted
     before the join and split over tasks. Field names, a handful unless records invent their own, get ids the same way.
     """
-    flat = records.select("tbl", "id", F.explode("cells").alias("c")).select("tbl", "id", "c.*")
-    flat = shared_table(flat.withColumn("dig", F.unhex(F.md5(F.concat("kind", "raw").cast("binary")))), "cells")
+    flat = shared_table(cells.withColumn("dig", F.unhex(F.md5(F.concat("kind", "raw").cast("binary")))), "cells")
     # the dictionary: a distinct value is canonicalised once; equal canonical forms share an id
     values = flat.groupBy("dig").agg(F.first("kind").alias("kind"), F.first("raw").alias("raw"), F.count("*").alias("n"))
     canon = shared_table(values.mapInPandas(_canonical, "dig binary, n long, canon binary"), "values")
@@ -94,9 +120,7 @@ def collapse_copies(records: DataFrame) -> DataFrame:
     # the record: its sorted tuple of (field, value) integers, as one array of numbers
     tuples = pairs.groupBy("tbl", "id").agg(F.array_sort(F.collect_set(F.struct("field_id", "value_id"))).alias("t"))
     numbers = F.flatten(F.transform("t", lambda x: F.array(x["field_id"], x["value_id"])))
-    bare = records.where(F.size("cells") == 0).select("tbl", "id").distinct().join(tuples.select("tbl", "id"), ["tbl", "id"], "left_anti")
-    tuples = tuples.select("tbl", "id", numbers.alias("key")).unionByName(bare.withColumn("key", F.array().cast("array<long>")))
-    tuples = shared_table(tuples, "tuples")
+    tuples = shared_table(tuples.select("tbl", "id", numbers.alias("key")), "tuples")
     groups = shared_table(tuples.groupBy("tbl", "key").agg(F.min("id").alias("keep_id"), F.count("*").alias("n_copies")), "groups")
     out = salted_lookup(tuples, groups.withColumn("n", F.col("n_copies")), ["tbl", "key"], "n", F.col("id"))
     return out.select("tbl", F.col("id").alias("row_id"), "keep_id", "n_copies")
@@ -132,3 +156,14 @@ with k as (
 g as (select min(item_id) keep_id, list(item_id) ids from k group by a, b, c, d, page, section_page, region_ids)
 select 'list_items' as tbl, keep_id, len(ids)::bigint as n_copies from g
 """
+
+_COPIES_SQL = """
+i as (select 'list_items' as tbl, item_id as id, concat_ws(chr(1), coalesce(lower(regexp_replace(doc_id, '[^\\pL0-9]', '', 'g')), chr(2)), coalesce(lower(regexp_replace(schema_name, '[^\\pL0-9]', '', 'g')), chr(2)),
+    coalesce(lower(regexp_replace(anchor, '[^\\pL0-9]', '', 'g')), chr(2)), coalesce(lower(regexp_replace(section, '[^\\pL0-9]', '', 'g')), chr(2)), coalesce(page::varchar, chr(2)), coalesce(section_page::varchar, chr(2)), coalesce(region_ids::varchar, chr(2))) as k from list_items),
+l as (select t.trait_id, j.fullkey || ' ' || case when j.type in ('UBIGINT', 'BIGINT', 'HUGEINT', 'DOUBLE') then 'n' || j.atom::varchar::double when j.type = 'VARCHAR' then 's' || lower(regexp_replace(j.value->>'$', '[^\\pL0-9]', '', 'g')) else j.type || coalesce(j.atom::varchar, '') end as leaf
+  from race_traits t, lateral json_tree(t.record_json::json) j where json_valid(t.record_json) and j.type <> 'NULL'),
+r as (select trait_id, string_agg(leaf, chr(1) order by leaf) as leaves from l group by trait_id),
+t as (select 'race_traits' as tbl, t.trait_id as id, coalesce(lower(regexp_replace(t.doc_id, '[^\\pL0-9]', '', 'g')), chr(2)) || chr(1) || coalesce(r.leaves, chr(2)) as k from race_traits t left join r on r.trait_id = t.trait_id),
+c as (select *, min(id) over (partition by tbl, k) as keep_id, count(*) over (partition by tbl, k) as n_copies from (select * from i union all select * from t))"""
+FOUND_SQL = f"with {_COPIES_SQL} select tbl, keep_id, id as dup_id from c where id <> keep_id"
+COUNTS_SQL = f"with {_COPIES_SQL} select tbl, keep_id, n_copies from c where id = keep_id"

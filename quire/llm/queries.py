@@ -72,4 +72,13 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_inventory": format_copies.INVENTORY_SQL, "p3_found": lookalikes.P3_SQL, "p4_found": split.P4_SQL}
+    return {
+        "p1_found": format_copies.FOUND_SQL,
+        "p1_counts": format_copies.COUNTS_SQL,
+        "p1_inventory": format_copies.INVENTORY_SQL,
+        "p3_found": lookalikes.P3_SQL,
+        "p4_found": split.P4_SQL,
+        "p10_found": spans.FOUND_SQL,
+        "p10_portions": spans.PORTIONS_SQL,
+        "p10_removed": spans.REMOVED_SQL,
+    }

@@ -200,3 +200,16 @@ def spans_removed(df: DataFrame, doc_id: str, text: str, least: int = 100, k: in
     left = F.aggregate("spans", begin, cut, lambda acc: F.concat(F.array_join(acc["parts"], ""), piece(acc["at"], F.length("__text") - acc["at"])))
     out = rows.select(F.col("__id").alias(doc_id), F.col("__text"), F.when(F.col("spans").isNull(), F.col("__text")).otherwise(left).alias("text_left"))
     return out.select(doc_id, "text_left", (F.length("__text") - F.length("text_left")).alias("removed_chars"))
+
+
+# every window of every text: quadratic in memory, for small tables only
+_SPANS_SQL = """w as (select doc_id, unnest(range(1, length(text) - 98)) as i, text from documents where length(text) >= 100 and doc_id is not null),
+x as (select doc_id, i - 1 as a, md5(substr(text, i, 100)) as s from w), g as (select s from x group by s having min(doc_id) <> max(doc_id)),
+h as (select distinct doc_id, a from x where s in (select s from g)), n as (select *, coalesce((a > lag(a) over (partition by doc_id order by a) + 100)::int, 1) as fresh from h),
+o as (select *, sum(fresh) over (partition by doc_id order by a) as island from n), sp as (select doc_id, min(a) as span_start, max(a) + 100 as span_end from o group by doc_id, island)"""
+FOUND_SQL = f"with {_SPANS_SQL} select * from sp"
+PORTIONS_SQL = f"""with {_SPANS_SQL}, z as (select doc_id, max(coalesce(length(text), 0)) as n_chars from documents where doc_id is not null group by doc_id), t as (select doc_id, sum(span_end - span_start)::bigint as shared_chars from sp group by doc_id)
+select z.doc_id, n_chars, coalesce(shared_chars, 0) as shared_chars, case when n_chars > 0 then coalesce(shared_chars, 0) / n_chars else 0 end::double as share from z left join t on z.doc_id = t.doc_id"""
+REMOVED_SQL = f"""with {_SPANS_SQL}, k as (select *, lag(span_end, 1, 0) over (partition by doc_id order by span_start) as begins, max(span_end) over (partition by doc_id) as final from sp),
+r as (select k.doc_id, string_agg(substr(d.text, begins + 1, span_start - begins), '' order by span_start) || substr(any_value(d.text), any_value(final) + 1) as t from k join documents d on d.doc_id = k.doc_id group by k.doc_id)
+select d.doc_id, coalesce(r.t, d.text) as text_left, length(d.text) - length(coalesce(r.t, d.text)) as removed_chars from documents d left join r on r.doc_id = d.doc_id"""

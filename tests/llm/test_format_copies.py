@@ -45,8 +45,8 @@ def test_records(spark, rows):
         {"id": "a_b", "n": 1, "e": [{"kind": "x", "t": ["fire"]}], "note": None}, {"e": [{"t": ["Fire!"], "kind": "X"}], "n": 1.0, "id": "A b"},
         {"id": "a_b", "n": 1, "e": [{"kind": "x", "t": ["fire", "cold"]}]}, {"id": "a_b", "n": 1, "e": [{"kind": "x", "t": ["fire"], "u": None}]}, {"id": "a_b", "n": "1", "e": [{"kind": "x", "t": ["fire"]}]},
     ]
-    texts = [json.dumps(r[0]), json.dumps(r[1], indent=2), json.dumps(r[2]), json.dumps(r[3]), json.dumps(r[4]), None, None, "{broken", "{ BROKEN", "[1, 2]", "", "{}"]
+    texts = [json.dumps(r[0]), json.dumps(r[1], indent=2), json.dumps(r[2]), json.dumps(r[3]), json.dumps(r[4]), None, None, "{broken", "{ BROKEN", "[1, 2]", "", "{}", json.dumps({"a": chr(0xD800) + "x"}), json.dumps({"a": "X"})]
     df = spark.createDataFrame([(i, "d", t, "q") for i, t in enumerate(texts)], "trait_id long, doc_id string, record_json string, tbl string")
     got = rows(copy_pairs(collapse_copies(trait_cells(df.drop("tbl")))).select("keep_id", "dup_id"))
     # the empty text is a value without letters; null and {} have no fields
-    assert got == sorted([(0, 1), (0, 3), (5, 6), (5, 11), (7, 8)], key=repr)
+    assert got == sorted([(0, 1), (0, 3), (5, 6), (5, 11), (7, 8), (12, 13)], key=repr)
