@@ -56,7 +56,10 @@ def compared(pred: DataFrame, gold: DataFrame) -> DataFrame:
 def metrics(rows: DataFrame, by: list[str]) -> DataFrame:
     """n, tp, fp, fn, precision, recall, exact for each group; an empty precision or recall is 1, an empty exact 0."""
     s = lambda c: F.count_if(F.col(c))
-    out = rows.groupBy(*by).agg(s("expected").alias("n"), s("hit").alias("tp"), s("wrong").alias("fp"), s("missed").alias("fn"))
+    return _shares(rows.groupBy(*by).agg(s("expected").alias("n"), s("hit").alias("tp"), s("wrong").alias("fp"), s("missed").alias("fn")))
+
+
+def _shares(out: DataFrame) -> DataFrame:
     share = lambda a, b, empty: F.when(b > 0, F.round(a / b, 6)).otherwise(empty)
     tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n"))
     return out.withColumns({"precision": share(tp, tp + fp, 1.0), "recall": share(tp, tp + fn, 1.0), "exact": share(tp, n, 0.0)})
@@ -74,6 +77,25 @@ def path_metrics(pred: DataFrame, gold: DataFrame) -> DataFrame:
     return metrics(rows, ["field"]).join(rows.groupBy("field").agg(F.count_if("s").alias("silent")), "field")
 
 
+def metrics_of_runs(pred: DataFrame, gold: DataFrame) -> DataFrame:
+    """``metrics`` of every run (pred: run, field, item, value) against the same gold (field, item, value): run, field, n, tp, fp, fn,
+    precision, recall, exact. An item that a run has no answer to counts as a null one.
+
+    Gold is not repeated for each run: what a run left out follows from the totals of gold and the answers it gave.
+    """
+    empty, some = plain(F.col("g")) == "", F.col("g").isNotNull()
+    g = gold.select(*KEY, F.col("value").alias("g"), F.lit(True).alias("has_g"))
+    count = lambda c, name: F.count_if(c).alias(name)
+    totals = g.groupBy("field").agg(F.count("*").alias("n"), count(empty, "e"), count(some, "s"), count(empty & some, "es"))
+    both = pred.select("run", *KEY, F.col("value").alias("p")).join(g, KEY, "left")
+    given = F.col("has_g").isNotNull()
+    same = given & (plain(F.col("p")) == plain(F.col("g")))
+    of = both.groupBy("run", "field").agg(count(same, "h"), count(same & some, "hs"), count(given & empty, "ae"), count(given & empty & some, "aes"), count(~same & F.col("p").isNotNull(), "fp"))
+    rows = of.join(F.broadcast(totals), "field", "left").na.fill(0)  # one row for each field
+    tp, fn = F.col("h") + F.col("e") - F.col("ae"), F.col("s") - F.col("hs") - F.col("es") + F.col("aes")
+    return _shares(rows.select("run", "field", "n", tp.alias("tp"), "fp", fn.alias("fn")))
+
+
 def run_delta(a: DataFrame, b: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
     """The groups in which two runs differ, with the differences b - a; a missing side counts as 0."""
     left, right = a.select(*by, *[F.col(c).alias(f"a_{c}") for c in columns]), b.select(*by, *[F.col(c).alias(f"b_{c}") for c in columns])
@@ -83,10 +105,11 @@ def run_delta(a: DataFrame, b: DataFrame, by: list[str], columns: list[str]) ->
     return out.where(" or ".join(f"d_{c} <> 0" for c in columns))
 
 
-def annotation_diff(a: DataFrame, b: DataFrame, placeholder: str, absent: str = "<absent>") -> DataFrame:
-    """field, item, a, b where two annotations differ; a placeholder on either side is left out."""
-    left, right = a.select(*KEY, F.col("value").alias("a"), F.lit(True).alias("ha")), b.select(*KEY, F.col("value").alias("b"), F.lit(True).alias("hb"))
-    both = left.join(right, KEY, "full_outer")
+def annotation_diff(a: DataFrame, b: DataFrame, placeholder: str, absent: str = "<absent>", key: list[str] | None = None) -> DataFrame:
+    """key (field and item unless given), a, b where two annotations differ; a placeholder on either side is left out."""
+    key = key or KEY
+    left, right = a.select(*key, F.col("value").alias("a"), F.lit(True).alias("ha")), b.select(*key, F.col("value").alias("b"), F.lit(True).alias("hb"))
+    both = left.join(right, key, "full_outer")
     shown = lambda v, h: F.when(F.col(h).isNull(), absent).otherwise(F.coalesce(v, F.lit("")))
-    both = both.select(*KEY, shown(F.col("a"), "ha").alias("a"), shown(F.col("b"), "hb").alias("b"))
+    both = both.select(*key, shown(F.col("a"), "ha").alias("a"), shown(F.col("b"), "hb").alias("b"))
     return both.where((F.col("a") != placeholder) & (F.col("b") != placeholder) & (plain(F.col("a")) != plain(F.col("b"))))

@@ -42,22 +42,23 @@ def by_page(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id", "page_no")
 
 
-def grounded(rows: DataFrame, threshold: float = 90.0) -> DataFrame:
-    """rows (id, quote, page) with ``ok``: the quote is (nearly) verbatim on the page.
+def grounded(rows: DataFrame, pages: DataFrame, on: list[str], threshold: float = 90.0) -> DataFrame:
+    """rows (on, quote) with ``ok``: the quote is (nearly) verbatim on its page. pages: on (one row each), page (text).
 
-    Native tests first: both texts present, the quote not longer than the page, all its identifiers and signed numbers on the
-    page. Only quotes that pass and are not contained word by word go to the fuzzy score.
+    A page is normalised and its numbers are read once; its raw text is not shuffled. Native tests come first: both texts
+    present, the quote not longer than the page, all its identifiers and signed numbers on the page. Only quotes that pass and
+    are not contained word by word go to the fuzzy score. A null or blank quote, or one without a page, is not grounded.
     """
-    q, p = text.normalize(F.col("quote")), text.normalize(F.col("page"))
-    rows = rows.withColumns({"__q": q, "__p": p})
+    facts = pages.select(*on, text.normalize(F.col("page")).alias("__p"), numbers.signed_numbers(F.col("page")).alias("__n"))
+    rows = rows.withColumn("__q", text.normalize(F.col("quote"))).join(facts, on, "left")
     ids = F.forall(numbers.identifier_tokens(F.col("quote")), lambda t: F.contains(F.col("__p"), F.trim(F.regexp_replace(F.regexp_replace(F.lower(t), "[^a-z0-9_]", " "), " +", " "))))
-    nums = F.size(F.array_except(numbers.signed_numbers(F.col("quote")), numbers.signed_numbers(F.col("page")))) == 0
+    nums = F.size(F.array_except(numbers.signed_numbers(F.col("quote")), F.col("__n"))) == 0
     cheap = (F.col("__q") != "") & (F.length("__q") <= F.length("__p")) & ids & nums
     rows = rows.withColumn("__cheap", F.coalesce(cheap, F.lit(False)))
     inside = F.contains("__p", "__q")
     ask = F.col("__cheap") & ~inside
     score = fuzzy.partial_similarity(F.when(ask, F.col("__q")), F.when(ask, F.col("__p")), threshold)
-    return rows.withColumn("ok", F.when(~F.col("__cheap"), False).when(inside, True).otherwise(F.coalesce(score >= threshold, F.lit(False)))).drop("__q", "__p", "__cheap")
+    return rows.withColumn("ok", F.when(~F.col("__cheap"), False).when(inside, True).otherwise(F.coalesce(score >= threshold, F.lit(False)))).drop("__q", "__p", "__n", "__cheap")
 
 
 def anchored(items: DataFrame, pages: DataFrame, threshold: float = 90.0) -> DataFrame:

@@ -466,7 +466,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _grounded(s: SparkSession, d: str) -> DataFrame:
     pages = table(s, d, "pages").select(*PAGE, F.coalesce("canonical_text", "full_text", F.lit("")).alias("page"))
     rows = table(s, d, "extractions").select("ext_id", *PAGE, "quote", "value_json")
-    return gates.grounded(gates.by_page(rows).join(pages, PAGE, "left"))
+    return gates.grounded(gates.by_page(rows), pages, PAGE)
 
 
 @query("grounding_gate")
@@ -630,21 +630,30 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rows.agg(n("expected").alias("evaluated"), n("hit").alias("exact"), n("expected and not hit").alias("wrong"), n("not expected and wrong").alias("invented"))
 
 
-def _run_sql(run: int) -> str:
-    return f"(with p as (select field, item, value from a where run = {run}), c as ({_CMP}), m as (select field, {_MET} from c group by field) select *, {_SHARES} from m)"
-
-
-@query("compare_runs", f"""with {_EVAL}, x as {_run_sql(1)}, y as {_run_sql(2)}, z as (select coalesce(x.field, y.field) field, round(coalesce(y.precision, 0) - coalesce(x.precision, 0), 6) d_precision, round(coalesce(y.recall, 0) - coalesce(x.recall, 0), 6) d_recall, round(coalesce(y.exact, 0) - coalesce(x.exact, 0), 6) d_exact from x full join y on x.field = y.field)
+@query("compare_runs", f"""with {_EVAL}, ru as (select run, lag(run) over (order by run) as before from (select distinct run from a)),
+gr as (select ru.run, gg.* from gg cross join ru), c as (select coalesce(p.run, gr.run) run, coalesce(p.field, gr.field) field, gr.item is not null expected, gr.item is not null and {_P.format('p.value')} = {_P.format('gr.value')} hit, p.value pv, gr.value gv from a p full join gr on p.run = gr.run and p.field = gr.field and p.item = gr.item),
+m as (select run, field, {_MET} from c group by run, field), x as (select *, {_SHARES} from m),
+z as (select y.run, y.field, round(y.precision - x.precision, 6) d_precision, round(y.recall - x.recall, 6) d_recall, round(y.exact - x.exact, 6) d_exact from x y join ru on ru.run = y.run join x on x.run = ru.before and x.field = y.field)
 select * from z where d_precision <> 0 or d_recall <> 0 or d_exact <> 0""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    """Annotators 1 and 2 as two runs."""
-    answers, gold = _answers(s, d), _gold(s, d)
-    run = lambda k: evaluate.metrics(evaluate.compared(answers.where(F.col("run") == k), gold), ["field"])
-    return evaluate.run_delta(run(1), run(2), ["field"], ["precision", "recall", "exact"])
+    """Every annotator as a run, each held against the one before (by id)."""
+    from quire.storage import shared_table
 
+    found = shared_table(evaluate.metrics_of_runs(_answers(s, d), _gold(s, d)), "runs")
+    ranked = rank_within(shared_table(found.select("run").distinct().withColumn("g", F.lit(0)), "run-ids"), ["g"], ["run"], "pos").drop("g")
+    earlier = found.join(ranked, "run").withColumn("pos", F.col("pos") + 1).drop("run").join(ranked, "pos").drop("pos")
+    later = found.join(earlier.select("run", "field"), ["run", "field"], "left_semi")
+    return evaluate.run_delta(earlier, later, ["run", "field"], ["precision", "recall", "exact"])
 
-@query("annotation_diff", f"""with {_EVAL}, x as (select * from a where run = 1), y as (select * from a where run = 2), j as (select coalesce(x.field, y.field) field, coalesce(x.item, y.item) item, case when x.item is null then '<absent>' else coalesce(x.value, '') end a, case when y.item is null then '<absent>' else coalesce(y.value, '') end b from x full join y on x.field = y.field and x.item = y.item)
+
+@query("annotation_diff", f"""with {_EVAL}, o as (select *, lag(value) over w as b, lag(run) over w as prior from a window w as (partition by field, item order by run)),
+j as (select field, item, run, coalesce(b, '') as a, coalesce(value, '') as b from o where prior is not null)
 select * from j where a <> 'DA COMPILARE' and b <> 'DA COMPILARE' and {_P.format('a')} <> {_P.format('b')}""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    answers = _answers(s, d)
-    return evaluate.annotation_diff(answers.where("run = 1"), answers.where("run = 2"), "DA COMPILARE")
+    """Every annotation of an item against that of the annotator before (by id)."""
+    from quire.storage import shared_table
+
+    ranked = rank_within(shared_table(_answers(s, d), "answers"), ["field", "item"], ["run"], "pos")
+    own = ranked.where("pos > 0").select("field", "item", "pos", "run")
+    earlier = ranked.select("field", "item", (F.col("pos") + 1).alias("pos"), "value").join(own, ["field", "item", "pos"])
+    return evaluate.annotation_diff(earlier, ranked.where("pos > 0"), "DA COMPILARE", key=["field", "item", "run"])

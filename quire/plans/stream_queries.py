@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.sources.tables import table
-from quire.storage import shared_dir, shared_table
+from quire.storage import shared_dir
 from quire.streaming import ingest
 
 Q, SQL = {}, {}
@@ -19,18 +19,17 @@ def _stream(s: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _event_windows(s: SparkSession, d: str) -> DataFrame:
-    """Hourly counts of the event stream, written by complete batches."""
+    """Hourly counts of the event stream. Each batch writes the windows it changed; state older than the watermark is dropped."""
     base = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
     counts = ingest.windowed_counts(_stream(s, d, "events"), "ts", "event_type", "value")
-    name = "q" + uuid.uuid4().hex
-    rows = []
 
-    def keep(batch: DataFrame, _: int) -> None:
-        rows[:] = [shared_table(batch, "windows")]
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/updates/batch={number}")
 
-    run = counts.writeStream.outputMode("complete").queryName(name).option("checkpointLocation", base).trigger(availableNow=True).foreachBatch(keep).start()
+    run = counts.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start()
     run.awaitTermination()
-    return rows[0].withColumns({"total": F.round("total", 4), "start": F.col("start").cast("timestamp_ntz")})
+    last = ingest.latest_updates(s.read.parquet(f"{base}/updates"), ["start", "event_type"])
+    return last.withColumns({"total": F.round("total", 4), "start": F.col("start").cast("timestamp_ntz")})
 
 
 Q["stream_event_windows"] = _event_windows

@@ -1,7 +1,8 @@
 """Intermediate tables in the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
 A written table cuts lineage, survives the loss of executors (its files are on shared storage) and, unlike a checkpoint of
-rows, is columnar and compressed. Tables live until the session ends; ``drop_tables`` removes them earlier.
+rows, is columnar and compressed. A result reads such tables when it is used, so they live until the session ends; a long
+job uses its results within ``temporary_tables``, or calls ``drop_tables`` after each, to free the disk earlier.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,19 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_tables() -> None:
-    """Deletes the tables written so far. Results that read them must have been used before."""
-    while _made:
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Deletes, at its end, the tables written within it; results must have been used by then."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        drop_tables(before)
+
+
+def drop_tables(keep: int = 0) -> None:
+    """Deletes the tables written so far, but for the first ``keep``. Results that read them must have been used before."""
+    while len(_made) > keep:
         spark, path = _made.pop()
         try:
             jvm = spark.sparkContext._jvm

@@ -66,6 +66,14 @@ def test_fuzzy_against_brute_force(spark):
         s, t = sorted((a, b), key=len)
         best = max(200 * slow_lcs(s, w) / (len(s) + len(w)) for i in range(1 - len(s), len(t)) if (w := t[max(0, i) : i + len(s)]))
         assert fuzzy.partial_ratio(a, b) == pytest.approx(best)
+    for letters, short, long in (("abcd", 30, 60), ("abcdefghij éж😀", 150, 400), ("".join(map(chr, range(97, 300))), 80, 200)):
+        pairs = [("".join(rng.choices(letters, k=rng.randint(0, short))), "".join(rng.choices(letters, k=rng.randint(0, long)))) for _ in range(60)]
+        pairs += [(x, y[:9] + x[:-1] + "#" + y) for x, y in pairs] + [(x, x) for x, _ in pairs[:3]]
+        a, b = [x for x, _ in pairs], [y for _, y in pairs]
+        assert fuzzy.ratios(a, b).tolist() == [fuzzy.ratio(x, y) for x, y in pairs]
+        for cutoff in (0.0, 70.0, 90.0):
+            assert fuzzy.partial_ratios(a, b, cutoff).tolist() == [fuzzy.partial_ratio(x, y, cutoff) for x, y in pairs]
+    assert fuzzy.ratios([], []).tolist() == fuzzy.partial_ratios([], []).tolist() == []
     df = spark.createDataFrame([("ab", "xxabyy"), ("ab", None), ("", "a"), ("", ""), ("abcd", "abed")], "a string, b string")
     assert [r["v"] for r in df.select(fuzzy.partial_similarity(F.col("a"), F.col("b")).alias("v")).collect()] == [100.0, None, 0.0, 100.0, 75.0]
 
@@ -202,8 +210,10 @@ def test_reconcile(spark):
 def test_gates(spark):
     df = spark.createDataFrame([("42", "it is −42"), ("42", "it is 42"), ('"EUR"', "Importo in euro"), ("null", None), (None, "x"), ('[{"kind":"speed_bonus","amount":5}]', "35 feet"), ('"x"', None)], "v string, q string")
     assert [r["ok"] for r in df.select(gates.value_in_quote(F.col("v"), F.col("q")).alias("ok")).collect()] == [False, True, True, True, False, True, False]
-    rows = spark.createDataFrame([("Contratto N. 44/B", "CONTRATTO N. 45/B"), ("Contratto N. 44/B", "il CONTRATTO N. 44/B e"), ("darkvlsion you can see", "Darkvision you can see in the dark"), (None, "x"), ("x", None), ("", "x")], "quote string, page string")
-    assert [r["ok"] for r in gates.grounded(rows).collect()] == [False, True, True, False, False, False]
+    cases = [("Contratto N. 44/B", "CONTRATTO N. 45/B", False), ("Contratto N. 44/B", "il CONTRATTO N. 44/B e", True), ("darkvlsion you can see", "Darkvision you can see in the dark", True), (None, "x", False), ("x", None, False), ("", "x", False)]
+    rows = spark.createDataFrame([(i, q, "clash") for i, (q, _, _) in enumerate(cases)] + [(99, "q", "no page")], "i int, quote string, page string").drop("page")
+    pages = spark.createDataFrame([(i, p) for i, (_, p, _) in enumerate(cases)], "i int, page string")
+    assert [r["ok"] for r in gates.grounded(rows, pages, ["i"]).orderBy("i").collect()] == [*(ok for _, _, ok in cases), False]
 
 
 def test_versions(spark, tmp_path):
