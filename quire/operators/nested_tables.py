@@ -31,7 +31,7 @@ def tagged_rows(df: DataFrame, row_id: str, value: str, visitor: Visitor) -> Dat
     """One row (row_id, tag, pk, parent, payload) for each emission of the visitor over the JSON column ``value``.
 
     pk and parent are unique within a record; row_id names the record. Null values emit nothing. A value that is no valid JSON
-    or nested deeper than the parser goes (about 1,000 levels) emits one row with the tag ``error`` and the reason. Only the
+    or nested deeper than the parser goes emits one row with the tag ``error`` and the reason. Only the
     two named columns are read. The work is a map over Arrow batches, handed on in pieces: no shuffle, no batch held twice.
     """
     columns = ["row_id", "tag", "pk", "parent", "payload"]

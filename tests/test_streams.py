@@ -38,7 +38,7 @@ def test_temporary_tables(spark):
 def test_sinks(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "bad")], "i int, errors string")
     sinks.write_definitions(df, str(tmp_path / "d"))
-    assert rows(spark.read.json(str(tmp_path / "d")).select("i", "invalid")) == [(1, False), (2, False), (3, True)]
+    assert rows(spark.read.schema("i int, invalid boolean").json(str(tmp_path / "d"))) == [(1, False), (2, False), (3, True)]
     fix = spark.createDataFrame([("d", "p", "1", "x")], "doc_id string, field_path string, new_value string, more string")
     for _ in range(2):
         sinks.write_corrections(fix, str(tmp_path / "c"))
