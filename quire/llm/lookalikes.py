@@ -158,7 +158,7 @@ def unify(text: str, forms: dict, memo: dict[str, frozenset[str]]) -> tuple[str,
 @F.pandas_udf(T.StructType().add("text", T.StringType()).add("kinds", T.StringType()))
 def _unify_udf(s: pd.Series) -> pd.DataFrame:
     memo: dict[str, frozenset[str]] = {}
-    out = [unify(t, FORMS, memo) for t in s.tolist()]
+    out = [(None, None) if t is None else unify(t, FORMS, memo) for t in s.tolist()]
     return pd.DataFrame(out, columns=["text", "kinds"])
 
 
@@ -169,14 +169,12 @@ def consistent_text(df: DataFrame, text: str) -> DataFrame:
     become ordinary ones, letters with combining accents are composed, letters of another script in a Latin word become
     the Latin look-alike (mixed; foreign where the script is Armenian or Cherokee). A word wholly of look-alikes of Latin
     letters becomes Latin where the words around it say so (whole; ``whole_script``), and is ordinary elsewhere. Composed accents, quotation marks, hyphens, ſ and signs such as ½ stay. Null gives null and no
-    kinds; empty text stays empty. Rows without any such character (one regular expression in the JVM) never go to Python.
+    kinds; empty text stays empty. One scan: texts without any such character (one regular expression in the JVM) do not go to Python.
     """
-    odd = df.where(F.col(text).rlike(SUSPECT))
-    u = _unify_udf(F.col(text))
-    done = odd.withColumn("__u", u).withColumns({"text_norm": F.col("__u.text"), "kinds": F.filter(F.split("__u.kinds", ","), lambda k: k != "")}).drop("__u")
-    plain = df.where(~F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False)))
-    plain = plain.withColumns({"text_norm": F.col(text), "kinds": F.array().cast("array<string>")})
-    return done.unionByName(plain)
+    odd = F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False))
+    rows = df.withColumn("__odd", odd).withColumn("__u", _unify_udf(F.when(F.col("__odd"), F.col(text))))
+    kinds = F.when(F.col("__odd"), F.filter(F.split("__u.kinds", ","), lambda k: k != "")).otherwise(F.array().cast("array<string>"))
+    return rows.withColumns({"text_norm": F.when(F.col("__odd"), F.col("__u.text")).otherwise(F.col(text)), "kinds": kinds}).drop("__odd", "__u")
 
 
 def consistent_rows(df: DataFrame, tbl: str, row_id: str, text: str) -> DataFrame:

@@ -7,12 +7,12 @@ length and the overlap.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # fixed values: penalty of a cut by the kind of boundary before the position
 PARAGRAPH, SENTENCE_LINE, SENTENCE, LINE, CLAUSE, WORD, INSIDE = 0.0, 0.1, 0.2, 0.5, 0.6, 1.0, 4.0
@@ -82,42 +82,34 @@ def cut_positions(text: str, limit: int, overlap: int, balance: float = 1.0) ->
     return ends[::-1]
 
 
-def _splitter(limit: int, overlap: int):
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for row_id, text in zip(pdf["row_id"].tolist(), pdf["text"].tolist(), strict=True):
-                start = 0
-                for i, end in enumerate(cut_positions(text, limit, overlap)):
-                    out.append((row_id, i, start, end, text[start:end]))
-                    start = end - overlap
-            yield pd.DataFrame(out, columns=["row_id", "piece", "start", "end", "text"])
+def _ends(limit: int, overlap: int):
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def ends(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else cut_positions(t, limit, overlap))
 
-    return split
+    return ends
 
 
 def pieces(df: DataFrame, row_id: str, text: str, limit: int = 2000, overlap: int = 150) -> DataFrame:
     """row_id, piece (from 0), start, end (code points), text: the pieces of every item.
 
     Every piece has at most ``limit`` characters; each but the first starts with the last ``overlap`` characters of the one
-    before. Items within the limit, the empty one included, come out whole as piece 0 and never reach Python; null texts
-    give no piece. The result depends on the text alone; repeated rows give repeated pieces. A map without a shuffle.
+    before. Items within the limit, the empty one included, come out whole as piece 0; null texts give no piece. The result
+    depends on the text alone; repeated rows give repeated pieces. One scan without a shuffle: only texts over the limit go to
+    Python, which gives back the ends of their pieces.
     """
     rows = df.select(F.col(row_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("text is not null")
-    schema = "row_id long, piece int, start int, end int, text string"
-    whole = rows.where(F.length("text") <= limit).select("row_id", F.lit(0).alias("piece"), F.lit(0).alias("start"), F.length("text").alias("end"), "text")
-    return long_pieces(rows, limit, overlap, schema).unionByName(whole)
-
-
-def long_pieces(rows: DataFrame, limit: int, overlap: int, schema: str = "row_id long, piece int, start int, end int, text string") -> DataFrame:
-    """The pieces of the items longer than the limit; rows: row_id, text."""
-    return rows.where(F.length("text") > limit).mapInPandas(_splitter(limit, overlap), schema)
+    size = F.length("text")
+    rows = rows.withColumn("ends", _ends(limit, overlap)(F.when(size > limit, F.col("text"))))
+    rows = rows.withColumn("ends", F.coalesce("ends", F.array(size)))
+    cut = rows.select("row_id", "text", "ends", F.posexplode("ends").alias("piece", "end"))
+    start = F.when(F.col("piece") == 0, 0).otherwise(F.get("ends", F.col("piece") - 1) - overlap)
+    return cut.select("row_id", "piece", start.cast("int").alias("start"), "end", "text").withColumn("text", F.substring(F.col("text"), F.col("start") + 1, F.col("end") - F.col("start")))
 
 
 def oversized(df: DataFrame, tbl: str, row_id: str, text: str, limit: int = 2000, overlap: int = 150) -> DataFrame:
-    """p4_found of one table: tbl, row_id of the items that came out in more than one piece."""
-    rows = df.select(F.col(row_id).cast("long").alias("row_id"), F.col(text).alias("text"))
-    return long_pieces(rows, limit, overlap).where("piece = 1").select(F.lit(tbl).alias("tbl"), "row_id")
+    """p4_found of one table: tbl, row_id of the items that come out in more than one piece."""
+    return pieces(df.where(F.length(text) > limit), row_id, text, limit, overlap).where("piece = 1").select(F.lit(tbl).alias("tbl"), "row_id")
 
 
 P4_SQL = "select 'pages' as tbl, page_id as row_id from pages where length(full_text) > 2000 union all select 'regions', region_id from regions where length(text) > 2000"
