@@ -116,6 +116,28 @@ def file_spans(items: DataFrame, regions: DataFrame, budget: int) -> DataFrame:
     return own.select("item_id", *LIST, "page", "start").join(kept, [*LIST, "page", "start"]).select("item_id", "region_id")
 
 
+def item_contexts(items: DataFrame, regions: DataFrame, span_budget: int, table_budget: int) -> DataFrame:
+    """item_id, region_id, role of the regions an item's task sees. items: item_id, doc_id, schema_name, page, region_ids,
+    section_page; regions: doc_id, page_no, order_idx, region_id, region_type, size.
+
+    role ``span``: the item's span (``file_spans``). ``near``: where it has none, its regions on its page and those beside them,
+    or the whole page where it names none of it. ``table``: the tables of its page, then of its section's page, that are not
+    among these, as far as their sizes fit the budget (``spend``); a page's tables are one array of numbers.
+    """
+    spans = shared_table(file_spans(items, regions, span_budget).withColumn("role", F.lit("span")), "spans")
+    bare = items.join(spans.select("item_id").distinct(), "item_id", "left_anti").select("item_id", "doc_id", F.col("page").alias("page_no"), "region_ids")
+    places = bare.join(regions.select(*PAGE, "order_idx", "region_id"), PAGE)
+    flagged = places.withColumn("__own", F.coalesce(F.array_contains("region_ids", F.col("region_id")), F.lit(False)))
+    near = with_neighbours(flagged, ["item_id"], "order_idx", "__own").select("item_id", "region_id", F.lit("near").alias("role"))
+    chosen = shared_table(spans.unionByName(near), "chosen")
+    tables = regions.where("region_type = 'table'").groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(F.col("order_idx").alias("o"), F.col("region_id").alias("id"), F.col("size").cast("long").alias("size")))).alias("ts"))
+    asked = items.select("item_id", "doc_id", F.posexplode(F.array_distinct(F.array_compact(F.array("page", "section_page")))).alias("at", "page_no"))
+    offered = asked.join(tables, PAGE).select("item_id", "at", F.explode("ts").alias("t"))
+    offered = offered.join(chosen.select("item_id", F.col("region_id").alias("__r")), (offered["item_id"] == chosen["item_id"]) & (F.col("t.id") == F.col("__r")), "left_anti")
+    taken = offered.groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("at", F.col("t.o").alias("o"), F.col("t.id").alias("id"), F.col("t.size").alias("size")))).alias("ts"))
+    return chosen.unionByName(taken.select("item_id", F.explode(spend(F.col("ts"), table_budget)).alias("region_id"), F.lit("table").alias("role")))
+
+
 def with_neighbours(rows: DataFrame, page: list[str], order: str, flag: str, margin: int = 1) -> DataFrame:
     """The rows within ``margin`` positions of a flagged one on the page; a page without a flag is kept whole."""
     w = W.partitionBy(*page)

@@ -81,6 +81,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return packing.file_spans(table(s, d, "list_items"), regions, 3000)
 
 
+@query("item_context")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The regions that the task of an item sees: its span; without one the regions around its own, or its page; then the tables of
+    its page and its section's page, as far as they fit 2,000 characters."""
+    items = table(s, d, "list_items").select("item_id", "doc_id", "schema_name", "page", "region_ids", "section_page")
+    text_of = F.coalesce("text_canonical", "text")
+    regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", "region_type", F.coalesce(F.length(text_of), F.lit(0)).alias("size"))
+    return packing.item_contexts(items, regions, 3000, 2000)
+
+
 @query("margin_window", """with f as (select distinct unnest(region_ids) region_id from list_items), r as (select r.region_id, doc_id, page_no, order_idx, (f.region_id is not null)::int fl from regions r left join f on r.region_id = f.region_id where engine = 'a'),
 w as (select *, max(fl) over (partition by doc_id, page_no order by order_idx rows between 1 preceding and 1 following) near, max(fl) over (partition by doc_id, page_no) anyhit from r) select region_id from w where near = 1 or anyhit = 0""")
 def _(s: SparkSession, d: str) -> DataFrame:
@@ -100,6 +110,29 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return packing.with_neighbours(rows, PAGE, "order_idx", "hit").select("region_id")
 
 
+_FIELD_LABELS = (("importo", "amount"), ("damage", "danni"))  # for each field its labels, the preferred one first
+_LABELS_SQL = " union all ".join(f"select {i} as field, {j} as pr, '{lab}' as label" for i, labels in enumerate(_FIELD_LABELS) for j, lab in enumerate(labels))
+
+
+@query("labels_window", f"""with l as ({_LABELS_SQL}), r as (select region_id, doc_id, page_no, order_idx, {normal_sql('text')} as norm from regions where engine = 'a'),
+h as (select r.doc_id, r.page_no, l.field, l.pr, min(r.order_idx) as first from r join l on contains(r.norm, l.label) group by all), b as (select doc_id, page_no, field, arg_min(first, pr) as first from h group by all),
+f as (select r.*, b.field, coalesce(b.first = r.order_idx, false)::int as fl, b.first is not null as known from r cross join (select distinct field from l) x left join b on b.doc_id = r.doc_id and b.page_no = r.page_no and b.field = x.field),
+w as (select *, max(fl) over (partition by doc_id, page_no, coalesce(field, -1) order by order_idx rows between 1 preceding and 1 following) as near from f)
+select distinct region_id from w where near = 1 or not known""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """For each field the first region of the page with its best label, with neighbours, or the whole page where no label stands; the
+    union over the fields."""
+    rows = table(s, d, "regions").where("engine = 'a'").select("region_id", *PAGE, "order_idx", text.normalize(F.col("text")).alias("norm"))
+    page = W.partitionBy(*PAGE)
+    out = None
+    for labels in _FIELD_LABELS:
+        firsts = [F.min(F.when(F.contains("norm", F.lit(lab)), F.col("order_idx"))).over(page) for lab in labels]
+        flagged = rows.withColumn("hit", F.coalesce(F.col("order_idx") == F.coalesce(*firsts), F.lit(False)))
+        part = packing.with_neighbours(flagged, PAGE, "order_idx", "hit").select("region_id")
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
 @query("field_page", """with l(label, pr) as (values ('importo', 0), ('traits', 1), ('damage', 2)), h as (select r.doc_id, r.page_no, l.pr, r.order_idx from regions r join l on contains(lower(r.text), l.label) where engine = 'a')
 select doc_id, arg_min(page_no, (pr, page_no, order_idx)) as page_no from h group by doc_id""")
 def _(s: SparkSession, d: str) -> DataFrame:
@@ -192,16 +225,30 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return g.join(i, ["doc_id", "page"]).where(F.startswith("a", "b") | F.startswith("b", "a")).groupBy("gold_id").agg(F.min("item_id").alias("item_id"))
 
 
-@query("prefix_dedup", f"""with recursive i as (select item_id, doc_id, page, {normal_sql('anchor')} as a, list_sort(coalesce(region_ids, [])) as ids, row_number() over (partition by doc_id, page order by item_id) rn from list_items),
+_DEDUP = f"""i as (select item_id, doc_id, page, {normal_sql('anchor')} as a, list_sort(coalesce(region_ids, [])) as ids, row_number() over (partition by doc_id, page order by item_id) rn from list_items),
 w as (select doc_id, page, rn, item_id, true as keep, [{{'a': a, 'ids': ids}}] as kept from i where rn = 1
   union all select i.doc_id, i.page, i.rn, i.item_id, x.clash = 0, case when x.clash = 0 then list_append(w.kept, {{'a': i.a, 'ids': i.ids}}) else w.kept end
-  from w join i on i.doc_id = w.doc_id and i.page = w.page and i.rn = w.rn + 1, lateral (select len(list_filter(w.kept, lambda k: (starts_with(k.a, i.a) or starts_with(i.a, k.a)) and (k.ids = i.ids or len(k.ids) = 0 or len(i.ids) = 0))) as clash) x)
-select item_id from w where keep""")
+  from w join i on i.doc_id = w.doc_id and i.page = w.page and i.rn = w.rn + 1, lateral (select len(list_filter(w.kept, lambda k: (starts_with(k.a, i.a) or starts_with(i.a, k.a)) and (k.ids = i.ids or len(k.ids) = 0 or len(i.ids) = 0))) as clash) x)"""
+
+
+@query("prefix_dedup", f"with recursive {_DEDUP} select item_id from w where keep")
 def _(s: SparkSession, d: str) -> DataFrame:
     items = table(s, d, "list_items").withColumn("anchor", text.normalize(F.col("anchor")))
     return packing.prefix_duplicates(items)
 
 
+@query("inventory_coverage", f"""with recursive {_DEDUP}, k as (select l.doc_id, count(*) as found from w join list_items l on l.item_id = w.item_id where w.keep and l.schema_name = 'race_traits' group by l.doc_id), e as (select doc_id, count(distinct def_id) as expected from race_traits where doc_id is not null group by doc_id)
+select coalesce(k.doc_id, e.doc_id) as doc_id, coalesce(found, 0) as found, coalesce(expected, 0) as expected, case when coalesce(found, 0) = coalesce(expected, 0) then 'enumerated' else 'needs_review' end as status from k full join e on k.doc_id = e.doc_id""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The items found in each file against an independent count, that of its definitions; files where they differ need review."""
+    items = table(s, d, "list_items")
+    kept = Q["prefix_dedup"](s, d).join(items.where("schema_name = 'race_traits'").select("item_id", "doc_id"), "item_id")
+    found = kept.groupBy("doc_id").agg(F.count("*").alias("found"))
+    expected = table(s, d, "race_traits").where("doc_id is not null").groupBy("doc_id").agg(F.countDistinct("def_id").alias("expected"))
+    both = found.join(expected, "doc_id", "full_outer").na.fill(0, ["found", "expected"])
+    return both.withColumn("status", F.when(F.col("found") == F.col("expected"), "enumerated").otherwise("needs_review"))
+
+
 @query("region_ids_elsewhere", """select i.item_id, count(*) as n from (select item_id, doc_id, page, unnest(region_ids) region_id from list_items) i left join regions r on r.region_id = i.region_id and r.engine = 'a' where r.region_id is null or r.doc_id <> i.doc_id or r.page_no <> i.page group by i.item_id""")
 def _(s: SparkSession, d: str) -> DataFrame:
     ids = table(s, d, "list_items").select("item_id", "doc_id", "page", F.explode("region_ids").alias("region_id"))
@@ -565,6 +612,33 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return first.select("id", "t.trait_id", "definitions", F.coalesce("t.grantedAtLevel", F.lit(1)).alias("level"), F.coalesce(F.array_join(F.array_sort(F.array_distinct("t.sources")), ","), F.lit("")).alias("sources"))
 
 
+_EXPORT = f"""{_LATEST}, x as (select doc_id, try_cast(regexp_extract(field_path, '^traits\\[([0-9]+)\\]\\.([A-Za-z]+)$', 1) as bigint) as idx, regexp_extract(field_path, '^traits\\[([0-9]+)\\]\\.([A-Za-z]+)$', 2) as leaf, value_json from l),
+v as (select doc_id, idx, max(case when leaf = 'raceName' and json_valid(value_json) then value_json::json->>'$' end) r, max(case when leaf = 'featureName' and json_valid(value_json) then value_json::json->>'$' end) f, max(case when leaf = 'effects' then value_json end) e from x where idx is not null group by doc_id, idx),
+s as (select {_tokens_sql('raceName')} r, {_tokens_sql('subraceName')} b, {_tokens_sql('featureName')} f, arg_max(def_id, trait_id) as def_id from race_traits where def_id is not null group by 1, 2, 3),
+t as (select v.*, coalesce(s.def_id, array_to_string(list_filter(list_concat(['race'], coalesce(regexp_extract_all(lower(v.r), '[a-z0-9]+'), []), coalesce(regexp_extract_all(lower(v.f), '[a-z0-9]+'), [])), lambda x, i: i = 1 or x <> list_concat(['race'], coalesce(regexp_extract_all(lower(v.r), '[a-z0-9]+'), []), coalesce(regexp_extract_all(lower(v.f), '[a-z0-9]+'), []))[i - 1]), '_')) as id,
+  e is null or not json_valid(e) or e in ('null', '[]', '{{}}', '""', '0', 'false') as none from v left join s on s.r = {_tokens_sql('v.r')} and s.b = '' and s.f = {_tokens_sql('v.f')}),
+n as (select *, row_number() over (partition by doc_id, id, none order by idx) rn from t)"""
+
+
+@query("export_notes", f"with {_EXPORT} select doc_id, idx, case when not none then id end as id, case when none then 'no effect' when rn > 1 then 'duplicate' end as note from n")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Each validated trait of a file with the id it is exported under (that of the definition with the same names, else its slug),
+    or the note that says why it is left out: no effect, or an earlier trait of the file has its id."""
+    from quire.storage import shared_table
+
+    leaves = _latest_leaves(s, d).withColumn("idx", F.regexp_extract("item", r"([0-9]+)", 1).cast("long"))
+    plain = F.when(F.try_parse_json("value_json").isNotNull(), F.get_json_object(F.concat(F.lit('{"v":'), "value_json", F.lit("}")), "$.v"))
+    pick = lambda c, v: F.max(F.when(F.col("leaf") == c, v))
+    rows = leaves.groupBy("doc_id", "idx").agg(pick("raceName", plain).alias("race"), pick("featureName", plain).alias("feature"), pick("effects", F.col("value_json")).alias("effects"))
+    words = lambda c: F.array_join(text.tokens(F.col(c)), " ")
+    seed = table(s, d, "race_traits").where("def_id is not null").groupBy(words("raceName").alias("r"), words("subraceName").alias("b"), words("featureName").alias("f")).agg(F.max_by("def_id", "trait_id").alias("def_id"))
+    named = rows.withColumns({"r": words("race"), "f": words("feature")}).join(seed.where("b = ''").drop("b"), ["r", "f"], "left")
+    none = F.col("effects").isNull() | F.try_parse_json("effects").isNull() | F.col("effects").isin("null", "[]", "{}", '""', "0", "false")
+    named = shared_table(named.select("doc_id", "idx", F.coalesce("def_id", text.slug("race", F.col("race"), F.col("feature"))).alias("id"), none.alias("none")), "named")
+    ranked = rank_within(named, ["doc_id", "id", "none"], ["idx"])
+    return ranked.select("doc_id", "idx", F.when(~F.col("none"), F.col("id")).alias("id"), F.when(F.col("none"), "no effect").when(F.col("rank") > 0, "duplicate").alias("note"))
+
+
 def _answers(s: SparkSession, d: str) -> DataFrame:
     """run (annotator), field, item, value: each annotator's latest answers."""
     sheet = table(s, d, "worksheet").select("item_id", "annotator_id", "labelled_at", "label_id", F.col("featureName.value").alias("f"), F.col("effects.value").alias("e"))
@@ -657,3 +731,18 @@ def _(s: SparkSession, d: str) -> DataFrame:
     own = ranked.where("pos > 0").select("field", "item", "pos", "run")
     earlier = ranked.select("field", "item", (F.col("pos") + 1).alias("pos"), "value").join(own, ["field", "item", "pos"])
     return evaluate.annotation_diff(earlier, ranked.where("pos > 0"), "DA COMPILARE", key=["field", "item", "run"])
+
+
+@query("last_run", f"""with {_EVAL}, ru as (select annotator_id as run, max(labelled_at) as finished from worksheet where annotator_id is not null group by annotator_id having max(labelled_at) is not null), la as (select max(run) as run from ru),
+gr as (select la.run, gg.* from gg cross join la), aa as (select a.* from a join la on a.run = la.run), c as (select coalesce(p.field, gr.field) field, gr.item is not null expected, gr.item is not null and {_P.format('p.value')} = {_P.format('gr.value')} hit, p.value pv, gr.value gv from aa p full join gr on p.field = gr.field and p.item = gr.item),
+m as (select field, {_MET} from c group by field) select la.run, field, n, tp, fp, fn, {_SHARES} from m cross join la""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """The stored metrics of the last run that finished: metrics of every run are written as JSON lines and read back."""
+    from quire.sources import sinks
+    from quire.storage import shared_path
+
+    path = shared_path(s, "runs")
+    found = evaluate.metrics_of_runs(_answers(s, d), _gold(s, d))
+    finished = table(s, d, "worksheet").where("annotator_id is not null").groupBy(F.col("annotator_id").alias("run")).agg(F.max("labelled_at").alias("finished_at"))
+    sinks.write_runs(found, finished, path)
+    return sinks.last_run(s, path).select("run", F.inline("metrics"))

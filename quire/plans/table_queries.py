@@ -224,6 +224,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "doc_files").select("doc_id", "n_pages").join(have, "doc_id", "left").na.fill(0, ["have"])
 
 
+@query("resolved_regions", "select r.region_id, coalesce(c.resolved_text, r.text_canonical) as text_canonical, c.resolver from regions r left join (select region_id, arg_max(resolved_text, resolver) filter (where resolved_text is not null) as resolved_text, max(resolver) filter (where resolved_text is not null) as resolver from region_conflicts group by region_id) c on c.region_id = r.region_id where r.engine = 'a'")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Engine a's regions after the resolutions: a resolved text becomes the canonical one, with its resolver; others stay."""
+    some = table(s, d, "region_conflicts").where("resolved_text is not null").groupBy("region_id").agg(F.max_by("resolved_text", "resolver").alias("resolved"), F.max("resolver").alias("resolver"))
+    rows = table(s, d, "regions").where("engine = 'a'").select("region_id", "text_canonical").join(some, "region_id", "left")
+    return rows.select("region_id", F.coalesce("resolved", "text_canonical").alias("text_canonical"), "resolver")
+
+
 # states, tasks and lookups
 
 _KNOWN = """n as (select doc_id, schema_name, case when bool_or(status = 'pending') then 'extracted' when bool_or(status in ('needs_review', 'rejected')) then 'needs_review' else 'validated' end as status from (select *, row_number() over (partition by doc_id, field_path order by attempt desc nulls last, loaded_at desc nulls last, ext_id desc) rn from extractions) where rn = 1 and field_path not like '%$%' and schema_name is not null group by all)"""
@@ -249,6 +257,16 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return effective(s, d)
 
 
+@query("validation_step", f"""with {_EFFECTIVE}, r as (select distinct doc_id, schema_name from extractions where field_path not like '%$%')
+select f.doc_id, f.schema_name, case when f.status in ('validated', 'done') then 'skip' when f.status = 'needs_review' then 'resume' when f.status is distinct from 'extracted' then 'error' when r.doc_id is null then 'needs_review' else 'validate' end as step from f left join r on r.doc_id = f.doc_id and r.schema_name = f.schema_name""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    """What validation does with each file and schema: skip what is past it, resume what is under review, refuse what is not extracted,
+    and send to review what has no row."""
+    rows = table(s, d, "extractions").where(~F.col("field_path").contains("$")).select("doc_id", "schema_name").distinct().withColumn("has", F.lit(True))
+    step = F.when(F.col("status").isin("validated", "done"), "skip").when(F.col("status") == "needs_review", "resume").when(~F.col("status").eqNullSafe(F.lit("extracted")), "error").when(F.col("has").isNull(), "needs_review").otherwise("validate")
+    return effective(s, d).join(rows, ["doc_id", "schema_name"], "left").select("doc_id", "schema_name", step.alias("step"))
+
+
 _STEPS = ", ".join(f"('{a}', '{b}')" for a, to in states.STEPS.items() for b in (*to, "failed"))
 
 

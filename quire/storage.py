@@ -40,7 +40,20 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and returns the written table."""
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a table of ``shared_table`` that nothing will read any more: all that was made of it has been written."""
+    _delete(table.sparkSession, table._shared_path)
+    _made[:] = [x for x in _made if x[1] != table._shared_path]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager
@@ -58,9 +71,7 @@ def drop_tables(keep: int = 0) -> None:
     while len(_made) > keep:
         spark, path = _made.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
         except Exception:  # the session is gone; nothing is left to do
             pass
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from quire.operators.gates import anchored
-from quire.operators.packing import enumeration_windows, file_spans, near_section
+from quire.operators.packing import enumeration_windows, file_spans, item_contexts, near_section
 
 
 def test_spans_cross_pages(spark):
@@ -49,3 +49,13 @@ def test_windows_split_large_pages(spark, rows):
     regions = spark.createDataFrame([("d", p, i, p * 10 + i, x) for p, xs in sizes.items() for i, x in enumerate(xs)], "doc_id string, page_no int, order_idx int, region_id long, size double")
     # blocks: 1, 2, 2, 3, 4, 5 of about 65, 175, 175, 45, 325, 25; page 3 sees page 2 by its second block
     assert rows(enumeration_windows(pages, regions, 250)) == [("d", 1, 2), ("d", 2, 2), ("d", 2, 3), ("d", 3, 3), ("d", 4, 4), ("d", 5, 5)]
+
+
+def test_contexts_have_tables(spark, rows):
+    """Item 1 has a span with one table of its page inside and one outside; item 2 names no region; item 3 has one of another page."""
+    regions = [("d", 1, 0, 10, "text", 5), ("d", 1, 1, 11, "table", 5), ("d", 1, 2, 12, "text", 5), ("d", 1, 3, 13, "table", 30), ("d", 2, 0, 20, "table", 90), ("d", 2, 1, 21, "table", 9), ("d", 3, 0, 30, "text", 1), ("d", 3, 1, 31, "text", 1)]
+    regions = spark.createDataFrame(regions, "doc_id string, page_no int, order_idx int, region_id long, region_type string, size int")
+    items = [(1, "d", "a", 1, [11], 2), (2, "d", "a", 1, [13], None), (3, "d", "b", 3, [], 2)]
+    items = spark.createDataFrame(items, "item_id long, doc_id string, schema_name string, page int, region_ids array<long>, section_page int")
+    want = [(1, 11, "span"), (1, 12, "span"), (1, 13, "table"), (1, 21, "table"), (2, 13, "span"), (2, 11, "table"), (3, 30, "near"), (3, 31, "near"), (3, 21, "table")]
+    assert rows(item_contexts(items, regions, 1000, 50)) == sorted(want, key=repr)
