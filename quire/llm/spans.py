@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quire.llm.automaton import ShardAutomaton
 from quire.operators.skew import salted_lookup
-from quire.storage import shared_table
+from quire.storage import discard, shared_table
 
 GRAM = 40
 SHARD_CHARS = 250_000  # characters of references in one automaton, about 100 bytes of memory each while it is built
@@ -154,6 +154,7 @@ def shared_spans(df: DataFrame, doc_id: str, text: str, least: int = 100, k: int
     by_doc = hit.groupBy("doc").agg(F.collect_list("h").alias("hs"), F.collect_list("run").alias("rs"))  # as long as the document's text allows
     contexts = docs.join(by_doc, "doc").mapInArrow(_contexts(least), "doc long, h long, s long, n int, ctx string")
     contexts = shared_table(contexts.withColumn("dig", F.unhex(F.md5(F.col("ctx").cast("binary")))), "contexts")
+    discard(anchors)
     references = contexts.groupBy("h", "dig").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c"), F.first("ctx").alias("ctx"))
     references = shared_table(references.where("lo is not null"), "references")
     chars = references.groupBy("h").agg(F.sum(F.length("ctx")).alias("chars"), F.count("*").alias("m"))
