@@ -11,10 +11,18 @@ from quire.operators import evaluate, gates, nested_tables, packing, states, ver
 from quire.operators.skew import rank_within
 from quire.plans.table_queries import KEY, ORDER
 from quire.plans.text_queries import _VALUE, normal_sql
+from quire.session import Settings
 from quire.sources.tables import table
 
 Q, SQL = {}, {}
 PAGE = ["doc_id", "page_no"]
+D = Settings()  # the defaults, for the SQL
+
+
+def conf(s: SparkSession) -> Settings:
+    """The session's settings."""
+    return Settings.from_session(s)
+
 
 
 def query(name: str, sql: str | None = None):
@@ -30,15 +38,15 @@ def query(name: str, sql: str | None = None):
 # packing
 
 
-@query("page_windows", """with recursive p as (select doc_id, page_no, length(coalesce(canonical_text, full_text, '')) + 2 sz, row_number() over (partition by doc_id order by page_no) rn from pages),
+@query("page_windows", f"""with recursive p as (select doc_id, page_no, length(coalesce(canonical_text, full_text, '')) + 2 sz, row_number() over (partition by doc_id order by page_no) rn from pages),
 c as (select a.doc_id, a.rn s, max(b.rn) e from p a join (select doc_id, rn, sum(sz) over (partition by doc_id order by rn) cs from p) b on a.doc_id = b.doc_id and b.rn >= a.rn
-  join (select doc_id, rn, sum(sz) over (partition by doc_id order by rn) - sz pre from p) f on f.doc_id = a.doc_id and f.rn = a.rn where b.rn = a.rn or b.cs - f.pre <= 8000 group by all),
+  join (select doc_id, rn, sum(sz) over (partition by doc_id order by rn) - sz pre from p) f on f.doc_id = a.doc_id and f.rn = a.rn where b.rn = a.rn or b.cs - f.pre <= {D.window_chars} group by all),
 m as (select doc_id, max(rn) n from p group by doc_id),
 w as (select doc_id, 0 as win, 1::bigint as s from m union all select w.doc_id, win + 1, case when c.e > w.s then c.e else c.e + 1 end from w join c on w.doc_id = c.doc_id and w.s = c.s join m on m.doc_id = w.doc_id where c.e < m.n)
 select w.doc_id, w.win as "window", a.page_no as first_page, b.page_no as last_page from w join c on w.doc_id = c.doc_id and w.s = c.s join p a on a.doc_id = w.doc_id and a.rn = c.s join p b on b.doc_id = w.doc_id and b.rn = c.e""")
 def _(s: SparkSession, d: str) -> DataFrame:
     size = F.length(F.coalesce("canonical_text", "full_text", F.lit(""))) + 2
-    return packing.page_windows(table(s, d, "pages").select(*PAGE, size.alias("size")), 8000)
+    return packing.page_windows(table(s, d, "pages").select(*PAGE, size.alias("size")), conf(s).window_chars)
 
 
 _BLOCK_ROWS = """b as (select doc_id, page_no, region_id, length('[' || region_id || '] ' || region_type || ': ' || coalesce(text_canonical, text, 'None')) + 1 as size, 41 + length(page_no::varchar) as head, row_number() over (partition by doc_id, page_no order by order_idx, region_id) rn from regions where engine = 'a')"""
@@ -46,22 +54,22 @@ _BLOCK_ROWS = """b as (select doc_id, page_no, region_id, length('[' || region_i
 
 @query("page_blocks", f"""with recursive {_BLOCK_ROWS},
 w as (select doc_id, page_no, region_id, rn, 0 as block, (head + size)::bigint as used from b where rn = 1
-  union all select b.doc_id, b.page_no, b.region_id, b.rn, case when w.used + b.size > 2000 then w.block + 1 else w.block end, case when w.used + b.size > 2000 then b.head + b.size else w.used + b.size end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
+  union all select b.doc_id, b.page_no, b.region_id, b.rn, case when w.used + b.size > {D.block_chars} then w.block + 1 else w.block end, case when w.used + b.size > {D.block_chars} then b.head + b.size else w.used + b.size end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
 select doc_id, page_no, region_id, block from w""")
 def _(s: SparkSession, d: str) -> DataFrame:
     """Pages cut to blocks of 2,000 characters; each has the two heading lines of its page, a region is a line with id and type."""
     line = F.format_string("[%d] %s: %s", "region_id", "region_type", F.coalesce("text_canonical", "text", F.lit("None")))
     head = F.length(F.col("page_no").cast("string")) + 41  # fixed value: characters of "=== PAGE n ===", the line of column names and the line end
     rows = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", head.alias("head"), (F.length(line) + 1).alias("size"))
-    return packing.page_blocks(rows, 2000)
+    return packing.page_blocks(rows, conf(s).block_chars)
 
 
-@query("table_budget_fold", """with recursive b as (select doc_id, page_no, region_id, coalesce(length(text), 0) as size, row_number() over (partition by doc_id, page_no order by order_idx, region_id) rn from regions where engine = 'a' and region_type = 'table'),
-w as (select doc_id, page_no, region_id, rn, size <= 400 as taken, case when size <= 400 then size else 0 end::bigint as used from b where rn = 1
-  union all select b.doc_id, b.page_no, b.region_id, b.rn, w.used + b.size <= 400, case when w.used + b.size <= 400 then w.used + b.size else w.used end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
+@query("table_budget_fold", f"""with recursive b as (select doc_id, page_no, region_id, coalesce(length(text), 0) as size, row_number() over (partition by doc_id, page_no order by order_idx, region_id) rn from regions where engine = 'a' and region_type = 'table'),
+w as (select doc_id, page_no, region_id, rn, size <= {D.page_table_chars} as taken, case when size <= {D.page_table_chars} then size else 0 end::bigint as used from b where rn = 1
+  union all select b.doc_id, b.page_no, b.region_id, b.rn, w.used + b.size <= {D.page_table_chars}, case when w.used + b.size <= {D.page_table_chars} then w.used + b.size else w.used end from w join b on b.doc_id = w.doc_id and b.page_no = w.page_no and b.rn = w.rn + 1)
 select doc_id, page_no, region_id from w where taken""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return packing.tables_in_budget(table(s, d, "regions").where("engine = 'a'"), 400)
+    return packing.tables_in_budget(table(s, d, "regions").where("engine = 'a'"), conf(s).page_table_chars)
 
 
 _SPANS = """i as (select item_id, doc_id, schema_name, page, unnest(region_ids) rid from list_items where page > 0 and len(region_ids) > 0),
@@ -74,21 +82,21 @@ j as (select t.doc_id, t.schema_name, t.page, t.start, r.region_id, sum(coalesce
   from t join regions r on r.engine = 'a' and r.doc_id = t.doc_id and r.page_no between t.page and t.last and {'p': r.page_no, 'o': r.order_idx::bigint, 'r': r.region_id} >= t.start and (t.stop is null or {'p': r.page_no, 'o': r.order_idx::bigint, 'r': r.region_id} < t.stop))"""
 
 
-@query("item_span", f"with {_SPANS} select o.item_id, j.region_id from o join j on o.doc_id = j.doc_id and o.schema_name is not distinct from j.schema_name and o.page = j.page and o.start = j.start where j.run <= 3000")
+@query("item_span", f"with {_SPANS} select o.item_id, j.region_id from o join j on o.doc_id = j.doc_id and o.schema_name is not distinct from j.schema_name and o.page = j.page and o.start = j.start where j.run <= {D.span_chars}")
 def _(s: SparkSession, d: str) -> DataFrame:
     """The regions of each item up to the next item of the file's list, across pages, over the canonical text."""
     regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", F.coalesce(F.length(F.coalesce("text_canonical", "text")), F.lit(0)).alias("size"))
-    return packing.file_spans(table(s, d, "list_items"), regions, 3000)
+    return packing.file_spans(table(s, d, "list_items"), regions, conf(s).span_chars)
 
 
 @query("item_context")
 def _(s: SparkSession, d: str) -> DataFrame:
     """The regions that the task of an item sees: its span; without one the regions around its own, or its page; then the tables of
-    its page and its section's page, as far as they fit 2,000 characters."""
+    its page and its section's page, as far as they fit the settings' table_chars."""
     items = table(s, d, "list_items").select("item_id", "doc_id", "schema_name", "page", "region_ids", "section_page")
     text_of = F.coalesce("text_canonical", "text")
     regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", "region_type", F.coalesce(F.length(text_of), F.lit(0)).alias("size"))
-    return packing.item_contexts(items, regions, 3000, 2000)
+    return packing.item_contexts(items, regions, conf(s).span_chars, conf(s).table_chars)
 
 
 @query("margin_window", """with f as (select distinct unnest(region_ids) region_id from list_items), r as (select r.region_id, doc_id, page_no, order_idx, (f.region_id is not null)::int fl from regions r left join f on r.region_id = f.region_id where engine = 'a'),
@@ -142,14 +150,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min_by("page_no", F.struct("pr", "page_no", "order_idx")).alias("page_no"))
 
 
-@query("task_chunks", """with f as (select distinct doc_id, page_no, field_path from extractions), r as (select *, (row_number() over (partition by doc_id, page_no order by field_path) - 1) // 8 as chunk from f)
+@query("task_chunks", f"""with f as (select distinct doc_id, page_no, field_path from extractions), r as (select *, (row_number() over (partition by doc_id, page_no order by field_path) - 1) // {D.fields_per_task} as chunk from f)
 select doc_id, page_no, chunk, count(*) as fields from r where page_no is not null group by all""")
 def _(s: SparkSession, d: str) -> DataFrame:
     fields = table(s, d, "extractions").where("page_no is not null").select(*PAGE, "field_path").distinct()
     from quire.storage import shared_table
 
     ranked = rank_within(shared_table(fields, "fields"), PAGE, ["field_path"])
-    return ranked.groupBy(*PAGE, F.floor(F.col("rank") / 8).alias("chunk")).agg(F.count("*").alias("fields"))
+    return ranked.groupBy(*PAGE, F.floor(F.col("rank") / conf(s).fields_per_task).alias("chunk")).agg(F.count("*").alias("fields"))
 
 
 @query("asof_section", f"""with p as (select doc_id, page_no, {normal_sql('coalesce(canonical_text, full_text)')} norm from pages), i as (select item_id, doc_id, page, {normal_sql('section')} sec from list_items where section is not null)
@@ -166,10 +174,10 @@ def _(s: SparkSession, d: str) -> DataFrame:
     rows = table(s, d, "pages")
     line = F.format_string("[%d] %s: %s", "region_id", "region_type", F.coalesce("text_canonical", "text", F.lit("None")))
     regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "order_idx", "region_id", text.estimate_tokens(line).alias("size"))
-    windows = packing.enumeration_windows(rows, regions, 3840)  # the reference's context of 8192 less 3072 for the answer and 1280 for the task
+    windows = packing.enumeration_windows(rows, regions, conf(s).window_tokens)
     pages = rows.select(*PAGE, text.normalize(F.coalesce("canonical_text", "full_text")).alias("norm"))
     items = table(s, d, "list_items").where("section is not null").select("item_id", "doc_id", "page", text.normalize(F.col("section")).alias("section")).where("section <> ''")
-    return packing.near_section(items, pages, windows)
+    return packing.near_section(items, pages, windows, conf(s).anchor_min)
 
 
 # inventories
@@ -185,7 +193,7 @@ def _checked(s: SparkSession, d: str, near: bool = False) -> DataFrame:
     real = table(s, d, "regions").where("engine = 'a'").select("region_id", "doc_id", F.col("page_no").alias("page"))
     valid = items.select("item_id", "doc_id", "page", F.explode("region_ids").alias("region_id")).join(real, ["region_id", "doc_id", "page"]).groupBy("item_id").agg(F.count("*").alias("n_valid"))
     rows = items.where("anchor is not null").select("item_id", "doc_id", "page", text.normalize(F.col("anchor")).alias("anchor")).where("anchor <> ''")
-    rows = gates.anchored(rows, pages) if near else rows.join(pages, ["doc_id", "page"]).where(F.contains("norm", "anchor")).drop("norm")
+    rows = gates.anchored(rows, pages, conf(s).anchor_min) if near else rows.join(pages, ["doc_id", "page"]).where(F.contains("norm", "anchor")).drop("norm")
     return rows.join(valid, "item_id", "left").na.fill(0, ["n_valid"])
 
 
@@ -513,7 +521,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _grounded(s: SparkSession, d: str) -> DataFrame:
     pages = table(s, d, "pages").select(*PAGE, F.coalesce("canonical_text", "full_text", F.lit("")).alias("page"))
     rows = table(s, d, "extractions").select("ext_id", *PAGE, "quote", "value_json")
-    return gates.grounded(gates.by_page(rows), pages, PAGE)
+    return gates.grounded(gates.by_page(rows), pages, PAGE, conf(s).grounding_min)
 
 
 @query("grounding_gate")
@@ -534,7 +542,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 def _(s: SparkSession, d: str) -> DataFrame:
     quotes = table(s, d, "extractions").where("quote is not null and quote <> ''").select(F.col("ext_id").alias("id"), *PAGE, text.normalize(F.col("quote")).alias("q")).where("q <> ''")
     regions = table(s, d, "regions").where("engine = 'a'").select(*PAGE, "region_id", "order_idx", "bbox", text.normalize(F.coalesce("text_canonical", "text")).alias("r")).where("r <> ''")
-    return gates.located(quotes, regions)
+    return gates.located(quotes, regions, conf(s).localise_min)
 
 
 _BOX = "case when len(cast({0} as json)::double[]) = 4 then cast({0} as json)::double[] end"
@@ -555,7 +563,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     """Extractions whose quote stands in a region in conflict."""
     changed = table(s, d, "region_conflicts").select("region_id").join(table(s, d, "regions").select("region_id", *PAGE, text.normalize(F.col("text")).alias("r")), "region_id").drop("region_id")
     e = table(s, d, "extractions").where("quote is not null").select("ext_id", *PAGE, text.normalize(F.col("quote")).alias("q")).where("q <> ''")
-    return gates.dependents_by_quote(changed, e)
+    return gates.dependents_by_quote(changed, e, conf(s).grounding_min)
 
 
 @query("retry_rounds", f"""with p as (select doc_id, page_no, {normal_sql('coalesce(canonical_text, full_text)')} p from pages), e as (select ext_id, doc_id, page_no, {normal_sql('quote')} q from extractions where quote is not null),
@@ -566,7 +574,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     pages = table(s, d, "pages").select(*PAGE, text.normalize(F.coalesce("canonical_text", "full_text")).alias("p"))
     rows = table(s, d, "extractions").where("quote is not null").select("ext_id", *PAGE, text.normalize(F.col("quote")).alias("q")).where("q <> ''").join(pages, PAGE)
     half = lambda df: df.withColumn("q", F.left("q", F.floor(F.length("q") / 2).cast("int")))
-    return gates.retried(rows.drop(*PAGE), lambda df: F.contains("p", "q"), half).select("ext_id", "attempt", "state")
+    return gates.retried(rows.drop(*PAGE), lambda df: F.contains("p", "q"), half, conf(s).max_retries + 1).select("ext_id", "attempt", "state")
 
 
 # review, export, evaluation

@@ -9,6 +9,7 @@ from quire.functions import boxes, fuzzy, text
 from quire.operators import ordering, reconcile, states, versions
 from quire.operators.skew import rank_within
 from quire.plans.text_queries import normal_sql
+from quire.session import Settings
 from quire.sources.tables import table
 
 Q, SQL = {}, {}
@@ -178,7 +179,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     a = table(s, d, "regions").where("engine = 'a'").groupBy("doc_id").agg(F.count("*").alias("regions"))
     c = table(s, d, "region_conflicts").groupBy("doc_id").agg(F.count("*").alias("k"))
     rate = F.coalesce("k", F.lit(0)) / F.col("regions")
-    return a.join(c, "doc_id", "left").select("doc_id", "regions", F.coalesce("k", F.lit(0)).alias("conflicts"), F.round(rate, 6).alias("rate"), (rate > 0.05).alias("warn"))
+    return a.join(c, "doc_id", "left").select("doc_id", "regions", F.coalesce("k", F.lit(0)).alias("conflicts"), F.round(rate, 6).alias("rate"), (rate > Settings.from_session(s).conflict_rate_warn).alias("warn"))
 
 
 _ABC = """with j as (select a.region_id, a.text a, b.text b, c.resolved_text c from regions a join regions b on b.engine = 'b' and a.doc_id = b.doc_id and a.page_no = b.page_no and a.order_idx = b.order_idx join region_conflicts c on c.region_id = a.region_id where a.engine = 'a')"""
@@ -201,12 +202,12 @@ q as (select id_a, id_b, ib, case when t - i > 0 then i / (t - i) else 0 end iou
 select id_a, id_b, round(iou, 6) as iou from (select *, row_number() over (partition by id_a order by iou desc, ib, id_b) rn from q where iou >= 0.5) where rn = 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
     r = table(s, d, "regions").select("doc_id", "page_no", "engine", F.col("region_id").alias("id"), F.col("order_idx").alias("idx"), boxes.box(F.col("bbox")).alias("box")).where("box is not null")
-    return reconcile.best_overlap(r.where("engine = 'a'"), r.where("engine = 'b'"), ["doc_id", "page_no"]).withColumn("iou", F.round("iou", 6))
+    return reconcile.best_overlap(r.where("engine = 'a'"), r.where("engine = 'b'"), ["doc_id", "page_no"], Settings.from_session(s).iou_min).withColumn("iou", F.round("iou", 6))
 
 
 @query("reconcile_pages")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return reconcile.reconcile_pages(table(s, d, "regions"))
+    return reconcile.reconcile_pages(table(s, d, "regions"), Settings.from_session(s).iou_min, Settings.from_session(s).text_accept)
 
 
 @query("similarity_pairs")

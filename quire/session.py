@@ -37,9 +37,12 @@ class Settings:
     localise_min: int = 80
     conflict_rate_warn: float = 0.05
     max_retries: int = 2
-    window_chars: int = 2000
-    span_chars: int = 6000
-    table_chars: int = 4000
+    window_chars: int = 8000  # a window of pages, by characters
+    window_tokens: int = 13056  # a window of the enumeration: a context of 16,384 less 2,048 for the answer and 1,280 for the task
+    block_chars: int = 2000  # a block of a page
+    span_chars: int = 6000  # an item's span
+    table_chars: int = 8000  # the tables beside an item's span
+    page_table_chars: int = 400  # the tables of a page on their own
     fields_per_task: int = 8
 
     @classmethod
