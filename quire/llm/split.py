@@ -82,12 +82,18 @@ def cut_positions(text: str, limit: int, overlap: int, balance: float = 1.0) ->
     return ends[::-1]
 
 
-def _ends(limit: int, overlap: int):
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ends(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else cut_positions(t, limit, overlap))
+def _places(limit: int, overlap: int):
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def places(texts: pd.Series) -> pd.Series:
+        def one(t: str | None) -> list | None:
+            if t is None:
+                return None
+            ends = cut_positions(t, limit, overlap)
+            return [[start, end] for start, end in zip([0, *(e - overlap for e in ends)], ends, strict=False)]
 
-    return ends
+        return texts.map(one)
+
+    return places
 
 
 def pieces(df: DataFrame, row_id: str, text: str, limit: int = 2000, overlap: int = 150) -> DataFrame:
@@ -96,15 +102,14 @@ def pieces(df: DataFrame, row_id: str, text: str, limit: int = 2000, overlap: in
     Every piece has at most ``limit`` characters; each but the first starts with the last ``overlap`` characters of the one
     before. Items within the limit, the empty one included, come out whole as piece 0; null texts give no piece. The result
     depends on the text alone; repeated rows give repeated pieces. One scan without a shuffle: only texts over the limit go to
-    Python, which gives back the ends of their pieces.
+    Python, which gives back the places of their pieces.
     """
     rows = df.select(F.col(row_id).cast("long").alias("row_id"), F.col(text).alias("text")).where("text is not null")
     size = F.length("text")
-    rows = rows.withColumn("ends", _ends(limit, overlap)(F.when(size > limit, F.col("text"))))
-    rows = rows.withColumn("ends", F.coalesce("ends", F.array(size)))
-    cut = rows.select("row_id", "text", "ends", F.posexplode("ends").alias("piece", "end"))
-    start = F.when(F.col("piece") == 0, 0).otherwise(F.get("ends", F.col("piece") - 1) - overlap)
-    return cut.select("row_id", "piece", start.cast("int").alias("start"), "end", "text").withColumn("text", F.substring(F.col("text"), F.col("start") + 1, F.col("end") - F.col("start")))
+    places = F.coalesce(_places(limit, overlap)(F.when(size > limit, F.col("text"))), F.array(F.array(F.lit(0), size)))
+    cut = rows.select("row_id", "text", F.posexplode(places).alias("piece", "at"))
+    start, end = F.col("at")[0], F.col("at")[1]
+    return cut.select("row_id", "piece", start.alias("start"), end.alias("end"), F.substring(F.col("text"), start + 1, end - start).alias("text"))
 
 
 def oversized(df: DataFrame, tbl: str, row_id: str, text: str, limit: int = 2000, overlap: int = 150) -> DataFrame:
