@@ -1,7 +1,7 @@
 """Records that are identical but for white space, letter case, punctuation or field order (problem 1).
 
-Columns are dictionary-encoded: each distinct value is brought to its canonical form once and gets an integer id; records
-become sorted tuples of (field, value) integers, and equal tuples are copies.
+Columns are dictionary-encoded: each distinct value of a field is brought to its canonical form once, and field and form
+get an integer; records become sorted tuples of these integers, and equal tuples are copies.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.operators.skew import salted_lookup
-from quire.storage import shared_table
+from quire.storage import discard, shared_table
 
 ASCII_DIGITS = frozenset("0123456789")
 
@@ -54,7 +54,7 @@ def canonical(kind: str, raw: str) -> str:
 def _canonical(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         forms = (canonical(kind, raw) for kind, raw in zip(pdf["kind"].tolist(), pdf["raw"].tolist(), strict=True))
-        yield pdf[["dig", "n"]].assign(canon=[md5(x.encode("utf-8", "surrogatepass")).digest() for x in forms])
+        yield pdf[["field", "dig", "n"]].assign(canon=[md5(x.encode("utf-8", "surrogatepass")).digest() for x in forms])
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,24 +103,21 @@ def collapse_copies(cells: DataFrame) -> DataFrame:
     empty array and a string without letters are values. A record that is no JSON object is compared as one string. Rows
     with a null id are left out. Repeated ids are one row each.
 
-    A cell travels as a digest of its raw text (128 bits) with the ids of its row and field; raw texts are shuffled once for
+    A cell travels as a digest of its raw text (128 bits) with its field and the id of its row; raw texts are shuffled once for
     each distinct value and task. Hot values and hot groups of copies (e.g. one doc_id with a third of all rows) are counted
-    before the join and split over tasks. Field names, a handful unless records invent their own, get ids the same way.
+    before the join and split over tasks.
     """
     flat = shared_table(cells.withColumn("dig", F.unhex(F.md5(F.concat("kind", "raw").cast("binary")))), "cells")
-    # the dictionary: a distinct value is canonicalised once; equal canonical forms share an id
-    values = flat.groupBy("dig").agg(F.first("kind").alias("kind"), F.first("raw").alias("raw"), F.count("*").alias("n"))
-    canon = shared_table(values.mapInPandas(_canonical, "dig binary, n long, canon binary"), "values")
-    ids = shared_table(canon.select("canon").distinct().select("canon", F.monotonically_increasing_id().alias("value_id")), "value-ids")
-    coded = shared_table(canon.join(ids, "canon").select("dig", "n", "value_id"), "coded")
-    names = flat.groupBy("field").agg(F.count("*").alias("n"))
-    fields = shared_table(names.select("field", "n", F.monotonically_increasing_id().alias("field_id")), "fields")
-    known = salted_lookup(flat.select("tbl", "id", "field", "dig"), fields, ["field"], "n", F.col("id"))
-    pairs = salted_lookup(known.select("tbl", "id", "field_id", "dig"), coded, ["dig"], "n", F.col("id"))
-    # the record: its sorted tuple of (field, value) integers, as one array of numbers
-    tuples = pairs.groupBy("tbl", "id").agg(F.array_sort(F.collect_set(F.struct("field_id", "value_id"))).alias("t"))
-    numbers = F.flatten(F.transform("t", lambda x: F.array(x["field_id"], x["value_id"])))
-    tuples = shared_table(tuples.select("tbl", "id", numbers.alias("key")), "tuples")
+    # the dictionary: a distinct value of a field is canonicalised once; field and canonical form share one integer
+    values = flat.groupBy("field", "dig").agg(F.first("kind").alias("kind"), F.first("raw").alias("raw"), F.count("*").alias("n"))
+    canon = shared_table(values.mapInPandas(_canonical, "field string, dig binary, n long, canon binary"), "values")
+    ids = shared_table(canon.select("field", "canon").distinct().withColumn("value_id", F.monotonically_increasing_id()), "value-ids")
+    coded = shared_table(canon.join(ids, ["field", "canon"]).select("field", "dig", "n", "value_id"), "coded")
+    pairs = salted_lookup(flat.select("tbl", "id", "field", "dig"), coded, ["field", "dig"], "n", F.col("id"))
+    # the record: its sorted tuple of field-value integers
+    tuples = pairs.groupBy("tbl", "id").agg(F.array_sort(F.collect_set("value_id")).alias("key"))
+    tuples = shared_table(tuples, "tuples")
+    discard(flat)
     groups = shared_table(tuples.groupBy("tbl", "key").agg(F.min("id").alias("keep_id"), F.count("*").alias("n_copies")), "groups")
     out = salted_lookup(tuples, groups.withColumn("n", F.col("n_copies")), ["tbl", "key"], "n", F.col("id"))
     return out.select("tbl", F.col("id").alias("row_id"), "keep_id", "n_copies")
