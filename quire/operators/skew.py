@@ -15,7 +15,7 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: list[str], count: str
     expression that varies within a key. The parts of a key are found from right alone, through a broadcast table of the hot
     keys: there are at most (left's rows / rows_per_task) of them, so its bytes are at
     most left's key bytes / rows_per_task.
-    Null keys match nothing.
+    Null keys match nothing. right is read twice, so it should be a written table or cheap to make.
     """
     hot = right.where(F.col(count) > rows_per_task).select(*keys, F.ceil(F.col(count) / rows_per_task).cast("int").alias("__parts"))
     if hot.isEmpty():
@@ -42,6 +42,8 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "
     plus the sizes of the partitions before (one number for each partition goes to the driver); the group's first position
     is taken off. Ties get different ranks. df must be deterministic, e.g. a written table.
     """
+    from quire.storage import shared_table
+
     spark = df.sparkSession
     rows = _in_order(df, [*group, *order])
     offsets, total = {}, 0
@@ -49,7 +51,7 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "
         offsets[p], total = total, total + n
     small = spark.createDataFrame(list(offsets.items()) or [(0, 0)], "__p long, __off long")
     rows = rows.join(F.broadcast(small), "__p").withColumn("__pos", F.col("__off") + F.col("__i")).drop("__p", "__off", "__i")
-    firsts = rows.groupBy(*group).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n"))
+    firsts = shared_table(rows.groupBy(*group).agg(F.min("__pos").alias("__first"), F.count("*").alias("__n")), "firsts")
     return salted_lookup(rows, firsts, group, "__n", F.col("__pos")).withColumn(name, F.col("__pos") - F.col("__first")).drop("__pos", "__first")
 
 
