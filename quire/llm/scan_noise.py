@@ -288,7 +288,7 @@ def _edge_noise(survey: DataFrame) -> DataFrame:
     every = "((nx >= 3 or (nx = 2 and pages <= 3)) and nx >= 0.6 * (bx - ax + 1) and nx >= 0.5 * pages)"
     titles = stats.where(f"{one('e', 'o')} or {one('o', 'e')} or {every}").select("doc_id", "edge", "key", F.lit(True).alias("running"))
     counts = known.where("key is not null").groupBy("doc_id", "edge", "key").agg(F.count("*").alias("c"))
-    titles = titles.join(counts, ["doc_id", "edge", "key"])
+    titles = shared_table(titles.join(counts, ["doc_id", "edge", "key"]), "titles")
     running = salted_lookup(known, titles, ["doc_id", "edge", "key"], "c", F.col("row_id")).where("page_no > opening").select("f", "row_id", "line_no", F.lit(True).alias("header"), F.col("is_num").alias("page_number"))
     counted = known.where("is_num").select("f", "row_id", "line_no", F.col("num").isNotNull().alias("header"), F.lit(True).alias("page_number"))
     return running.unionByName(counted).groupBy("f", "row_id", "line_no").agg(F.bool_or("header").alias("header"), F.bool_or("page_number").alias("page_number"))
