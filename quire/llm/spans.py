@@ -150,7 +150,8 @@ def shared_spans(df: DataFrame, doc_id: str, text: str, least: int = 100, k: int
     docs = df.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where((F.length("text") >= least) & F.col("doc").isNotNull())
     anchors = shared_table(docs.mapInArrow(_anchors(least, k), "doc long, h long, run long"), "runs")
     known = anchors.groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("c"))
-    hit = salted_lookup(anchors, known.where("lo <> hi").select("h", "c"), ["h"], "c", F.col("run"))
+    known = shared_table(known.where("lo <> hi").select("h", "c"), "shared-hashes")
+    hit = salted_lookup(anchors, known, ["h"], "c", F.col("run"))
     by_doc = hit.groupBy("doc").agg(F.collect_list("h").alias("hs"), F.collect_list("run").alias("rs"))  # as long as the document's text allows
     contexts = docs.join(by_doc, "doc").mapInArrow(_contexts(least), "doc long, h long, s long, n int, ctx string")
     contexts = shared_table(contexts.withColumn("dig", F.unhex(F.md5(F.col("ctx").cast("binary")))), "contexts")
