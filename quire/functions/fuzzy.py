@@ -6,6 +6,7 @@ for many pairs by array operations, where all pairs and all windows advance toge
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,19 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence; the bit vector of a is one integer, updated once for each character of b."""
-    if len(a) > len(b):
-        a, b = b, a
+def _places(a: str) -> dict[str, int]:
+    """The places of each character of a, as the bits of an integer."""
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | (1 << i)
-    full = (1 << len(a)) - 1
+    return where
+
+
+def _lcs_with(where: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence of b and a text of n characters with these places; the bit vector is one integer,
+    updated once for each character of b."""
+    full = (1 << n) - 1
     state = full
     for c in b:
-        hit = state & where.get(c, 0)
-        state = ((state + hit) | (state - hit)) & full
-    return len(a) - state.bit_count()
+        if hit := state & where.get(c, 0):
+            state = ((state + hit) | (state - hit)) & full
+    return n - state.bit_count()
+
+
+def lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence."""
+    if len(a) > len(b):
+        a, b = b, a
+    return _lcs_with(_places(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -51,13 +63,8 @@ def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
     if short in long:
         return 100.0
     n, size, best = len(short), len(long), 0.0
-    where: dict[str, int] = {}
-    need: dict[str, int] = {}
-    for i, c in enumerate(short):
-        where[c] = where.get(c, 0) | (1 << i)
-        need[c] = need.get(c, 0) + 1
-    full, common = (1 << n) - 1, 0
-    left = dict(need)
+    where, need = _places(short), Counter(short)
+    common, left = 0, dict(need)
     for end in range(1, size + n):
         if end <= size and (c := long[end - 1]) in left:
             if left[c] > 0:
@@ -71,15 +78,12 @@ def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
         bound = 200.0 * common / (n + hi - lo)
         if bound <= best or bound < cutoff:
             continue
-        state = full
-        for c in long[lo:hi]:
-            hit = state & where.get(c, 0)
-            state = ((state + hit) | (state - hit)) & full
-        best = max(best, 200.0 * (n - state.bit_count()) / (n + hi - lo))
+        best = max(best, 200.0 * _lcs_with(where, n, long[lo:hi]) / (n + hi - lo))
     return best if best >= cutoff else 0.0
 
 
 ROOM = 600_000  # windows times words handled at a time
+WIDE = 2  # short texts of more words are compared one by one, as whole integers: their steps are many and their pairs few
 ALPHABET = 56  # characters counted one by one in the bound; rarer ones count together
 
 
@@ -158,6 +162,9 @@ def ratios(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
     total = np.array([len(x) + len(y) for x, y in zip(shorts, longs, strict=True)], dtype=np.int64)
     for places, words in _portions(shorts, longs, total):
         own, other = [shorts[i] for i in places], [longs[i] for i in places]
+        if words > WIDE:
+            out[np.array(todo)[places]] = [ratio(x, y) for x, y in zip(own, other, strict=True)]
+            continue
         size = np.array([len(x) for x in other], dtype=np.int64)
         n = np.array([len(x) for x in own], dtype=np.int64)
         out[np.array(todo)[places]] = 200.0 * _lcs_of(_masks(own, other, words), np.cumsum(size) - size, size, n) / total[places]
@@ -196,8 +203,19 @@ def partial_ratios(a: Sequence[str], b: Sequence[str], cutoff: float = 0.0) -> n
         bound = 200.0 * common / (n[of] + width)
         able = np.flatnonzero((common > 0) & (bound >= cutoff))
         able = able[np.lexsort((-bound[able], of[able]))]
+        best = np.zeros(len(own))
+        if words > WIDE:
+            cuts = np.searchsorted(of[able], np.arange(len(own) + 1))
+            for i in range(len(own)):
+                where = _places(own[i]) if cuts[i] < cuts[i + 1] else {}
+                for w in able[cuts[i] : cuts[i + 1]].tolist():
+                    if bound[w] <= best[i]:
+                        break
+                    best[i] = max(best[i], 200.0 * _lcs_with(where, len(own[i]), other[i][lo[w] : hi[w]]) / (n[i] + width[w]))
+            out[np.array(todo)[places]] = np.where(best >= cutoff, best, 0.0)
+            continue
         rank = np.arange(len(able)) - np.searchsorted(of[able], of[able])
-        masks, best = _masks(own, other, words), np.zeros(len(own))
+        masks = _masks(own, other, words)
         for first, last in ((0, 2), (2, 16), (16, 1 << 60)):
             now = able[(rank >= first) & (rank < last)]
             now = now[bound[now] > best[of[now]]]
