@@ -8,43 +8,50 @@ from pyspark.sql import functions as F
 
 from quire.functions import fuzzy
 from quire.operators.gates import by_page
-from quire.operators.skew import rank_within, running_within
+from quire.operators.skew import running_within
 from quire.storage import shared_table
 
 PAGE = ["doc_id", "page_no"]
 
 
+def ordered_blocks(blocks: DataFrame, order: list[str]) -> DataFrame:
+    """A file's blocks (doc_id, order, size) with ``pos`` (0, 1, 2 ...) and ``until``, the sizes of all up to it."""
+    size = F.greatest(F.coalesce(F.col("size").cast("double"), F.lit(0.0)), F.lit(0.0))
+    return shared_table(running_within(blocks.withColumn("size", size), ["doc_id"], order, "size", "until", "pos"), "blocks")
+
+
 def greedy_windows(blocks: DataFrame, budget: int) -> DataFrame:
-    """doc_id, window, first, last: a file's blocks (doc_id, pos, size; pos 0, 1, 2 ...) packed in order into windows whose sizes
+    """doc_id, window, first, last: the positions of a file's blocks (``ordered_blocks``) packed in order into windows whose sizes
     stay within budget. The last block of a window is the first of the next one; a block too large for a window stands alone.
 
     No file lies in one task. The end of the window that would begin at a block is found by running sums, among the blocks
     of the same or the next stretch of ``budget``; which blocks do begin one follows by doubling the jumps from block to next
     beginning, so that the number of passes grows with the logarithm of the windows of a file.
     """
-    sums = running_within(blocks.select("doc_id", "pos", F.greatest(F.coalesce(F.col("size").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("size")), ["doc_id"], ["pos"], "size", "until")
-    sums = shared_table(sums.withColumns({"before": F.col("until") - F.col("size"), "b": F.floor((F.col("until") - F.col("size")) / budget), "e": F.floor(F.col("until") / budget)}), "sums")
-    begin = sums.select("doc_id", F.col("b").alias("stretch"), F.col("before").alias("key"), "pos", F.lit(True).alias("begins"))
-    end = sums.select("doc_id", F.explode(F.array("e", F.col("e") - 1)).alias("stretch"), F.col("until").alias("key"), "pos", F.lit(False).alias("begins"))
+    before = F.col("until") - F.col("size")
+    begin = blocks.select("doc_id", F.floor(before / budget).alias("stretch"), before.alias("key"), "pos", F.lit(True).alias("begins"))
+    e = F.floor(F.col("until") / budget)
+    end = blocks.select("doc_id", F.explode(F.array(e, e - 1)).alias("stretch"), F.col("until").alias("key"), "pos", F.lit(False).alias("begins"))
     reach = W.partitionBy("doc_id", "stretch").orderBy("key").rangeBetween(0, budget)
     ends = begin.unionByName(end).withColumn("last", F.max(F.when(~F.col("begins"), F.col("pos"))).over(reach)).where("begins")
-    size = sums.groupBy("doc_id").agg(F.max("pos").alias("final"))
+    size = blocks.groupBy("doc_id").agg(F.max("pos").alias("final"))
     ends = shared_table(ends.select("doc_id", "pos", F.greatest("pos", F.coalesce("last", "pos")).alias("last")).join(size, "doc_id"), "window-ends")
     jump = ends.where("last < final").select("doc_id", "pos", F.greatest("last", F.col("pos") + 1).alias("to"))
-    found, hops = shared_table(size.select("doc_id", F.lit(0).cast(blocks.schema["pos"].dataType).alias("pos"), F.lit(0).alias("window")), "windows"), 1
+    found, hops = ends.where("pos = 0").select("doc_id", "pos", F.lit(0).alias("window")), 1
     while True:
-        more = shared_table(found.join(jump, ["doc_id", "pos"]).select("doc_id", F.col("to").alias("pos"), (F.col("window") + hops).alias("window")), "windows")
+        more = found.join(jump, ["doc_id", "pos"]).select("doc_id", F.col("to").alias("pos"), (F.col("window") + hops).alias("window"), F.lit(None).cast("long").alias("to"))
+        twice = jump.withColumnsRenamed({"pos": "__from", "to": "pos"}).join(jump, ["doc_id", "pos"]).select("doc_id", F.col("__from").alias("pos"), F.lit(None).cast("int").alias("window"), "to")
+        step = shared_table(more.unionByName(twice), "windows")
+        more = step.where("window is not null").drop("to")
         if more.isEmpty():
             break
-        found = found.unionByName(more)
-        jump = shared_table(jump.withColumnsRenamed({"pos": "__from", "to": "pos"}).join(jump, ["doc_id", "pos"]).select("doc_id", F.col("__from").alias("pos"), "to"), "jumps")
-        hops *= 2
+        found, jump, hops = found.unionByName(more), step.where("window is null").select("doc_id", "pos", "to"), hops * 2
     return found.join(ends, ["doc_id", "pos"]).select("doc_id", "window", F.col("pos").alias("first"), "last")
 
 
 def page_windows(pages: DataFrame, budget: int) -> DataFrame:
     """doc_id, window, first_page, last_page: a file's pages (doc_id, page_no, size) packed in order, overlapping by a page."""
-    blocks = shared_table(rank_within(pages.select("doc_id", "page_no", "size"), ["doc_id"], ["page_no"], "pos"), "blocks")
+    blocks = ordered_blocks(pages.select("doc_id", "page_no", "size"), ["page_no"])
     return _with_pages(greedy_windows(blocks, budget), blocks)
 
 
@@ -166,7 +173,7 @@ def enumeration_windows(pages: DataFrame, regions: DataFrame, budget: int) -> Da
     placed = page_blocks(sized.withColumn("size", F.col("size") + 1), budget).join(sized.select("region_id", "size"), "region_id")
     filled = placed.groupBy(*PAGE, "block").agg(F.sum("size").alias("size"))
     blocks = pages.select(*PAGE).distinct().join(filled, PAGE, "left").select(*PAGE, F.coalesce("block", F.lit(0)).alias("block"), (head + F.coalesce("size", F.lit(0.0))).alias("size"))
-    blocks = shared_table(rank_within(shared_table(blocks, "page-blocks"), ["doc_id"], ["page_no", "block"], "pos"), "blocks")
+    blocks = ordered_blocks(shared_table(blocks, "page-blocks"), ["page_no", "block"])
     return _with_pages(greedy_windows(blocks, budget), blocks).drop("window")
 
 

@@ -55,24 +55,31 @@ def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "
     return salted_lookup(rows, firsts, group, "__n", F.col("__pos")).withColumn(name, F.col("__pos") - F.col("__first")).drop("__pos", "__first")
 
 
-def running_within(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
-    """df with the sum of ``value`` over the rows of its group up to each row by ``order``, without holding a group in one task.
+def running_within(df: DataFrame, group: list[str], order: list[str], value: str, name: str, rank: str | None = None) -> DataFrame:
+    """df with the sum of ``value`` over the rows of its group up to each row by ``order`` and, where asked for, the row's rank (from
+    0), without holding a group in one task.
 
-    Rows are range-partitioned and sorted by group and order. Inside a partition the sum is a window over (partition, group);
-    to a partition's first group the sum of its last ones before is added: one row for each partition goes to the driver.
-    Ties in ``order`` must not occur. Null groups and null values give no defined sum.
+    Rows are range-partitioned and sorted by group and order. Inside a partition sum and rank are windows over (partition,
+    group); to a partition's first group those of its last rows before are added: one row for each partition goes to the
+    driver. Ties in ``order`` must not occur. Null groups and null values give no defined sum.
     """
     spark = df.sparkSession
     rows = _in_order(df, [*group, *order])
-    own = W.partitionBy("__p", *group).orderBy("__i").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.withColumn(name, F.sum(value).over(own))
+    own = W.partitionBy("__p", *group).orderBy("__i")
+    rows = rows.withColumns({name: F.sum(value).over(own.rowsBetween(W.unboundedPreceding, 0)), "__n": F.row_number().over(own)})
     key = F.to_json(F.struct(*group))
-    edges = rows.groupBy("__p").agg(F.min_by(key, "__i").alias("first"), F.max_by(key, "__i").alias("last"), F.max_by(name, "__i").alias("sum")).orderBy("__p").collect()
-    carry, before = [], (None, 0)
+    last = lambda c: F.max_by(c, "__i").alias(c)
+    edges = rows.groupBy("__p").agg(F.min_by(key, "__i").alias("first"), F.max_by(key, "__i").alias("last"), last(name), last("__n")).orderBy("__p").collect()
+    carry, before = [], (None, 0.0, 0)
     for r in edges:
-        held = before[1] if r["first"] == before[0] else 0
-        carry.append((r["__p"], r["first"], float(held)))
-        before = (r["last"], r["sum"] + (held if r["first"] == r["last"] else 0))
-    small = spark.createDataFrame(carry or [(0, "", 0.0)], "__p long, __key string, __held double")
+        held = before[1:] if r["first"] == before[0] else (0.0, 0)
+        carry.append((r["__p"], r["first"], float(held[0]), int(held[1])))
+        whole = held if r["first"] == r["last"] else (0.0, 0)
+        before = (r["last"], r[name] + whole[0], r["__n"] + whole[1])
+    small = spark.createDataFrame(carry or [(0, "", 0.0, 0)], "__p long, __key string, __held double, __rows long")
     rows = rows.join(F.broadcast(small), "__p")
-    return rows.withColumn(name, F.col(name) + F.when(key == F.col("__key"), F.col("__held")).otherwise(0.0)).drop("__p", "__i", "__key", "__held")
+    more = lambda c: F.when(key == F.col("__key"), F.col(c)).otherwise(0)
+    rows = rows.withColumn(name, F.col(name) + more("__held"))
+    if rank:
+        rows = rows.withColumn(rank, F.col("__n") - 1 + more("__rows"))
+    return rows.drop("__p", "__i", "__n", "__key", "__held", "__rows")

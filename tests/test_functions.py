@@ -86,8 +86,8 @@ def test_windows(spark, rows):
         "one": [(0, 0, 0)], "fits": [(0, 0, 2)], "zero": [(0, 0, 3)],
     }
     df = spark.createDataFrame([(d, i, x) for d, xs in cases.items() for i, x in enumerate(xs)], "doc_id string, pos long, size int")
-    assert rows(packing.greedy_windows(df, 320)) == sorted(((d, *w) for d, ws in want.items() for w in ws), key=repr)
-    assert packing.greedy_windows(df.where("pos < 0"), 320).count() == 0
+    assert rows(packing.greedy_windows(packing.ordered_blocks(df.withColumnRenamed("pos", "at"), ["at"]), 320)) == sorted(((d, *w) for d, ws in want.items() for w in ws), key=repr)
+    assert packing.greedy_windows(packing.ordered_blocks(df.withColumnRenamed("pos", "at").where("at < 0"), ["at"]), 320).count() == 0
 
 
 def test_windows_hold_their_properties(spark):
@@ -96,7 +96,7 @@ def test_windows_hold_their_properties(spark):
     sizes = {f"d{k}": [rng.choice([1, 30, 60, 99, 140]) for _ in range(rng.randint(1, 90))] for k in range(6)}
     df = spark.createDataFrame([(d, i, x) for d, xs in sizes.items() for i, x in enumerate(xs)], "doc_id string, pos long, size int")
     got = {}
-    for r in packing.greedy_windows(df, 130).collect():
+    for r in packing.greedy_windows(packing.ordered_blocks(df.withColumnRenamed("pos", "at"), ["at"]), 130).collect():
         got.setdefault(r["doc_id"], {})[r["window"]] = (r["first"], r["last"])
     for d, xs in sizes.items():
         ws = [got[d][k] for k in range(len(got[d]))]
@@ -111,9 +111,9 @@ def test_windows_hold_their_properties(spark):
 def test_running_sums(spark):
     rng = random.Random(3)
     data = [(rng.choice("aab"), i, float(rng.randint(0, 9))) for i in range(200)]
-    got = {(r["g"], r["i"]): r["s"] for r in skew.running_within(spark.createDataFrame(data, "g string, i int, v double"), ["g"], ["i"], "v", "s").collect()}
+    got = {(r["g"], r["i"]): (r["s"], r["n"]) for r in skew.running_within(spark.createDataFrame(data, "g string, i int, v double"), ["g"], ["i"], "v", "s", "n").collect()}
     for g, i, _ in data:
-        assert got[g, i] == sum(v for h, j, v in data if h == g and j <= i)
+        assert got[g, i] == (sum(v for h, j, v in data if h == g and j <= i), sum(h == g and j < i for h, j, _ in data))
 
 
 def test_folds(spark):
