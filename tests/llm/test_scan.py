@@ -73,3 +73,15 @@ def test_repair_and_empty(spark):
     assert find_noise(pages.where("false"), regions.where("false")).lines.count() == 0
     assert noise_rows(pages.where("false"), regions).count() > 0
     assert repair("", []) == "" and repair("a\n\nb", []) == "a\nb"
+
+
+def test_titles_with_lost_letters(spark):
+    """A running title with letters lost, which no folding of misread characters brings back, is one by its edit distance; a heading
+    of other words at the same place is none."""
+    pages = []
+    for p in range(1, 11):
+        head = {6: "Th Book of Ancent Traits\n", 7: "The Works of Ancient Giants\n"}.get(p, "The Book of Ancient Traits\n" if p % 2 == 0 else "")
+        pages.append((p, "d", p, head + COMMON * 3, None, 1, "x"))
+    regions = spark.createDataFrame([], REGIONS)
+    got = noise_rows(spark.createDataFrame(pages, PAGES), regions).where("noise = 'header'").collect()
+    assert {(r["row_id"], r["line_no"]) for r in got} == {(p, 0) for p in (2, 4, 6, 8, 10)}
