@@ -162,6 +162,11 @@ def _unify_udf(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "kinds"])
 
 
+def suspect(c: Column) -> Column:
+    """Whether a text has a character that may have to be unified; ASCII texts, known by their size, are not searched."""
+    return F.coalesce((F.octet_length(c) > F.length(c)) & c.rlike(SUSPECT), F.lit(False))
+
+
 def consistent_text(df: DataFrame, text: str) -> DataFrame:
     """df with ``text_norm`` and ``kinds`` (array of zero, space, mark, wide, mixed, foreign, whole that were found).
 
@@ -171,8 +176,7 @@ def consistent_text(df: DataFrame, text: str) -> DataFrame:
     letters becomes Latin where the words around it say so (whole; ``whole_script``), and is ordinary elsewhere. Composed accents, quotation marks, hyphens, ſ and signs such as ½ stay. Null gives null and no
     kinds; empty text stays empty. One scan: texts without any such character (one regular expression in the JVM) do not go to Python.
     """
-    odd = F.coalesce(F.col(text).rlike(SUSPECT), F.lit(False))
-    rows = df.withColumn("__odd", odd).withColumn("__u", _unify_udf(F.when(F.col("__odd"), F.col(text))))
+    rows = df.withColumn("__odd", suspect(F.col(text))).withColumn("__u", _unify_udf(F.when(F.col("__odd"), F.col(text))))
     kinds = F.when(F.col("__odd"), F.filter(F.split("__u.kinds", ","), lambda k: k != "")).otherwise(F.array().cast("array<string>"))
     return rows.withColumns({"text_norm": F.when(F.col("__odd"), F.col("__u.text")).otherwise(F.col(text)), "kinds": kinds}).drop("__odd", "__u")
 
@@ -188,7 +192,7 @@ ORDINARY = ("foreign", "whole")  # kinds that p3_found takes for ordinary
 
 def odd_rows(df: DataFrame, tbl: str, row_id: str, text: str) -> DataFrame:
     """p3_found of one table: tbl, row_id of the rows whose text holds a form to be unified."""
-    odd = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("text")).where(F.col("text").rlike(SUSPECT))
+    odd = df.select(F.col(row_id).alias("row_id"), F.col(text).alias("text")).where(suspect(F.col("text")))
     return consistent_text(odd, "text").where(F.size(F.array_except("kinds", F.array(*map(F.lit, ORDINARY)))) > 0).select(F.lit(tbl).alias("tbl"), "row_id")
 
 
