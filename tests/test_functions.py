@@ -319,3 +319,19 @@ def test_compared_forms(spark):
     cases = [("Hill Dwarf", "HillDwarf", False), (" Hill Dwarf\n", "hill dwarf", True), ('[{"kind":"a","condition":"always","n":1}]', '[ {"n": 1, "kind": "a"} ]', True), ('{"kind":"a","condition":"dark"}', '{"kind":"a"}', False), (None, "", True), ("[broken", "[BROKEN ", True)]
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], "i int, a string, b string")
     assert [r["x"] for r in df.select("i", (evaluate.plain(F.col("a")) == evaluate.plain(F.col("b"))).alias("x")).orderBy("i").collect()] == [x for _, _, x in cases]
+
+
+def test_metrics_of_runs(spark, rows):
+    """The same numbers as comparing each run with all of gold, answers left out and null values included."""
+    rng = random.Random(12)
+    value = lambda: rng.choice(["x", "X ", "y", "", None])
+    gold = [(f, i, value()) for f in "fg" for i in range(12)]
+    pred = [(r, f, i, value()) for r in range(4) for f in "fg" for i in range(15) if rng.random() < 0.7 and (r, f) != (3, "g")]
+    g = spark.createDataFrame(gold, "field string, item int, value string")
+    p = spark.createDataFrame(pred, "run long, field string, item int, value string")
+    want = []
+    for r in range(4):
+        one = evaluate.metrics(evaluate.compared(p.where(F.col("run") == r), g), ["field"])
+        want += [(r, *x) for x in rows(one.select("field", "n", "tp", "fp", "fn", "precision", "recall", "exact"))]
+    got = rows(evaluate.metrics_of_runs(p, g).select("run", "field", "n", "tp", "fp", "fn", "precision", "recall", "exact"))
+    assert got == sorted((x for x in want if (x[0], x[1]) != (3, "g")), key=repr)
